@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -15,9 +17,30 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    _ship_package(spark)
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def _ship_package(spark: SparkSession) -> None:
+    """Give executors this package: the sender of ``operators.deliver`` runs there."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="relaylog-"), "relaylog.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, files in os.walk(package):
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder below the cluster's shared checkpoint folder.
 

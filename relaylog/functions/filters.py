@@ -10,11 +10,15 @@ from relaylog.functions import jsontext as J
 
 def matches_filter(payload: Column, column: Column | str, values: Column) -> Column:
     """Filter test on payload JSON text. A null ``column`` or ``values`` means no filter."""
-    name = F.lit(column) if isinstance(column, str) else column
+    name = F.concat(F.lit(column) if isinstance(column, str) else column, F.lit(J.MARK))
     members = J.member_map(J.object_text(payload))
-    # The last member of that name counts, as for any JSON object reader.
-    named = F.map_values(F.map_filter(members, lambda k, _: k == F.concat(name, F.lit(J.MARK))))
-    return F.coalesce(F.array_contains(values, J.string_or_null(F.get(named, F.size(named) - 1))), F.lit(True))
+
+    def last(named: Column) -> Column:
+        # The last member of that name counts, as for any JSON object reader.
+        return J.string_or_null(F.get(named, F.size(named) - 1))
+
+    value = J.bind(F.map_values(F.map_filter(members, lambda k, _: k == name)), last)
+    return F.coalesce(F.array_contains(values, value), F.lit(True))
 
 
 def matches_strings(strings: Column, column: Column, values: Column) -> Column:

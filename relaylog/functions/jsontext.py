@@ -15,6 +15,8 @@ sentinel added behind the value proves that the value was the only one.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +30,11 @@ _STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 _SENTINEL = T.StructField("z", T.IntegerType())
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` refers to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def mark_scalars(text: Column) -> Column:
     return F.regexp_replace(text, f"{_STRING}|{_SCALAR}", '"$1|$2"')
 
@@ -69,14 +76,22 @@ def member_map(marked_object: Column) -> Column:
     return F.from_json(marked_object, T.MapType(T.StringType(), T.StringType()), _STRICT)
 
 
-def _single_value(text: Column) -> Column:
-    """The marked text of the one JSON value in ``text``, else null."""
-    parsed = F.from_json(
+def parse_value(text: Column) -> Column:
+    """Array whose first element is the marked text of the value; see ``single_value`` for its use."""
+    return F.from_json(
         F.concat(F.lit("["), mark_scalars(text), F.lit(",0]")), T.ArrayType(T.StringType()), _STRICT
     )
+
+
+def single_value(parsed: Column) -> Column:
+    """The marked text when there was exactly one JSON value, else null."""
     return F.when((F.size(parsed) == 2) & (F.get(parsed, F.lit(1)) == "0"), F.get(parsed, F.lit(0)))
 
 
+def _single_value(text: Column) -> Column:
+    return bind(parse_value(text), single_value)
+
+
 def is_json_value(text: Column) -> Column:
     """True iff the text is exactly one JSON value of any kind."""
     return _single_value(text).isNotNull()
@@ -87,10 +102,14 @@ def is_single_object(text: Column) -> Column:
     return F.coalesce(_single_value(text).startswith("{"), F.lit(False))
 
 
+def as_object(value: Column) -> Column:
+    """The marked value if it is an object, else null."""
+    return F.when(is_object(value), value)
+
+
 def object_text(text: Column) -> Column:
     """The marked text of the one object in ``text``, else null."""
-    value = _single_value(text)
-    return F.when(value.startswith("{"), value)
+    return bind(_single_value(text), as_object)
 
 
 def raw_members(text: Column) -> Column:
@@ -99,7 +118,10 @@ def raw_members(text: Column) -> Column:
     ``text`` keeps the digits of a number as written, is the decoded string of a string, and the
     JSON text of an object or array. The last of several members of one name wins.
     """
-    parsed = member_map(object_text(text))
+    return bind(member_map(object_text(text)), _described)
+
+
+def _described(parsed: Column) -> Column:
     names = F.map_keys(parsed)
     last_of_name = F.filter(
         F.map_entries(parsed),

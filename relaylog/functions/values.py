@@ -31,7 +31,6 @@ NOT_A_STRING = "is not a string"
 
 _SPARK_NAMES = {"int2": "smallint", "int4": "int", "int8": "bigint", "float4": "float", "float8": "double"}
 STRING_TYPES = ("json", "bytea", "timestamp", "timestamptz", "text")
-_EPOCH = F.to_timestamp_ntz
 
 
 def _literal(value: Column) -> Column:
@@ -45,29 +44,37 @@ def to_int(value: Column, type_name: str) -> Column:
 
 def expand_decimal(lit: Column) -> Column:
     """A JSON number literal without its exponent, digit for digit; null beyond the size limit."""
+    limit = F.lit(MAX_EXPANDED_DIGITS)
+    as_written = ~lit.contains("e") & ~lit.contains("E") & (F.length(lit) <= limit)
+    return F.when(as_written, lit).otherwise(J.bind(_scientific(lit), _placed))
+
+
+def _scientific(lit: Column) -> Column:
+    """struct(sign, digits, point): the number is 0.digits x 10^point; a null point is out of range."""
     whole = F.regexp_extract(lit, r"^-?([0-9]+)", 1)
-    fraction = F.regexp_extract(lit, r"\.([0-9]+)", 1)
     exponent_text = F.regexp_extract(lit, r"[eE]([+-]?[0-9]+)$", 1)
     exponent = F.when(exponent_text == "", F.lit(0)).otherwise(exponent_text.try_cast("int"))
-    digits = F.concat(whole, fraction)
-    point = F.length(whole) + exponent
-    limit = F.lit(MAX_EXPANDED_DIGITS)
+    limits = (-MAX_EXPANDED_DIGITS, MAX_EXPANDED_DIGITS)
+    point = F.when(exponent.between(*limits), F.length(whole) + exponent)
+    return F.struct(
+        F.when(lit.startswith("-"), "-").otherwise("").alias("sign"),
+        F.concat(whole, F.regexp_extract(lit, r"\.([0-9]+)", 1)).alias("digits"),
+        F.when(point.between(*limits), point).alias("point"),
+    )
+
+
+def _placed(number: Column) -> Column:
+    digits, point = number["digits"], number["point"]
 
     def zeros(n: Column) -> Column:
-        return F.repeat(F.lit("0"), F.least(n, limit))
+        return F.repeat(F.lit("0"), n)
 
     placed = (
         F.when(point <= 0, F.concat(F.lit("0."), zeros(-point), digits))
         .when(point >= F.length(digits), F.concat(digits, zeros(point - F.length(digits))))
-        .otherwise(F.concat(F.left(digits, point), F.lit("."), F.substr(digits, point + 1)))
-    )
-    sign = F.when(lit.startswith("-"), "-").otherwise("")
-    in_limits = exponent.between(-MAX_EXPANDED_DIGITS, MAX_EXPANDED_DIGITS) & point.between(
-        -MAX_EXPANDED_DIGITS, MAX_EXPANDED_DIGITS
+        .when(point > 0, F.concat(F.left(digits, point), F.lit("."), F.substr(digits, point + 1)))
     )
-    expanded = F.when(in_limits, F.concat(sign, F.regexp_replace(placed, r"^0+(?=[0-9])", "")))
-    as_written = ~lit.contains("e") & ~lit.contains("E") & (F.length(lit) <= limit)
-    return F.when(as_written, lit).otherwise(expanded)
+    return F.concat(number["sign"], F.regexp_replace(placed, r"^0+(?=[0-9])", ""))
 
 
 def to_float(value: Column, type_name: str) -> Column:
@@ -132,19 +139,20 @@ _RFC3339 = r"^([0-9]{4}-[0-9]{2}-[0-9]{2})T([0-9]{2}:[0-9]{2}:[0-9]{2})(?:[.,]([
 
 def to_timestamptz_text(value: Column) -> Column:
     """RFC 3339 text moved to UTC. The fraction is carried over as text: an offset cannot change it."""
-    text = J.string_or_null(value)
-
-    def part(i: int) -> Column:
-        return F.regexp_extract(text, _RFC3339, i)
-
-    local = F.concat(part(1), F.lit(" "), part(2)).try_cast("timestamp_ntz")
-    hours = part(5)
-    minutes = F.coalesce(hours.try_cast("int"), F.lit(0)) * 60 + F.coalesce(part(6).try_cast("int"), F.lit(0))
-    utc = F.timestamp_add("MINUTE", F.when(part(4) == "+", -minutes).otherwise(minutes), local)
-    digits = F.rtrim(F.left(part(3), F.lit(9)), F.lit("0"))
-    fraction = F.when(digits == "", F.lit("")).otherwise(F.concat(F.lit("."), digits))
-    valid = text.rlike(_RFC3339) & ((hours == "") | (hours <= "23"))
-    return F.when(valid, F.concat(format_sql_timestamp(utc), fraction, F.lit("+00")))
+    # One match: date, time, fraction, sign, hours and minutes, separated by commas.
+    parts = F.split(F.regexp_replace(J.string_or_null(value), _RFC3339, "$1,$2,$3,$4,$5,$6"), ",")
+    return J.bind(parts, _utc_text)
+
+
+def _utc_text(parts: Column) -> Column:
+    date, time, fraction, sign, hours, minutes = (F.get(parts, F.lit(i)) for i in range(6))
+    local = F.concat(date, F.lit(" "), time).try_cast("timestamp_ntz")
+    shift = F.coalesce(hours.try_cast("int") * 60 + minutes.try_cast("int"), F.lit(0))
+    utc = F.timestamp_add("MINUTE", F.when(sign == "+", -shift).otherwise(shift), local)
+    digits = F.rtrim(F.left(fraction, F.lit(9)), F.lit("0"))
+    tail = F.when(digits == "", F.lit("")).otherwise(F.concat(F.lit("."), digits))
+    valid = (F.size(parts) == 6) & (hours <= "23")
+    return F.when(valid, F.concat(format_sql_timestamp(utc), tail, F.lit("+00")))
 
 
 def convert(type_name: str, value: Column) -> Column:

@@ -52,14 +52,14 @@ AT = f"""{DL}, resp(cls, attempt, status, outcome, retry_reason) AS (VALUES
   ('keep', 0, 200, 'skipped', NULL), ('thrice', 0, 200, NULL, 'invalid acknowledgement'),
   ('thrice', 1, 302, NULL, 'destination returned HTTP 302'), ('thrice', 2, 200, 'delivered', NULL),
   ('ok', 0, 200, 'delivered', NULL)
-), at AS (
+), att AS (
   SELECT dl.*, resp.attempt, resp.status, resp.outcome, resp.retry_reason
   FROM dl JOIN resp ON resp.cls = {CLS} WHERE filtered IS NULL
 )"""
 
 OUT = f"""{AT}, res AS (
   SELECT destination_id, partition, "offset", min(outcome) AS resolved, count(*) AS attempts_used
-  FROM at GROUP BY ALL
+  FROM att GROUP BY ALL
 ), oc AS (
   SELECT dl.*, coalesce(filtered, resolved) AS outcome, attempts_used
   FROM dl LEFT JOIN res USING (destination_id, partition, "offset")
@@ -167,7 +167,7 @@ SPAN_ACTIVITY = f"""{OUT}, worked AS (
   SELECT w.destination_id, w.partition, w."offset", w.event_id, CASE WHEN a.outcome IS NULL THEN 'warn' ELSE 'info' END,
          CASE WHEN a.outcome IS NULL THEN 'retry' ELSE 'acknowledged' END, a.attempt + 1, NULL,
          CASE WHEN a.outcome IS NULL THEN 'delivery failed or retry requested' END
-  FROM worked w JOIN at a USING (destination_id, partition, "offset")
+  FROM worked w JOIN att a USING (destination_id, partition, "offset")
   UNION ALL
   SELECT destination_id, partition, "offset", event_id, 'info', 'terminal outcome', NULL, outcome, NULL
   FROM worked WHERE outcome IS NOT NULL
@@ -342,10 +342,10 @@ _SQL = {
     "headers": f"""WITH {DL} SELECT event_id, '1' AS generation, 'false' AS replay, topic, CAST(partition AS VARCHAR) AS partition,
         CAST("offset" AS VARCHAR) AS "offset", event_id || ':' || destination_id || ':1' AS idempotency_key,
         'application/json' AS content_type FROM dl""",
-    "classify_responses": f"""WITH {AT} SELECT destination_id, id, attempt, status, outcome, retry_reason FROM at""",
+    "classify_responses": f"""WITH {AT} SELECT destination_id, id, attempt, status, outcome, retry_reason FROM att""",
     "resolve_attempts": f"""WITH {OUT} SELECT destination_id, partition, "offset", resolved AS outcome, attempts_used FROM res""",
     "retry_schedule": f"""WITH {AT}, w AS (
-          SELECT destination_id, id, attempt, least(greatest(power(2, least(attempt, 6)) / 2, 1.0), 60.0) AS wait_seconds FROM at)
+          SELECT destination_id, id, attempt, least(greatest(power(2, least(attempt, 6)) / 2, 1.0), 60.0) AS wait_seconds FROM att)
         SELECT *, sum(wait_seconds) OVER (PARTITION BY destination_id, id ORDER BY attempt) AS due_seconds FROM w""",
     "commit_frontier": f"""WITH {OUT} SELECT * FROM fr""",
     "pending": f"""WITH {OUT} SELECT destination_id, partition, "offset", event_id
@@ -356,7 +356,7 @@ _SQL = {
     "mark_started": f"""WITH {FACTS} SELECT destination_id, partition FROM started
         UNION SELECT destination_id, partition FROM bounds WHERE first_offset = 0""",
     "dedupe_deliveries": f"""WITH {AT} SELECT DISTINCT event_id || ':' || destination_id || ':1' AS idempotency_key,
-        destination_id, id FROM at""",
+        destination_id, id FROM att""",
     "deliver_in_order": f"""WITH {OUT} SELECT destination_id, partition, "offset", outcome, coalesce(attempts_used, 0) AS attempts
         FROM oc JOIN fr USING (destination_id, partition) WHERE "offset" <= committed""",
     "stream_delivery": f"""WITH {OUT} SELECT partition, outcome, count(*) AS records, committed

@@ -35,7 +35,7 @@ def decode_ack(body: Column) -> Column:
         policy = J.bind(J.member_map(J.as_object(J.member(result, "error"))), _policy)
         return F.when(J.is_object(J.member(result, "success")), "success").otherwise(policy)
 
-    return J.bind(_members_named(J.member_map(J.object_text(body)), "result"), of_results)
+    return J.bind(_members_named(J.members_of(body), "result"), of_results)
 
 
 def _policy(error: Column) -> Column:

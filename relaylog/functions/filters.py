@@ -11,7 +11,7 @@ from relaylog.functions import jsontext as J
 def matches_filter(payload: Column, column: Column | str, values: Column) -> Column:
     """Filter test on payload JSON text. A null ``column`` or ``values`` means no filter."""
     name = F.concat(F.lit(column) if isinstance(column, str) else column, F.lit(J.MARK))
-    members = J.member_map(J.object_text(payload))
+    members = J.members_of(payload)
 
     def last(named: Column) -> Column:
         # The last member of that name counts, as for any JSON object reader.

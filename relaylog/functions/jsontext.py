@@ -28,6 +28,7 @@ _STRING = r'"([^"\\]*+(?:\\.[^"\\]*+)*+)"'
 _SCALAR = r"(-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?+(?:[eE][+\-]?+[0-9]++)?+|true|false|null)(?!\s*+:)"
 _STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 _SENTINEL = T.StructField("z", T.IntegerType())
+_MEMBER_MAP = T.MapType(T.StringType(), T.StringType())
 
 
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -72,8 +73,8 @@ def parse_members(marked_object: Column, names: list[str]) -> Column:
 
 
 def member_map(marked_object: Column) -> Column:
-    """All members of one marked object, in order and with duplicates, names still marked."""
-    return F.from_json(marked_object, T.MapType(T.StringType(), T.StringType()), _STRICT)
+    """``object_members`` of a value already known to be one marked object."""
+    return F.from_json(marked_object, _MEMBER_MAP, _STRICT)
 
 
 def parse_value(text: Column) -> Column:
@@ -107,9 +108,22 @@ def as_object(value: Column) -> Column:
     return F.when(is_object(value), value)
 
 
-def object_text(text: Column) -> Column:
-    """The marked text of the one object in ``text``, else null."""
-    return bind(_single_value(text), as_object)
+def parse_object_members(text: Column) -> Column:
+    """Array whose first element is the map of all members; see ``object_members`` for its use."""
+    return F.from_json(
+        F.concat(F.lit("["), mark_scalars(text), F.lit(',{"z":"0"}]')), T.ArrayType(_MEMBER_MAP), _STRICT
+    )
+
+
+def object_members(parsed: Column) -> Column:
+    """All members, in order and with duplicates, names still marked, when there was exactly one object."""
+    whole = (F.size(parsed) == 2) & F.map_contains_key(F.get(parsed, F.lit(1)), F.lit("z"))
+    return F.when(whole, F.get(parsed, F.lit(0)))
+
+
+def members_of(text: Column) -> Column:
+    """``object_members`` of a text, or null unless it is exactly one object."""
+    return bind(parse_object_members(text), object_members)
 
 
 def raw_members(text: Column) -> Column:
@@ -118,7 +132,7 @@ def raw_members(text: Column) -> Column:
     ``text`` keeps the digits of a number as written, is the decoded string of a string, and the
     JSON text of an object or array. The last of several members of one name wins.
     """
-    return bind(member_map(object_text(text)), _described)
+    return bind(members_of(text), _described)
 
 
 def _described(parsed: Column) -> Column:

@@ -134,25 +134,23 @@ def to_timestamp_text(value: Column) -> Column:
     return format_sql_timestamp(ntz_from_micros(_literal(value).try_cast("bigint")))
 
 
-_RFC3339 = r"^([0-9]{4}-[0-9]{2}-[0-9]{2})T([0-9]{2}:[0-9]{2}:[0-9]{2})(?:[.,]([0-9]+))?(?:Z|([+-])([0-9]{2}):([0-5][0-9]))$"
+_RFC3339 = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(?:[.,][0-9]+)?(?:Z|[+-](?:[01][0-9]|2[0-3]):[0-5][0-9])$"
 
 
 def to_timestamptz_text(value: Column) -> Column:
     """RFC 3339 text moved to UTC. The fraction is carried over as text: an offset cannot change it."""
-    # One match: date, time, fraction, sign, hours and minutes, separated by commas.
-    parts = F.split(F.regexp_replace(J.string_or_null(value), _RFC3339, "$1,$2,$3,$4,$5,$6"), ",")
-    return J.bind(parts, _utc_text)
-
-
-def _utc_text(parts: Column) -> Column:
-    date, time, fraction, sign, hours, minutes = (F.get(parts, F.lit(i)) for i in range(6))
-    local = F.concat(date, F.lit(" "), time).try_cast("timestamp_ntz")
-    shift = F.coalesce(hours.try_cast("int") * 60 + minutes.try_cast("int"), F.lit(0))
-    utc = F.timestamp_add("MINUTE", F.when(sign == "+", -shift).otherwise(shift), local)
-    digits = F.rtrim(F.left(fraction, F.lit(9)), F.lit("0"))
-    tail = F.when(digits == "", F.lit("")).otherwise(F.concat(F.lit("."), digits))
-    valid = (F.size(parts) == 6) & (hours <= "23")
-    return F.when(valid, F.concat(format_sql_timestamp(utc), tail, F.lit("+00")))
+    text = J.string_or_null(value)
+    length = F.length(text)
+    local = F.concat(F.left(text, F.lit(10)), F.lit(" "), F.substr(text, F.lit(12), F.lit(8))).try_cast("timestamp_ntz")
+    offset = F.substr(text, length - 4, F.lit(2)).try_cast("int") * 60 + F.right(text, F.lit(2)).try_cast("int")
+    behind = F.substr(text, length - 5, F.lit(1)) == "-"
+    utc = F.when(text.endswith("Z"), local).otherwise(
+        F.timestamp_add("MINUTE", F.when(behind, offset).otherwise(-offset), local)
+    )
+    zone_length = F.when(text.endswith("Z"), 1).otherwise(6)
+    digits = F.rtrim(F.left(F.substr(text, F.lit(21), length - 20 - zone_length), F.lit(9)), F.lit("0"))
+    fraction = F.when(digits == "", F.lit("")).otherwise(F.concat(F.lit("."), digits))
+    return F.when(text.rlike(_RFC3339), F.concat(format_sql_timestamp(utc), fraction, F.lit("+00")))
 
 
 def convert(type_name: str, value: Column) -> Column:

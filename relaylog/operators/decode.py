@@ -6,6 +6,7 @@ values. All of it is built-in functions, a few steps per row: no shuffle, no Pyt
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -52,10 +53,11 @@ def _step(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
     """Compute ``columns`` once per row. ``inline`` ends the reach of the optimizer's inlining.
 
     A filter on the reject reason would otherwise be pushed below the projections, and every
-    reference to a parsed text would become a parse of its own.
+    reference to a parsed text would become a parse of its own. The work itself stays in a
+    projection, which is compiled; the generator only takes the struct apart.
     """
-    row = F.struct(*[c.alias(name) for name, c in columns.items()])
-    return df.select(*keep, F.inline(F.array(row)))
+    row = F.struct(*[c.alias(name) for name, c in columns.items()]).alias("step")
+    return df.select(*keep, row).select(*keep, F.inline(F.array("step")))
 
 
 _POSITION = ["topic", "partition", "offset", "no_value", "no_key"]
@@ -76,10 +78,13 @@ def _parse(raw: DataFrame, identity: Identity) -> DataFrame:
         texts,
         _POSITION,
         value=J.parse_single_object(J.mark_scalars(F.col("value")), ["op", "source", "after"]),
-        key=J.parse_value(F.col("key")),
+        key=J.parse_object_members(F.col("key")),
+    )
+    outer = read.select(
+        *_POSITION,
+        J.single_object(F.col("value")).alias("envelope"),
+        J.object_members(F.col("key")).alias("key"),
     )
-    envelope, key = J.single_object(F.col("value")), J.as_object(J.single_value(F.col("key")))
-    outer = _step(read, _POSITION, envelope=envelope, key=key)
     envelope = F.col("envelope")
     source, after = J.member(envelope, "source"), J.member(envelope, "after")
     return _step(
@@ -91,8 +96,7 @@ def _parse(raw: DataFrame, identity: Identity) -> DataFrame:
         source=J.parse_members(J.as_object(source), ["schema", "table"]),
         after_text=after,
         after=J.parse_members(J.as_object(after), [c.name for c in identity.columns]),
-        is_key=F.col("key").isNotNull(),
-        key=J.member_map(F.col("key")),
+        key=F.col("key"),
     )
 
 
@@ -135,7 +139,7 @@ def _gate_rules(source: Source, identity: Identity) -> list[tuple[Column, Column
         (null_or_missing(after_text), "operation has no after object"),
         (F.col("after").isNull(), "after is not a JSON object"),
         (F.col("no_key"), "Kafka key is empty"),
-        (~F.col("is_key"), "Kafka key is not a JSON object"),
+        (F.col("key").isNull(), "Kafka key is not a JSON object"),
         (F.size("key_names") != 1, "Kafka key must contain only the partition column"),
         (~has_key_column | J.is_null(key_value), "Kafka key is missing the partition column"),
         (null_or_missing(after_value), "after object has a null partition column"),
@@ -167,9 +171,8 @@ def _payload(identity: Identity) -> Column:
     quoted = F.to_json(F.struct(*[wire.getField(c.name).alias(c.name) for c in texts]), {"ignoreNullFields": "false"})
     parts: list[Column] = [F.substr(quoted, F.lit(2), F.length(quoted) - 2)] if texts else []
     for c in literals:
-        name = F.to_json(F.array(F.lit(c.name)))
-        name = F.substr(name, F.lit(2), F.length(name) - 2)
-        parts.append(F.concat(name, F.lit(":"), F.coalesce(wire.getField(c.name), F.lit("null"))))
+        name = F.lit(json.dumps(c.name, ensure_ascii=False) + ":")
+        parts.append(F.concat(name, F.coalesce(wire.getField(c.name), F.lit("null"))))
     return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
 
 

@@ -16,7 +16,8 @@ PARTITION_KEY = ["destination_id", "topic", "partition"]
 def classify_responses(attempts: DataFrame) -> DataFrame:
     """Add ``outcome`` and ``retry_reason`` to attempts with ``status`` and ``body``."""
     # ``inline`` keeps the body from being read once per output column or filter on it.
-    return attempts.select(*attempts.columns, F.inline(F.array(classify_response(F.col("status"), F.col("body")))))
+    classified = attempts.withColumn("classified", classify_response(F.col("status"), F.col("body")))
+    return classified.select(*attempts.columns, F.inline(F.array("classified")))
 
 
 def resolve_attempts(attempts: DataFrame) -> DataFrame:

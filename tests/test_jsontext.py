@@ -67,3 +67,8 @@ def test_long_texts(spark):
     text = '{"a":"' + "\\n" * 100_000 + '","c":"' + "y" * 500_000 + '","d":[' + ",".join(["1.0"] * 20_000) + "]}"
     (got,) = column(spark, [text], lambda t: F.length(J.raw_members(t)["d"]["text"]))
     assert got == 20_000 * 4 + 1
+
+
+def test_members_agree_with_single_object(spark):
+    got = column(spark, OBJECTS + NOT_OBJECTS, lambda t: J.members_of(t).isNotNull())
+    assert got == [True] * len(OBJECTS) + [False] * len(NOT_OBJECTS)

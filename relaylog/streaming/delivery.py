@@ -10,6 +10,7 @@ again from its committed offset.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
@@ -59,6 +60,7 @@ class DeliveryJob:
     max_attempts: int = 3
     round_size: int = 10_000
     sleep: Callable[[float], None] | None = None
+    paused: bool = False
 
     def path(self, name: str) -> str:
         return f"{self.state_path}/{delivery_group(self.scope, self.destination.id)}/{name}"
@@ -215,11 +217,11 @@ class DeliveryJob:
 
     def drain(self) -> None:
         """Rounds until nothing moves: the end is reached, or what is left keeps asking for a retry."""
-        while self.round():
+        while not self.paused and self.round():
             pass
 
     def process(self, batch: DataFrame, _: int) -> None:
-        # One row per log partition.
+        # One row per log partition. Also when pausing: the checkpoint passes this batch.
         seen = log_bounds(batch.filter(F.col("topic").isin(self._topics()))).collect()
         if seen:
             self._take(self.spark.createDataFrame(seen, _BOUNDS), at_start=False)
@@ -229,17 +231,13 @@ class DeliveryJob:
         """Start, or go on where the checkpoint and the positions left off.
 
         A heartbeat keeps micro-batches coming while the log is quiet, so records that asked for a
-        retry are tried again. A bounded run retries what earlier runs left once, at its start.
+        retry are tried again.
         """
         log = read_changes(self.spark, self.log_path).filter(F.col("topic").isin(self._topics()))
         self._take(log_bounds(log), at_start=True)
-        stream = read_changes_stream(self.spark, self.log_path, per_trigger)
-        if available_now:
-            self.drain()
-            trigger = {"availableNow": True}
-        else:
-            stream = stream.unionByName(_heartbeat(self.spark))
-            trigger = {"processingTime": every}
+        # The heartbeat is part of bounded runs too: a checkpoint is tied to its sources.
+        stream = read_changes_stream(self.spark, self.log_path, per_trigger).unionByName(_heartbeat(self.spark))
+        trigger = {"availableNow": True} if available_now else {"processingTime": every}
         writer = stream.writeStream.foreachBatch(self.process).option("checkpointLocation", self.path("checkpoint"))
         return writer.trigger(**trigger).start()
 
@@ -270,14 +268,24 @@ def start_delivery(job: DeliveryJob, desired: str = "running", **options) -> Str
 
     A paused destination keeps its positions and checkpoint, so a later start loses nothing.
     """
-    return job.start(**options) if desired == "running" else None
+    return apply_desired(None, job, desired, **options)
+
 
+def apply_desired(
+    query: StreamingQuery | None, job: DeliveryJob, desired: str, drain_timeout: float = 30.0, **options
+) -> StreamingQuery | None:
+    """Bring a query in line with the desired state: stop it on pause, start it again on running.
 
-def apply_desired(query: StreamingQuery | None, job: DeliveryJob, desired: str, **options) -> StreamingQuery | None:
-    """Bring a query in line with the desired state: stop it on pause, start it again on running."""
+    A pause lets the current round finish for ``drain_timeout`` seconds; a round cut off after that is
+    sent again on resume.
+    """
     active = query is not None and query.isActive
-    if desired == "paused":
-        if active:
-            query.stop()
-        return None
-    return query if active else job.start(**options)
+    job.paused = desired == "paused"
+    if not job.paused:
+        return query if active else job.start(**options)
+    if active:
+        deadline = time.monotonic() + drain_timeout
+        while query.status["isTriggerActive"] and time.monotonic() < deadline:
+            time.sleep(0.1)
+        query.stop()
+    return None

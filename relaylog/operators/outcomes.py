@@ -38,7 +38,7 @@ def retry_schedule(attempts: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) ->
     ``attempt`` counts from 0 per record, ``u`` in [0, 1) is the jitter.
     """
     waits = attempts.withColumn("wait_seconds", backoff_seconds(F.col("attempt"), F.col("u")))
-    return running_sum(waits, RECORD_KEY, "attempt", F.col("wait_seconds"), "due_seconds", rows_per_chunk)
+    return running_sum(waits, RECORD_KEY, "attempt", F.col("wait_seconds"), "due_seconds", rows_per_chunk, dense=True)
 
 
 def commit_frontier(outcomes: DataFrame) -> DataFrame:

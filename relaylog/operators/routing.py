@@ -46,10 +46,10 @@ def apply_filters(routed: DataFrame) -> DataFrame:
     return routed.withColumn("outcome", F.when(~matches, F.lit("filtered")))
 
 
-def only_running(routed: DataFrame, desired: DataFrame) -> DataFrame:
-    """Nothing for paused destinations. ``desired``: one row per destination, ``destination_id, desired``."""
+def only_running(routed: DataFrame, desired: DataFrame, destinations: int) -> DataFrame:
+    """Nothing for paused destinations. ``desired``: ``destination_id, desired``, one row per destination."""
     running = desired.filter(F.col("desired") == "running").select("destination_id")
-    return routed.join(running, "destination_id", "left_semi")
+    return routed.join(small_side(running, destinations), "destination_id", "left_semi")
 
 
 def ready_destinations(subs: DataFrame, source_states: DataFrame) -> DataFrame:
@@ -64,9 +64,9 @@ def ready_destinations(subs: DataFrame, source_states: DataFrame) -> DataFrame:
     )
 
 
-def drop_blocked(records: DataFrame, blocked: DataFrame) -> DataFrame:
-    """Blocked sources dispatch nothing."""
-    return records.join(blocked.select("source_id").distinct(), "source_id", "left_anti")
+def drop_blocked(records: DataFrame, blocked: DataFrame, sources: int) -> DataFrame:
+    """Blocked sources dispatch nothing. ``sources`` bounds how many there are."""
+    return records.join(small_side(blocked.select("source_id").distinct(), sources), "source_id", "left_anti")
 
 
 def split_known_skips(routed: DataFrame, skips: DataFrame, horizons: DataFrame, partitions: int) -> DataFrame:
@@ -80,8 +80,9 @@ def split_known_skips(routed: DataFrame, skips: DataFrame, horizons: DataFrame,
     known = skips.select(*key).distinct().withColumn("known_skip", F.lit(True))
     start = horizons.select("topic", "partition", "horizon")
     with_horizon = routed.join(small_side(start, partitions), ["topic", "partition"], "left")
-    # Live records get no lookup position, so they never match.
-    lookup = with_horizon.withColumn("lookup", F.when(F.col("offset") < F.col("horizon"), F.col("offset")))
+    # Live records look up a position no skip can have, each its own: a common null would put them in one task.
+    is_old = F.coalesce(F.col("offset") < F.col("horizon"), F.lit(False))
+    lookup = with_horizon.withColumn("lookup", F.when(is_old, F.col("offset")).otherwise(-1 - F.col("offset")))
     known = known.withColumnRenamed("offset", "lookup")
     joined = lookup.join(known, ["destination_id", "topic", "partition", "lookup"], "left")
     is_known = F.coalesce(F.col("known_skip"), F.lit(False))

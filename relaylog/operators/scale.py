@@ -1,9 +1,11 @@
 """Ordered scans per key that stay distributed when one key holds a large part of the rows.
 
 A plain ``Window.partitionBy(key).orderBy(seq)`` sorts a whole key in one task. Here the order column
-is first cut into chunks of about ``rows_per_chunk`` rows (quantiles, one aggregate over the column);
-the window runs per (key, chunk), and what a chunk needs from the ones before it comes from a summary
-with one row per (key, chunk). Input that fits one chunk takes the plain window.
+of keys with more than ``rows_per_chunk`` rows is cut into chunks of at most about that many (quantiles,
+one aggregate over the column) and the window runs per (key, chunk). What a chunk needs from the ones
+before it arrives as one more row at its head, the carry, taken from a summary with one row per
+(key, chunk) of those keys. So the data itself is shuffled once. If no key is that large, the plain
+window is used.
 """
 
 from __future__ import annotations
@@ -17,10 +19,11 @@ from pyspark.sql import functions as F
 
 ROWS_PER_CHUNK = 1_000_000
 MAX_CHUNKS = 20_000
-MAX_BROADCAST_ROWS = 100_000
+MAX_BROADCAST_ROWS = 500_000
 
 _CHUNK = "__chunk"
-_SUMMARY = "__summary"
+_CARRY = "__carry"
+_VALUE = "__value"
 
 
 def small_side(df: DataFrame, rows: int) -> DataFrame:
@@ -28,51 +31,71 @@ def small_side(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df
 
 
-def with_chunk(df: DataFrame, order_col: str, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame | None:
-    """``df`` with a chunk number that never falls as ``order_col`` rises; None if one chunk is enough.
+def with_chunk(df: DataFrame, keys: Sequence[str], order_col: str, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame | None:
+    """``df`` with a chunk number that never falls as ``order_col`` rises, -1 for keys that fit one chunk.
 
-    The order column must be numeric, not null, and (nearly) unique, as serials and sequence numbers are.
-    Only the bounds (at most MAX_CHUNKS numbers) reach the driver.
+    None if all keys fit. The order column must be numeric, not null, and (nearly) unique, as serials
+    and sequence numbers are. Only the bounds (at most MAX_CHUNKS numbers) reach the driver.
     """
-    rows = df.select(order_col).count()
-    chunks = min(MAX_CHUNKS, math.ceil(rows / rows_per_chunk))
-    if chunks <= 1:
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    total, largest = sizes.agg(F.sum("__rows"), F.max("__rows")).first()
+    if (largest or 0) <= rows_per_chunk:
         return None
+    chunks = min(MAX_CHUNKS, math.ceil(total / rows_per_chunk))
     cuts = [i / chunks for i in range(1, chunks)]
     accuracy = max(10_000, 20 * chunks)
     (bounds,) = df.agg(F.percentile_approx(order_col, cuts, accuracy)).first()
     splits = [-math.inf, *sorted({float(b) for b in bounds}), math.inf]
-    if len(splits) < 3:
+    large = sizes.filter(F.col("__rows") > rows_per_chunk).select(*[F.col(k).alias(f"__large_{k}") for k in keys], F.lit(True).alias("__large"))
+    on = [df[k].eqNullSafe(large[f"__large_{k}"]) for k in keys]
+    # Large keys hold more than rows_per_chunk rows each, which bounds how many there can be.
+    marked = df.join(small_side(large, total // rows_per_chunk), on, "left").drop(*[f"__large_{k}" for k in keys])
+    chunked = Bucketizer(splits=splits, inputCol=order_col, outputCol=_CHUNK).transform(marked)
+    chunk = F.when(F.col("__large"), F.col(_CHUNK).cast("int")).otherwise(-1)
+    return chunked.withColumn(_CHUNK, chunk).drop("__large")
+
+
+def with_dense_chunk(df: DataFrame, order_col: str, rows_per_chunk: int) -> DataFrame | None:
+    """The same where ``order_col`` counts from 0 within each key, so its maximum tells the largest key."""
+    (last,) = df.agg(F.max(order_col)).first()
+    if (last or 0) < rows_per_chunk:
         return None
-    return Bucketizer(splits=splits, inputCol=order_col, outputCol=_CHUNK).transform(df)
+    return df.withColumn(_CHUNK, F.floor(F.col(order_col) / rows_per_chunk).cast("int"))
 
 
-def _join_summary(local: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add the summary of each row's (key, chunk). Null keys match themselves."""
-    names = [*keys, _CHUNK]
-    renamed = summary.select(*[F.col(n).alias(f"__s_{n}") for n in names], _SUMMARY)
-    on = [local[n].eqNullSafe(renamed[f"__s_{n}"]) for n in names]
-    return local.join(renamed, on, "left").drop(*[f"__s_{n}" for n in names])
+def _with_carry(chunked: DataFrame, carry: DataFrame) -> DataFrame:
+    """The rows of all chunks, each chunk headed by its carry if it has one."""
+    heads = carry.filter(F.col(_VALUE).isNotNull()).withColumn(_CARRY, F.lit(0))
+    return chunked.withColumn(_CARRY, F.lit(1)).unionByName(heads, allowMissingColumns=True)
+
+
+def _without_carry(df: DataFrame) -> DataFrame:
+    return df.filter(F.col(_CARRY) == 1).drop(_CHUNK, _CARRY, _VALUE)
 
 
 def running_sum(
-    df: DataFrame, keys: Sequence[str], order_col: str, value: Column, out: str, rows_per_chunk: int = ROWS_PER_CHUNK
+    df: DataFrame,
+    keys: Sequence[str],
+    order_col: str,
+    value: Column,
+    out: str,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
+    dense: bool = False,
 ) -> DataFrame:
-    """Sum of ``value`` per key up to and including each row, in ``order_col`` order."""
-    chunked = with_chunk(df, order_col, rows_per_chunk)
+    """Sum of ``value`` per key up to and including each row, in ``order_col`` order.
+
+    ``dense``: ``order_col`` counts from 0 within each key.
+    """
+    up_to_here = (Window.unboundedPreceding, 0)
+    chunked = with_dense_chunk(df, order_col, rows_per_chunk) if dense else with_chunk(df, keys, order_col, rows_per_chunk)
     if chunked is None:
-        window = Window.partitionBy(*keys).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(out, F.sum(value).over(window))
-    window = Window.partitionBy(*keys, _CHUNK).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(out, F.sum(value).over(Window.partitionBy(*keys).orderBy(order_col).rowsBetween(*up_to_here)))
+    chunked = chunked.withColumn(_VALUE, value)
     before = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    summary = (
-        chunked.groupBy(*keys, _CHUNK).agg(F.sum(value).alias("__total")).withColumn(_SUMMARY, F.sum("__total").over(before))
-    )
-    local = chunked.withColumn(out, F.sum(value).over(window))
-    joined = _join_summary(local, summary, keys)
-    return joined.withColumn(out, F.when(F.col(_SUMMARY).isNull(), F.col(out)).otherwise(F.col(out) + F.col(_SUMMARY))).drop(
-        _CHUNK, _SUMMARY
-    )
+    totals = chunked.filter(F.col(_CHUNK) >= 0).groupBy(*keys, _CHUNK).agg(F.sum(_VALUE).alias("__total"))
+    carry = totals.select(*keys, _CHUNK, F.sum("__total").over(before).alias(_VALUE))
+    window = Window.partitionBy(*keys, _CHUNK).orderBy(_CARRY, order_col).rowsBetween(*up_to_here)
+    return _without_carry(_with_carry(chunked, carry).withColumn(out, F.sum(_VALUE).over(window)))
 
 
 def numbered(df: DataFrame, keys: Sequence[str], order_col: str, out: str, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
@@ -91,13 +114,11 @@ def with_previous(
 ) -> DataFrame:
     """Struct of ``columns`` of the row before each row of its key; null for the first."""
     row = F.struct(*columns)
-    chunked = with_chunk(df, order_col, rows_per_chunk)
+    chunked = with_chunk(df, keys, order_col, rows_per_chunk)
     if chunked is None:
         return df.withColumn(out, F.lag(row).over(Window.partitionBy(*keys).orderBy(order_col)))
-    local = chunked.withColumn(out, F.lag(row).over(Window.partitionBy(*keys, _CHUNK).orderBy(order_col)))
-    summary = (
-        chunked.groupBy(*keys, _CHUNK)
-        .agg(F.max_by(row, order_col).alias("__last"))
-        .withColumn(_SUMMARY, F.lag("__last").over(Window.partitionBy(*keys).orderBy(_CHUNK)))
-    )
-    return _join_summary(local, summary, keys).withColumn(out, F.coalesce(out, _SUMMARY)).drop(_CHUNK, _SUMMARY)
+    chunked = chunked.withColumn(_VALUE, row)
+    lasts = chunked.filter(F.col(_CHUNK) >= 0).groupBy(*keys, _CHUNK).agg(F.max_by(_VALUE, order_col).alias("__last"))
+    carry = lasts.select(*keys, _CHUNK, F.lag("__last").over(Window.partitionBy(*keys).orderBy(_CHUNK)).alias(_VALUE))
+    window = Window.partitionBy(*keys, _CHUNK).orderBy(_CARRY, order_col)
+    return _without_carry(_with_carry(chunked, carry).withColumn(out, F.lag(_VALUE).over(window)))

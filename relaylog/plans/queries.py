@@ -13,6 +13,7 @@ from relaylog.functions import values as V
 from relaylog.model import Source
 from relaylog.operators import activity, contract, decode, outcomes, routing, tables
 from relaylog.operators.deliver import deliver
+from relaylog.operators.scale import small_side
 from relaylog.plans import event_table as E
 from relaylog.session import shared_dir
 from relaylog.sources import changes
@@ -455,7 +456,7 @@ def route_running(spark, sf):
     routed = E.event_deliveries(spark, sf).drop("outcome")
     paused = routing.route(E.event_records(spark, sf), E.subscription_rows(spark).filter("destination_id = 'paused_one'"))
     both = routed.unionByName(paused)
-    return routing.only_running(both, _desired(spark, sf)).select("destination_id", "partition", "offset")
+    return routing.only_running(both, _desired(spark, sf), len(E.DESTINATIONS)).select("destination_id", "partition", "offset")
 
 
 def _source_blocks(spark, sf) -> DataFrame:
@@ -484,7 +485,7 @@ def drop_blocked(spark, sf):
     both = E.event_records(spark, sf).select("source_id", "topic", "partition", "offset").unionByName(
         E.positioned_orders(spark, sf).select(F.lit("orders").alias("source_id"), F.lit(E.ORDERS_TOPIC).alias("topic"), "partition", "offset")
     )
-    return routing.drop_blocked(both, _source_blocks(spark, sf))
+    return routing.drop_blocked(both, _source_blocks(spark, sf), 2)
 
 
 def _horizons(spark, sf) -> DataFrame:
@@ -789,7 +790,7 @@ def _worked_on(spark, sf) -> tuple[DataFrame, DataFrame]:
     """Records each destination has got to, and the attempts at them: all up to the first stuck one."""
     done = E.event_outcomes(spark, sf).withColumn("known_skip", F.lit(False))
     frontier = outcomes.commit_frontier(done)
-    reached = done.join(F.broadcast(frontier), outcomes.PARTITION_KEY).filter(F.col("offset") <= F.col("committed"))
+    reached = done.join(small_side(frontier, 2 * E.PARTITIONS), outcomes.PARTITION_KEY).filter(F.col("offset") <= F.col("committed"))
     records = reached.withColumn("committed", F.col("offset") < F.col("committed"))
     attempts = outcomes.classify_responses(E.event_attempts(spark, sf))
     return records, attempts

@@ -53,7 +53,7 @@ def test_route_and_filter(records, subs):
 
 def test_paused_and_ready(spark, records, subs):
     desired = spark.createDataFrame([("all", "paused"), ("one", "running")], "destination_id string, desired string")
-    assert {p[0] for p in places(routing.only_running(routing.route(records, subs), desired))} == {"one"}
+    assert {p[0] for p in places(routing.only_running(routing.route(records, subs), desired, 4))} == {"one"}
     states = spark.createDataFrame([("events", "running")], "source_id string, state string")
     got = {r.destination_id: (r.ready, r.reason) for r in routing.ready_destinations(subs, states).collect()}
     assert got["all"] == (False, "source unavailable: orders") and got["one"] == (True, None)
@@ -63,7 +63,7 @@ def test_paused_and_ready(spark, records, subs):
 
 def test_blocked(spark, records):
     blocked = spark.createDataFrame([("events", "why"), ("events", "again")], "source_id string, reason string")
-    assert sorted(r.source_id for r in routing.drop_blocked(records, blocked).collect()) == ["orders", "unknown"]
+    assert sorted(r.source_id for r in routing.drop_blocked(records, blocked, 2).collect()) == ["orders", "unknown"]
 
 
 @pytest.mark.parametrize("partitions", [10, 10**9])

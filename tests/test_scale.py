@@ -29,31 +29,42 @@ def same(a, b):
     return sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.select(*a.columns).collect()), key=repr)
 
 
-@pytest.mark.parametrize("size", [100, 10_000])
+@pytest.mark.parametrize("size", [20, 300, 10_000])
 def test_numbered(rows, window, size):
     got = scale.numbered(rows, ["k"], "seq", "n", size)
     assert same(got, rows.withColumn("n", (F.row_number().over(window) - 1).cast("long")))
 
 
-@pytest.mark.parametrize("size", [100, 10_000])
+@pytest.mark.parametrize("size", [20, 300, 10_000])
 def test_running_sum(rows, window, size):
     got = scale.running_sum(rows, ["k"], "seq", F.col("v"), "total", size)
     assert same(got, rows.withColumn("total", F.sum("v").over(window)))
 
 
-@pytest.mark.parametrize("size", [100, 10_000])
+@pytest.mark.parametrize("size", [20, 300, 10_000])
 def test_with_previous(rows, window, size):
     got = scale.with_previous(rows, ["k"], "seq", ["s", "v"], "before", size)
     assert same(got, rows.withColumn("before", F.lag(F.struct("s", "v")).over(window)))
 
 
 def test_chunks_are_bounded_and_ordered(rows):
-    chunked = scale.with_chunk(rows, "seq", 100)
-    per_chunk = chunked.groupBy("__chunk").agg(F.count("*").alias("n"), F.min("seq").alias("low"), F.max("seq").alias("high"))
-    found = per_chunk.orderBy("__chunk").collect()
-    assert len(found) >= 30 and max(r.n for r in found) <= 200
-    assert all(a.high < b.low for a, b in zip(found, found[1:]))
-    assert scale.with_chunk(rows, "seq", 3000) is None
+    chunked = scale.with_chunk(rows, ["k"], "seq", 300)
+    groups = chunked.groupBy("k", "__chunk").agg(F.count("*").alias("n"), F.min("seq").alias("low"), F.max("seq").alias("high"))
+    found = groups.orderBy("__chunk").collect()
+    large = [r for r in found if r.k == 0]
+    assert len(large) >= 10 and max(r.n for r in found) <= 330
+    assert all(a.high < b.low for a, b in zip(large, large[1:]))
+    # Keys that fit one chunk are left whole.
+    assert all(r["__chunk"] == -1 for r in found if r.k != 0)
+    assert scale.with_chunk(rows, ["k"], "seq", 1000) is None
+    assert scale.with_chunk(rows.limit(0), ["k"], "seq", 1) is None
+
+
+def test_dense_running_sum(spark):
+    df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.floor(F.col("id") / 3).alias("n"), F.col("id").alias("v"))
+    want = df.withColumn("t", F.sum("v").over(Window.partitionBy("k").orderBy("n")))
+    for size in (10, 10_000):
+        assert same(scale.running_sum(df, ["k"], "n", F.col("v"), "t", size, dense=True), want)
 
 
 def test_no_window_over_the_bare_key(rows):

@@ -24,8 +24,12 @@ from pyspark.sql import types as T
 MARK = "|"
 NULL = "|null"
 
+_BETWEEN = r'([^"\-0-9tfn]*+)'
 _STRING = r'"([^"\\]*+(?:\\.[^"\\]*+)*+)"'
 _SCALAR = r"(-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?+(?:[eE][+\-]?+[0-9]++)?+|true|false|null)(?!\s*+:)"
+# One match per scalar, each starting where the last one ended, so the scan is linear. It stops at
+# a token that is none; the text behind it stays unmarked, and is not JSON because of that token.
+_TOKEN = rf"\G{_BETWEEN}(?:{_STRING}|{_SCALAR})"
 _STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 _SENTINEL = T.StructField("z", T.IntegerType())
 _MEMBER_MAP = T.MapType(T.StringType(), T.StringType())
@@ -37,7 +41,7 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def mark_scalars(text: Column) -> Column:
-    return F.regexp_replace(text, f"{_STRING}|{_SCALAR}", '"$1|$2"')
+    return F.regexp_replace(F.rtrim(text), _TOKEN, '$1"$2|$3"')
 
 
 def unmark(text: Column) -> Column:

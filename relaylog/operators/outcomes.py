@@ -10,6 +10,7 @@ from relaylog.functions.keys import backoff_seconds
 from relaylog.operators.scale import ROWS_PER_CHUNK, running_sum, small_side
 
 RECORD_KEY = ["destination_id", "topic", "partition", "offset"]
+OUTCOMES = ["delivered", "filtered", "skipped"]
 PARTITION_KEY = ["destination_id", "topic", "partition"]
 
 
@@ -25,10 +26,15 @@ def resolve_attempts(attempts: DataFrame) -> DataFrame:
 
     ``outcome`` is null while every attempt asked for a retry. Plain aggregates, combined map-side.
     """
-    terminal = F.when(F.col("outcome").isNotNull(), F.col("attempt"))
-    return attempts.groupBy(*RECORD_KEY).agg(
-        F.min_by("outcome", terminal).alias("outcome"),
-        (F.coalesce(F.min(terminal), F.max("attempt")) + 1).cast("long").alias("attempts_used"),
+    # Attempt and outcome in one number: a minimum over text would sort all attempts instead of hashing them.
+    codes = F.array(*[F.lit(o) for o in OUTCOMES])
+    code = F.col("attempt").cast("long") * len(OUTCOMES) + F.array_position(codes, F.col("outcome")) - 1
+    resolved = attempts.groupBy(*RECORD_KEY).agg(F.min(code).alias("first_outcome"), F.max("attempt").alias("last_attempt"))
+    attempt = F.floor(F.col("first_outcome") / len(OUTCOMES))
+    return resolved.select(
+        *RECORD_KEY,
+        F.get(codes, F.pmod("first_outcome", F.lit(len(OUTCOMES))).cast("int")).alias("outcome"),
+        (F.coalesce(attempt, F.col("last_attempt")) + 1).cast("long").alias("attempts_used"),
     )
 
 

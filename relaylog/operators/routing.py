@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relaylog.functions.filters import matches_strings
@@ -10,19 +10,26 @@ from relaylog.functions.keys import idempotency_key, stable_event_id
 from relaylog.model import Destination
 from relaylog.operators.scale import small_side
 
-DESTINATION_SCHEMA = (
-    "destination_id string, destination_description string, sources array<string>, "
-    "filter struct<column: string, values: array<string>>"
-)
+FILTER_TYPE = "struct<column: string, values: array<string>>"
 POSITION = ["topic", "partition", "offset"]
 
 
 def destinations_frame(spark: SparkSession, destinations: list[Destination]) -> DataFrame:
-    rows = [
-        (d.id, d.description, list(d.sources), (d.filter.column, list(d.filter.values)) if d.filter else None)
-        for d in destinations
-    ]
-    return spark.createDataFrame(rows, DESTINATION_SCHEMA)
+    """One row per destination, as literals: unlike a frame made from Python rows, Spark knows its size."""
+
+    def texts(values: tuple[str, ...]) -> Column:
+        return F.array(*[F.lit(v) for v in values])
+
+    def row(d: Destination) -> Column:
+        wanted = d.filter and F.struct(F.lit(d.filter.column).alias("column"), texts(d.filter.values).alias("values"))
+        return F.struct(
+            F.lit(d.id).alias("destination_id"),
+            F.lit(d.description).alias("destination_description"),
+            texts(d.sources).alias("sources"),
+            (wanted if wanted is not None else F.lit(None)).cast(FILTER_TYPE).alias("filter"),
+        )
+
+    return spark.range(1).select(F.inline(F.array(*[row(d) for d in destinations])))
 
 
 def subscriptions(destinations: DataFrame) -> DataFrame:

@@ -261,8 +261,9 @@ def blocked_sources(spark, sf):
 
 def _member_of(df: DataFrame, json_value: Column, *keep: str) -> DataFrame:
     """Rows with ``v``: a JSON value as the marked member of a parsed record."""
-    parsed = J.single_object(J.parse_single_object(J.mark_scalars(F.concat(F.lit('{"v":'), json_value, F.lit("}"))), ["v"]))
-    return df.select(*keep, parsed.alias("o")).select(*keep, J.member(F.col("o"), "v").alias("v"))
+    text = F.concat(F.lit('{"v":'), json_value, F.lit("}"))
+    parsed = df.select(*keep, J.parse_single_object(J.mark_scalars(text), ["v"]).alias("parsed"))
+    return parsed.select(*keep, J.member(J.single_object(F.col("parsed")), "v").alias("v"))
 
 
 @query
@@ -291,9 +292,8 @@ def expand_decimal(spark, sf):
         F.lit("e"),
         (F.col("l_partkey") % 9 - 4).cast("string"),
     )
-    return E.table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", lit.alias("literal"), V.expand_decimal(lit).alias("expanded")
-    )
+    literals = E.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", lit.alias("literal"))
+    return literals.withColumn("expanded", V.expand_decimal(F.col("literal")))
 
 
 @query

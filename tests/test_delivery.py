@@ -23,8 +23,12 @@ KEEP = '{"result":{"error":{"policy":"keep_going","class":"c","description":"d"}
 TOPIC = "events.topic"
 
 
-def no_sleep(_):
-    return None
+def without_sleep():
+    # A local function: executors get it by value and need not import this file.
+    def sleep(_):
+        return None
+
+    return sleep
 
 
 def recording_sender(folder, stuck=(), skipped=(), flaky=()):
@@ -79,7 +83,7 @@ class Setup:
         self.folder = str(tmp_path / "calls")
         os.makedirs(self.folder)
         self.written = 0
-        self.options = {"state_path": shared_dir(spark, "state"), "sleep": no_sleep, "max_attempts": 2, **kw}
+        self.options = {"state_path": shared_dir(spark, "state"), "sleep": without_sleep(), "max_attempts": 2, **kw}
 
     def append(self, n):
         new = log_rows(self.spark, self.identity, n)
@@ -117,7 +121,7 @@ def test_deliver_in_order_and_stop(spark, identity, tmp_path):
         F.create_map(F.lit("X-Relay-Partition"), F.col("partition").cast("string"), F.lit("X-Relay-Offset"), F.col("offset").cast("string")).alias("headers"),
     )
     path = shared_dir(spark, "sent")
-    deliver(requests, recording_sender(folder, stuck={7}, skipped={10}, flaky={11}), 2, 12, no_sleep).write.parquet(path)
+    deliver(requests, recording_sender(folder, stuck={7}, skipped={10}, flaky={11}), 2, 12, without_sleep()).write.parquet(path)
     sent = {(r.partition, r.offset): r for r in spark.read.parquet(path).collect()}
     placed = {r.id: r for r in decoded.collect()}
     stuck = placed[7]
@@ -136,7 +140,7 @@ def test_deliver_in_order_and_stop(spark, identity, tmp_path):
         offsets = [o for _, o in lines]
         assert offsets == sorted(offsets)
     # One task per log partition: AQE must not merge them.
-    plan = deliver(requests, no_sleep, 2, 12, no_sleep)._jdf.queryExecution().executedPlan().toString()
+    plan = deliver(requests, without_sleep(), 2, 12, without_sleep())._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_NUM" in plan
 
 

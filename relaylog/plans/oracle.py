@@ -394,8 +394,8 @@ _SQL = {
     "retain_last": f"""WITH {SEQ} SELECT * FROM log ORDER BY sequence DESC LIMIT 1000""",
     "read_after": f"""WITH {SEQ}, head AS (SELECT max(sequence) AS last FROM log), pages(cursor, after, reset) AS (
           SELECT 'boot:' || (last - 300), last - 300, false FROM head
-          UNION ALL SELECT 'boot:' || (last - 1001), last - 1000, true FROM head
-          UNION ALL SELECT 'other:' || last, last - 1000, true FROM head)
+          UNION ALL SELECT 'boot:' || greatest(last - 1001, 0), greatest(last - 1000, 0), last > 1000 FROM head
+          UNION ALL SELECT 'other:' || last, greatest(last - 1000, 0), true FROM head)
         SELECT sequence, event_id, cursor, 'boot:' || last AS next_cursor, reset
         FROM log JOIN pages ON sequence > after CROSS JOIN head""",
     "find_activity": f"""WITH {SEQ} SELECT * FROM log WHERE event_name = 'purchase'

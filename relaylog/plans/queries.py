@@ -833,7 +833,7 @@ def read_after(spark, sf):
     _, head, _ = activity.read_after(log, "boot")
     last = int(head.split(":")[1])
     pages = []
-    for cursor in (f"boot:{last - 300}", f"boot:{last - activity.RETAINED - 1}", f"other:{last}"):
+    for cursor in (f"boot:{last - 300}", f"boot:{max(last - activity.RETAINED - 1, 0)}", f"other:{last}"):
         entries, next_cursor, reset = activity.read_after(log, "boot", cursor)
         pages.append(
             entries.select("sequence", "event_id").withColumns(

@@ -60,10 +60,11 @@ def _step(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
     return df.select(*keep, row).select(*keep, F.inline(F.array("step")))
 
 
-_POSITION = ["topic", "partition", "offset", "no_value", "no_key"]
+_RAW = ["topic", "partition", "offset", "no_value", "no_key"]
+_POSITION = ["source_id", *_RAW]
 
 
-def _parse(raw: DataFrame, identity: Identity) -> DataFrame:
+def _parse(raw: DataFrame, source: Source, identity: Identity) -> DataFrame:
     """Each JSON text is marked and read once; members stay marked text."""
     texts = raw.select(
         "topic",
@@ -76,7 +77,10 @@ def _parse(raw: DataFrame, identity: Identity) -> DataFrame:
     )
     read = _step(
         texts,
-        _POSITION,
+        _RAW,
+        # Through the generator it is a column: as a constant it would turn the join with the
+        # subscriptions into a nested loop.
+        source_id=F.lit(source.id),
         value=J.parse_single_object(J.mark_scalars(F.col("value")), ["op", "source", "after"]),
         key=J.parse_object_members(F.col("key")),
     )
@@ -86,14 +90,14 @@ def _parse(raw: DataFrame, identity: Identity) -> DataFrame:
         J.object_members(F.col("key")).alias("key"),
     )
     envelope = F.col("envelope")
-    source, after = J.member(envelope, "source"), J.member(envelope, "after")
+    meta, after = J.member(envelope, "source"), J.member(envelope, "after")
     return _step(
         outer,
         _POSITION,
         is_envelope=envelope.isNotNull(),
         op=J.member(envelope, "op"),
-        source_text=source,
-        source=J.parse_members(J.as_object(source), ["schema", "table"]),
+        source_text=meta,
+        source=J.parse_members(J.as_object(meta), ["schema", "table"]),
         after_text=after,
         after=J.parse_members(J.as_object(after), [c.name for c in identity.columns]),
         key=F.col("key"),
@@ -191,7 +195,7 @@ def decode_changes(raw: DataFrame, source: Source, identity: Identity, generatio
     Exactly one row out per row in; ``reject_reason`` is null for accepted records.
     """
     identity.check(source, generation)
-    checked = _convert(_parse(raw, identity), identity).withColumn(
+    checked = _convert(_parse(raw, source, identity), identity).withColumn(
         "reject_reason", _reasons(_gate_rules(source, identity) + _column_rules(identity))
     )
     wire = F.col("wire")
@@ -205,7 +209,7 @@ def decode_changes(raw: DataFrame, source: Source, identity: Identity, generatio
 
     accepted = F.col("reject_reason").isNull()
     return checked.select(
-        F.lit(source.id).alias("source_id"),
+        "source_id",
         F.lit(source.description).alias("source_description"),
         "topic",
         "partition",

@@ -153,7 +153,8 @@ def routed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event records straight from the table: position and identifiers, without encoding and decoding."""
     return positioned_events(spark, sf_dir).select(
-        F.lit(EVENTS.id).alias("source_id"),
+        # A column, not a constant, so that the join with the subscriptions stays an equi-join.
+        F.explode(F.array(F.lit(EVENTS.id))).alias("source_id"),
         F.lit(EVENTS.description).alias("source_description"),
         F.lit(EVENTS_TOPIC).alias("topic"),
         "partition",

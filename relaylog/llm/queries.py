@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relaylog.llm import bpe, packing, token_files
-from relaylog.llm.common import documents
+from relaylog.llm import bpe, chat, ngram_join, packing, quality_classifier, quality_rules, secret_scan, syncmers, token_files, toxicity
+from relaylog.llm.common import documents, prepared
 from relaylog.session import shared_dir
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -37,6 +37,52 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN)
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(documents(spark, sf_dir))
+
+
+def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prepared(spark).read.parquet(f"{sf_dir}/conversations.parquet")
+    return chat.link_calls(chat.turns_as_calls(turns), chat.ASK)
+
+
+def op6_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprints(documents(spark, sf_dir))
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_spans(documents(spark, sf_dir))
+
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, training = documents(spark, sf_dir), toxicity.Training()
+    scored = toxicity.score(docs, toxicity.train(docs, _labels(spark, sf_dir), training=training))
+    held_out = toxicity.remainder(training.fold) == training.held_out
+    return scored.select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_features"
+    )
+
+
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(documents(spark, sf_dir))
+
+
+ACCEPTED = 0.7
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, training = documents(spark, sf_dir), quality_classifier.QUALITY
+    scored = quality_classifier.score(docs, quality_classifier.train(docs, _labels(spark, sf_dir)))
+    held_out = toxicity.remainder(training.fold) == training.held_out
+    return scored.select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= ACCEPTED).cast("int").alias("predicted")
+    )
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
     return dict(sorted(found.items(), key=lambda item: int(item[0][2:].split("_")[0])))

@@ -8,7 +8,7 @@ whose best reading is what is written stays as it is.
 
 The scorer is a logistic regression on parts of words of the restored text: whole words and their runs of four and five
 letters. It is fitted on a bounded sample of labelled rows (``sample`` of each class, those with the least hash), with
-features that occur clearly more often in one class; how often is counted by Spark, and only the chosen features and
+features that occur clearly more often with label 1; how often is counted by Spark, and only the chosen features and
 the sample's rows of feature numbers reach the driver. Every text is scored on all its words.
 
 Training rows are those whose crc32 of the doc_id's text leaves ``fold`` no remainder of 0; rows without a doc_id or
@@ -216,7 +216,8 @@ class Training:
     held_out: int = 0
     sample: int = 4000
     features: int = 2048
-    least_documents: int = 5
+    least_documents: int = 3
+    least_z: float = 4.0
 
 
 def remainder(fold: int) -> Column:
@@ -240,7 +241,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, training: Tr
 
 
 def _choose(sample: DataFrame, training: Training) -> dict[str, int]:
-    """The parts that tell the classes apart best."""
+    """The parts that most clearly occur more often in texts with label 1."""
 
     def count(batches):
         by_class = (Counter(), Counter())
@@ -258,10 +259,12 @@ def _choose(sample: DataFrame, training: Training) -> dict[str, int]:
     of = totals.filter("part = ''").first()
     if of is None or not of["n0"] or not of["n1"]:
         return {}
-    p0, p1 = (F.col("n0") + 0.5) / (of["n0"] + 1), (F.col("n1") + 0.5) / (of["n1"] + 1)
-    strength = F.abs(F.log(p1 / p0)) * F.sqrt(F.abs(p1 - p0))
-    named = totals.filter(F.col("part") != "").filter(F.col("n0") + F.col("n1") >= training.least_documents)
-    best = named.orderBy(strength.desc(), "part").limit(training.features).select("part").collect()
+    n0, n1 = of["n0"], of["n1"]
+    share = (F.col("n0") + F.col("n1") + 1) / (n0 + n1 + 2)
+    apart = (F.col("n1") + 0.5) / (n1 + 1) - (F.col("n0") + 0.5) / (n0 + 1)
+    rows = totals.filter((F.col("part") != "") & (F.col("n0") + F.col("n1") >= training.least_documents))
+    rows = rows.withColumn("z", apart / F.sqrt(share * (1 - share) * (1 / n0 + 1 / n1))).filter(F.col("z") >= training.least_z)
+    best = rows.orderBy(F.desc("z"), "part").limit(training.features).select("part").collect()
     return {r[0]: i for i, r in enumerate(best)}
 
 

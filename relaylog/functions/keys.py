@@ -33,7 +33,7 @@ def cursor_for(boot: Column, sequence: Column) -> Column:
     return F.concat_ws(":", boot, sequence.cast("string"))
 
 
-_CURSOR = r"^([^:]+):([0-9]+)$"
+_CURSOR = r"\A([^:]+):([0-9]+)\z"
 # Sequence numbers are unsigned 64-bit, wider than any Spark integer.
 _MAX_SEQUENCE = "18446744073709551615"
 

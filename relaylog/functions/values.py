@@ -37,9 +37,23 @@ def _literal(value: Column) -> Column:
     return F.when(value.startswith(J.MARK) & ~J.is_string(value), J.literal(value))
 
 
+# Digits of the largest number of each type, and its size.
+_INT_DIGITS = {"int2": 5, "int4": 10, "int8": 19}
+_INT_BITS = {"int2": 16, "int4": 32, "int8": 64}
+
+
 def to_int(value: Column, type_name: str) -> Column:
+    """By form and range: a cast that fails costs many times one that does not."""
     lit = _literal(value)
-    return F.when(lit.try_cast(_SPARK_NAMES[type_name]).isNotNull(), lit)
+    digits, limit = _INT_DIGITS[type_name], 1 << (_INT_BITS[type_name] - 1)
+    whole = lit.rlike(rf"^-?[0-9]{{1,{digits}}}$")
+    if type_name == "int8":
+        size = F.ltrim(lit, F.lit("-"))
+        # Of 19 digits: as text, since not all of them are a bigint.
+        most = F.when(lit.startswith("-"), str(limit)).otherwise(str(limit - 1))
+        return F.when(whole & ((F.length(size) < digits) | (size <= most)), lit)
+    number = F.when(whole, lit).cast("bigint")
+    return F.when(number.between(-limit, limit - 1), lit)
 
 
 def expand_decimal(lit: Column) -> Column:

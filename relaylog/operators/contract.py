@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,8 +75,10 @@ def check_contract(df: DataFrame | None, source: Source) -> DataFrame:
     """Every broken rule, in rule order; the lowest is the one a single error would name. Empty is good.
 
     What the schema alone decides is decided on the driver; nulls and uniqueness come from
-    ``table_facts``. A missing table (None) needs a session: use ``missing_table``.
+    ``table_facts``. None is a table that does not exist.
     """
+    if df is None:
+        return missing_table(SparkSession.active(), source)
     types = _types(df)
     facts = table_facts(df, source)
     serial, key = source.serial_column, source.partitioning_column
@@ -159,6 +161,25 @@ def schema_drift(registered: DataFrame, current: DataFrame) -> DataFrame:
     )
 
 
+#: What a source's identity and its resource names consist of, besides the columns. The order is the order of checks.
+IDENTITY_FIELDS = ["table", "serial_column", "partitioning_column", "event_id_column", "partitions"]
+NAME_FIELDS = ["topic_prefix", "topic", "connector", "slot", "publication"]
+
+
+def identity_drift(registered: DataFrame, current: DataFrame) -> DataFrame:
+    """Fields of identity and names that differ from the registered ones; any of them blocks the source.
+
+    Both sides: ``source_id``, IDENTITY_FIELDS and NAME_FIELDS, one row per source. A registered source that is not
+    there any more differs in every field; a source that is not registered yet does not drift.
+    """
+    fields = [("identity", f) for f in IDENTITY_FIELDS] + [("names", f) for f in NAME_FIELDS]
+    old = registered.select("source_id", F.struct(*[F.col(f).cast("string") for _, f in fields]).alias("old"))
+    new = current.select("source_id", F.struct(*[F.col(f).cast("string") for _, f in fields]).alias("new"))
+    rows = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(f).alias("field"), F.col(f"old.{f}").alias("registered"), F.col(f"new.{f}").alias("current")) for k, f in fields])
+    both = old.join(new, "source_id", "left").select("source_id", F.inline(rows))
+    return both.filter(~F.col("registered").eqNullSafe(F.col("current")))
+
+
 def _hash_input(*members: Column) -> Column:
     """Compact JSON array of strings. The hash input spells these characters as escapes."""
     text = F.to_json(F.array(*[m.cast("string") for m in members]))

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import base64
+import http.client
 import json
 import random
+import re
 import time
 import urllib.error
 import urllib.request
@@ -17,7 +19,11 @@ from pyspark.sql import functions as F
 from relaylog.functions.acks import INVALID_ACK, MAX_RESPONSE_BYTES, RETRY_REQUESTED, TOO_LARGE
 from relaylog.operators.outcomes import RECORD_KEY
 
-Sender = Callable[[str, dict], tuple[int | None, str]]
+#: (body, headers) -> (status, body). Bytes are taken as they came, so their size is the size that was sent.
+Sender = Callable[[str, dict], tuple[int | None, str | bytes]]
+
+#: How deep a response may be nested. The JSON reader of the batch side stops there too; beyond it a response is a retry.
+MAX_DEPTH = 999
 
 _ATTEMPTS = "array<struct<attempt: int, status: int, outcome: string, retry_reason: string>>"
 DELIVERY_SCHEMA = (
@@ -37,11 +43,28 @@ def _members(obj: _Pairs, name: str, any_case: bool = False) -> list:
     return [v for k, v in obj if (k.lower() if any_case else k) == name]
 
 
+_BRACKETS = re.compile(r'"(?:[^"\\]|\\.)*"?|[\[\]{}]')
+
+
+def _depth(body: str) -> int:
+    depth = deepest = 0
+    for m in _BRACKETS.finditer(body):
+        if m[0] in "[{":
+            depth += 1
+            deepest = max(deepest, depth)
+        elif m[0] in "]}":
+            depth -= 1
+    return deepest
+
+
 def _ack(body: str) -> str | None:
     """One body's acknowledgement; the same rules as ``functions.acks.decode_ack``."""
+    if _depth(body) > MAX_DEPTH:
+        return None
+    number = {"parse_int": len, "parse_float": len}  # values of numbers don't matter, and may be too long to read
     try:
-        document = json.loads(body, object_pairs_hook=_Pairs, parse_constant=_reject_constant)
-    except ValueError:
+        document = json.loads(body, object_pairs_hook=_Pairs, parse_constant=_reject_constant, **number)
+    except (ValueError, RecursionError):
         return None
     results = _members(document, "result", any_case=True) if isinstance(document, _Pairs) else []
     if len(results) != 1 or not isinstance(results[0], _Pairs):
@@ -60,15 +83,16 @@ def _ack(body: str) -> str | None:
     return {"keep_going": "keep_going", "must_retry": "retry"}.get(fields[0])
 
 
-def classify(status: int | None, body: str) -> tuple[str | None, str | None]:
+def classify(status: int | None, body: str | bytes) -> tuple[str | None, str | None]:
     """One response's (outcome, retry reason); the same rules as ``classify_response``."""
     if status is None:
         return None, "destination unreachable"
-    if len(body.encode()) > MAX_RESPONSE_BYTES:
+    raw = body.encode() if isinstance(body, str) else body
+    if len(raw) > MAX_RESPONSE_BYTES:
         return None, TOO_LARGE
     if not 200 <= status <= 299:
         return None, f"destination returned HTTP {status}"
-    ack = _ack(body)
+    ack = _ack(raw.decode("utf-8", "replace"))
     if ack == "success":
         return "delivered", None
     if ack == "keep_going":
@@ -92,7 +116,8 @@ def deliver(
 
     ``routed`` carries ``body``, ``headers`` and ``outcome`` (a filtered record is finished and not
     sent). A partition stops at the first record still retrying after ``max_attempts``; that record
-    comes back without an outcome, those behind it do not come back at all, and both stay pending.
+    comes back without an outcome, those behind it do not come back at all, and both stay pending. A column
+    ``tried`` (attempts in earlier calls, else null) lets attempt numbers and waits go on from there.
 
     Sending is a side effect: write the result once and read it from there. Order allows one task per
     log partition, so a task streams its rows and holds one Arrow batch; bound a round by offsets
@@ -109,22 +134,22 @@ def deliver(
                 place = (r.destination_id, r.topic, r.partition)
                 if place in stopped:
                     continue
-                outcome, attempts = r.outcome, []
+                outcome, attempts, number = r.outcome, [], int(r.tried)
                 while outcome is None and len(attempts) < max_attempts:
-                    if attempts:
-                        sleep(_backoff(len(attempts) - 1))
+                    if number:
+                        sleep(_backoff(number - 1))
                     status, body = sender(r.body, dict(r.headers))
                     outcome, reason = classify(status, body)
-                    attempts.append(
-                        {"attempt": len(attempts), "status": status, "outcome": outcome, "retry_reason": reason}
-                    )
+                    attempts.append({"attempt": number, "status": status, "outcome": outcome, "retry_reason": reason})
+                    number += 1
                 if outcome is None:
                     stopped.add(place)
                 rows.append((*place, r.offset, outcome, attempts))
             yield pd.DataFrame(rows, columns=[*RECORD_KEY, "outcome", "attempts"])
 
+    tried = F.coalesce("tried", F.lit(0)) if "tried" in routed.columns else F.lit(0)
     ordered = (
-        routed.select(*RECORD_KEY, "outcome", "body", "headers")
+        routed.select(*RECORD_KEY, "outcome", "body", "headers", tried.cast("long").alias("tried"))
         .repartition(parallelism, *[F.col(k) for k in key])
         .sortWithinPartitions(*RECORD_KEY)
     )
@@ -142,17 +167,20 @@ def http_sender(
     """POST with Basic auth and JSON; redirects are not followed, at most one byte over the limit is read."""
     token = base64.b64encode(f"{username}:{password}".encode()).decode()
 
-    def send(body: str, headers: dict) -> tuple[int | None, str]:
+    def send(body: str, headers: dict) -> tuple[int | None, bytes]:
         request = urllib.request.Request(
             endpoint, body.encode(), {**headers, "Authorization": f"Basic {token}"}, method="POST"
         )
         try:
             with (opener or urllib.request.build_opener(_NoRedirect)).open(request, timeout=timeout) as response:
-                return response.status, response.read(MAX_RESPONSE_BYTES + 1).decode("utf-8", "replace")
+                return response.status, response.read(MAX_RESPONSE_BYTES + 1)
         except urllib.error.HTTPError as e:
-            with e:
-                return e.code, e.read(MAX_RESPONSE_BYTES + 1).decode("utf-8", "replace")
-        except OSError:
-            return None, ""
+            try:
+                with e:
+                    return e.code, e.read(MAX_RESPONSE_BYTES + 1)
+            except (OSError, http.client.HTTPException):
+                return None, b""
+        except (OSError, http.client.HTTPException):
+            return None, b""
 
     return send

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from relaylog.functions.acks import classify_response
 from relaylog.functions.keys import backoff_seconds
-from relaylog.operators.scale import ROWS_PER_CHUNK, running_sum, small_side
+from relaylog.operators.scale import running_sum, small_side
 
 RECORD_KEY = ["destination_id", "topic", "partition", "offset"]
 OUTCOMES = ["delivered", "filtered", "skipped"]
@@ -38,13 +38,13 @@ def resolve_attempts(attempts: DataFrame) -> DataFrame:
     )
 
 
-def retry_schedule(attempts: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
+def retry_schedule(attempts: DataFrame, chunks: int | None = None) -> DataFrame:
     """``wait_seconds`` after each attempt and ``due_seconds``, when the next one is due since the first.
 
     ``attempt`` counts from 0 per record, ``u`` in [0, 1) is the jitter.
     """
     waits = attempts.withColumn("wait_seconds", backoff_seconds(F.col("attempt"), F.col("u")))
-    return running_sum(waits, RECORD_KEY, "attempt", F.col("wait_seconds"), "due_seconds", rows_per_chunk, dense=True)
+    return running_sum(waits, RECORD_KEY, "attempt", F.col("wait_seconds"), "due_seconds", chunks)
 
 
 def commit_frontier(outcomes: DataFrame) -> DataFrame:

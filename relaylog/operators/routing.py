@@ -73,7 +73,10 @@ def ready_destinations(subs: DataFrame, source_states: DataFrame) -> DataFrame:
 
 def drop_blocked(records: DataFrame, blocked: DataFrame, sources: int) -> DataFrame:
     """Blocked sources dispatch nothing. ``sources`` bounds how many there are."""
-    return records.join(small_side(blocked.select("source_id").distinct(), sources), "source_id", "left_anti")
+    # A source that is one literal for all records would be folded away, and the join would lose its key.
+    keyed = records.select("*", F.inline(F.array(F.struct(F.col("source_id").alias("__of")))))
+    down = small_side(blocked.select(F.col("source_id").alias("__of")).distinct(), sources)
+    return keyed.join(down, "__of", "left_anti").drop("__of")
 
 
 def split_known_skips(routed: DataFrame, skips: DataFrame, horizons: DataFrame, partitions: int) -> DataFrame:

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relaylog.operators.outcomes import RECORD_KEY
-from relaylog.operators.scale import ROWS_PER_CHUNK, with_previous
+from relaylog.operators.outcomes import OUTCOMES, RECORD_KEY
+from relaylog.operators.scale import with_previous
 
 
 def insert_if_absent(table: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -24,7 +24,7 @@ def ensure_subscriptions(table: DataFrame, ids: DataFrame, keys: Sequence[str])
 
 
 def fold_desired(
-    subscriptions: DataFrame, commands: DataFrame, keys: Sequence[str], rows_per_chunk: int = ROWS_PER_CHUNK
+    subscriptions: DataFrame, commands: DataFrame, keys: Sequence[str], chunks: int | None = None
 ) -> DataFrame:
     """Apply a command log (``keys, seq, state``) to stored subscriptions (``keys, desired, revision``).
 
@@ -32,26 +32,32 @@ def fold_desired(
     running and paused, and those for unknown subscriptions, have no effect.
     """
     valid = commands.filter(F.col("state").isin("running", "paused"))
-    steps = with_previous(valid, keys, "seq", ["state"], "before", rows_per_chunk)
+    # States as numbers: aggregates over text sort their input instead of hashing it.
+    paused = valid.select(*keys, "seq", (F.col("state") == "paused").cast("int").alias("paused"))
+    steps = with_previous(paused, keys, "seq", ["paused"], "before", chunks)
     folded = steps.groupBy(*keys).agg(
-        F.max_by("state", "seq").alias("last_state"),
-        F.min_by("state", "seq").alias("first_state"),
-        F.count_if(F.col("before.state") != F.col("state")).alias("changes"),
+        F.max_by("paused", "seq").alias("last"),
+        F.min_by("paused", "seq").alias("first"),
+        F.count_if(F.col("before.paused") != F.col("paused")).alias("changes"),
     )
     joined = subscriptions.join(folded, list(keys), "left")
-    first_change = F.when(F.col("first_state") != F.col("desired"), 1).otherwise(0)
+    first_change = F.when((F.col("first") == 1) != (F.col("desired") == "paused"), 1).otherwise(0)
+    last_state = F.when(F.col("last") == 1, "paused").when(F.col("last") == 0, "running")
     return joined.select(
         *keys,
-        F.coalesce("last_state", "desired").alias("desired"),
+        F.coalesce(last_state, "desired").alias("desired"),
         (F.col("revision") + F.coalesce(F.col("changes") + first_change, F.lit(0))).cast("long").alias("revision"),
     )
 
 
 def latest_by_revision(observations: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Upserts accepted only at the same or a higher revision: the last arrival of the highest one stands."""
-    return observations.groupBy(*keys).agg(
-        F.max("revision").alias("revision"), F.max_by("state", F.struct("revision", "arrival")).alias("state")
-    )
+    # The place of an arrival and the state are found by number; the state's text is joined back on.
+    revision, arrival = (F.col(c).cast("decimal(19,0)") for c in ("revision", "arrival"))
+    place = (revision * F.lit("9223372036854775808").cast("decimal(19,0)") + arrival).cast("decimal(38,0)")
+    placed = observations.select(*keys, "revision", "state", place.alias("__place"))
+    last = placed.groupBy(*keys).agg(F.max("__place").alias("__place"))
+    return placed.join(last, [*keys, "__place"]).select(*keys, "revision", "state").distinct()
 
 
 def observed_everywhere(
@@ -78,15 +84,26 @@ def terminal_everywhere(routed: DataFrame, outcomes: DataFrame) -> DataFrame:
     )
 
 
+def best_outcomes(sent: DataFrame) -> DataFrame:
+    """One row per destination and position over all rounds: its outcome if any round has one."""
+    codes = F.array(*[F.lit(o) for o in OUTCOMES])
+    code = F.max(F.array_position(codes, F.col("outcome")).cast("int"))
+    return sent.groupBy(*RECORD_KEY).agg(code.alias("code")).select(*RECORD_KEY, F.get(codes, F.col("code") - 1).alias("outcome"))
+
+
 def latch_blocks(events: DataFrame) -> DataFrame:
     """Blocked sources and the latest reason. A block never clears; an empty reason is no block."""
-    named = events.filter(F.trim("reason") != "")
-    return named.groupBy("source_id").agg(F.max_by("reason", "seq").alias("reason"))
+    named = events.filter(F.trim("reason") != "").select("source_id", "seq", "reason").distinct()
+    last = named.groupBy("source_id").agg(F.max("seq").alias("seq"))
+    latest = named.join(last, ["source_id", "seq"])
+    # Of reasons with one seq, the one that hashes least: a number, so nothing is sorted.
+    one = latest.groupBy("source_id").agg(F.min(F.xxhash64("reason")).alias("__hash"))
+    return latest.join(one, "source_id").filter(F.xxhash64("reason") == F.col("__hash")).select("source_id", "reason")
 
 
-def state_changes(observed: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
+def state_changes(observed: DataFrame, chunks: int | None = None) -> DataFrame:
     """The observations (``source_id, seq, state, reason``) that differ from the one before."""
-    steps = with_previous(observed, ["source_id"], "seq", ["state", "reason"], "before", rows_per_chunk)
+    steps = with_previous(observed, ["source_id"], "seq", ["state", "reason"], "before", chunks)
     now = F.struct("state", "reason")
     return steps.filter(F.col("before").isNull() | ~now.eqNullSafe(F.col("before"))).drop("before")
 

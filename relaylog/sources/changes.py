@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from relaylog.functions.values import format_sql_timestamp, micros_from_ntz, ntz_from_micros
 from relaylog.model import RAW_RECORD, Identity, Source
-from relaylog.operators.scale import ROWS_PER_CHUNK, numbered
+from relaylog.operators.scale import numbered
 
 
 def partition_of(key: Column, partitions: int) -> Column:
@@ -16,7 +16,7 @@ def partition_of(key: Column, partitions: int) -> Column:
 
 
 def assign_positions(
-    df: DataFrame, identity: Identity, partition: Column | None = None, rows_per_chunk: int = ROWS_PER_CHUNK
+    df: DataFrame, identity: Identity, partition: Column | None = None, chunks: int | None = None
 ) -> DataFrame:
     """Add ``partition`` (by key) and ``offset``: gapless from 0 per partition, in serial order.
 
@@ -25,7 +25,7 @@ def assign_positions(
     if partition is None:
         partition = partition_of(F.col(f"`{identity.partitioning_column}`"), identity.partitions)
     placed = df.withColumn("partition", partition.cast("int"))
-    return numbered(placed, ["partition"], identity.serial_column, "offset", rows_per_chunk)
+    return numbered(placed, ["partition"], identity.serial_column, "offset", chunks)
 
 
 def change_value(name: str, type_name: str) -> Column:

@@ -5,14 +5,18 @@ partition, kept as small versioned tables next to the appended skips, outcomes a
 micro-batch learns how far the log reaches, then works in rounds: a round reads at most
 ``round_size`` records per log partition from the committed offset on, so a task's work is bounded
 however large a partition's backlog is. Nothing is skipped: what a round does not finish is read
-again from its committed offset.
+again from its committed offset, and its attempts are counted on. The decoded records of a round are
+deleted once its positions are written; its outcomes and activity stay.
+
+The log is written in order: a writer makes a partition's records visible only after all with lower offsets.
 """
 
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,12 +27,20 @@ from relaylog.functions.keys import delivery_group
 from relaylog.model import RAW_RECORD, Destination, Identity, Scope, Source
 from relaylog.operators import activity, decode, outcomes, routing, tables
 from relaylog.operators.deliver import Sender, deliver
+from relaylog.operators.scale import small_side
 from relaylog.sources.changes import log_bounds, read_changes, read_changes_stream
 
-_POSITIONS = "topic string, partition int, first_offset bigint, end_offset bigint, horizon bigint, committed bigint"
+# ``tried``: attempts so far at the record at ``committed``, the one that may still be retrying.
+_POSITIONS = (
+    "topic string, partition int, first_offset bigint, end_offset bigint, horizon bigint, committed bigint, tried bigint"
+)
 _SKIPS = "destination_id string, source_id string, event_id string, topic string, partition int, offset bigint"
 _BOUNDS = "topic string, partition int, first_offset bigint, end_offset bigint"
 _BLOCKED = "source_id string, seq bigint, reason string"
+_SENT = "destination_id string, topic string, partition int, offset bigint, outcome string"
+_RANGES = "topic string, partition int, low bigint, high bigint, tried bigint"
+#: Folders of outcomes, or files of skips, above which they are written together.
+_COMPACT = 64
 
 
 # Hashing places several log partitions in one task now and then; more tasks make that rarer.
@@ -61,6 +73,9 @@ class DeliveryJob:
     round_size: int = 10_000
     sleep: Callable[[float], None] | None = None
     paused: bool = False
+    # How the log is read: format and options of ``read_changes`` and ``read_changes_stream``.
+    log_format: str = "parquet"
+    log_options: dict = field(default_factory=dict)
 
     def path(self, name: str) -> str:
         return f"{self.state_path}/{delivery_group(self.scope, self.destination.id)}/{name}"
@@ -70,7 +85,11 @@ class DeliveryJob:
         return f"{self.state_path}/{self.scope.namespace}.{self.scope.environment}.g{self.scope.generation}/blocked"
 
     def blocked(self) -> DataFrame:
-        return tables.read_state(self.spark, self.blocked_path(), _BLOCKED)
+        """Every block has files of its own, so writers can't overwrite each other; the latest reason stands."""
+        return tables.latch_blocks(_read_appended(self.spark, self.blocked_path(), _BLOCKED))
+
+    def log(self) -> DataFrame:
+        return read_changes(self.spark, self.log_path, self.log_format, **self.log_options)
 
     def positions(self) -> DataFrame:
         return tables.read_state(self.spark, self.path("positions"), _POSITIONS)
@@ -102,9 +121,10 @@ class DeliveryJob:
             horizon.alias("horizon"),
             reach.alias("reach"),
             "committed",
+            "tried",
         )
         known = bounds.filter(F.col("committed").isNotNull()).select(*outcomes.PARTITION_KEY, "committed")
-        history = outcomes.check_history(bounds.drop("committed", "horizon", "reach"), known, known)
+        history = outcomes.check_history(bounds.drop("committed", "horizon", "reach", "tried"), known, known)
         # One row per log partition at most.
         lost = history.filter(F.col("state") == "blocked").collect()
         if lost:
@@ -119,44 +139,44 @@ class DeliveryJob:
             F.col("reach").alias("end_offset"),
             "horizon",
             F.coalesce("committed", "first_offset").alias("committed"),
+            F.coalesce("tried", F.lit(0)).alias("tried"),
         )
         tables.write_state(state, self.path("positions"))
 
     def _topics(self) -> list[str]:
         return [c.topic for c in self.sources]
 
-    def _open_sources(self) -> list[CapturedSource]:
-        """Sources that are not blocked; read anew every round, so a block crosses destinations."""
-        blocked = {r["source_id"] for r in self.blocked().collect()}
-        return [c for c in self.sources if c.source.id not in blocked]
+    def down(self) -> list[str]:
+        """Sources of this destination that do not run. While there is one, the destination rests.
+
+        Read anew every round, so a block crosses destinations.
+        """
+        listed = [c.source.id for c in self.sources]
+        blocked = {r["source_id"] for r in self.blocked().filter(F.col("source_id").isin(listed)).collect()}
+        return [s for s in listed if s in blocked]
 
-    def _window(self, positions: list) -> DataFrame | None:
-        """The next records of every unfinished log partition, as pushed-down ranges."""
+    def round(self, log: DataFrame | None = None) -> bool:
+        """One bounded round; false when no partition moved. ``log``: the log with its files already listed."""
+        spark = self.spark
+        if self.down():
+            return False
+        # One row per log partition of this generation: bounded by the frozen partition counts.
+        positions = [p for p in self.positions().collect() if p["topic"] in self._topics()]
         ranges = [
-            (F.col("topic") == p["topic"])
-            & (F.col("partition") == p["partition"])
-            & (F.col("offset") >= p["committed"])
-            & (F.col("offset") < min(p["end_offset"], p["committed"] + self.round_size))
+            (p["topic"], p["partition"], p["committed"], min(p["end_offset"], p["committed"] + self.round_size), p["tried"])
             for p in positions
             if p["committed"] < p["end_offset"]
         ]
         if not ranges:
-            return None
-        return read_changes(self.spark, self.log_path).filter(reduce(lambda a, b: a | b, ranges))
-
-    def round(self) -> bool:
-        """One bounded round; false when no partition moved."""
-        spark = self.spark
-        sources = self._open_sources()
-        topics = [c.topic for c in sources]
-        # One row per log partition of this generation: bounded by the frozen partition counts.
-        positions = [p for p in self.positions().collect() if p["topic"] in topics]
-        raw = self._window(positions)
-        if raw is None:
             return False
-        # Every round that gets anywhere writes new positions, so their version names it. A round
-        # repeated after a failure writes over its own unfinished output.
-        round_path = self.path(f"rounds/{tables.last_version(spark, self.path('positions')):020d}")
+        sources = [c for c in self.sources if c.topic in {r[0] for r in ranges}]
+        log = self.log() if log is None else log
+        open_partitions = F.col("topic").isin([c.topic for c in sources]) & F.col("partition").isin(sorted({r[1] for r in ranges}))
+        window = small_side(spark.createDataFrame(ranges, _RANGES), len(ranges))
+        near = log.filter(open_partitions & (F.col("offset") >= min(r[2] for r in ranges)) & (F.col("offset") < max(r[3] for r in ranges)))
+        raw = near.join(window, ["topic", "partition"]).filter("offset >= low and offset < high").drop("low", "high", "tried")
+        # A round's folder is its own: one that fails or moves nothing keeps what it has written.
+        round_path = self.path(f"rounds/{tables.last_version(spark, self.path('positions')):020d}-{uuid.uuid4().hex}")
         decoded = reduce(
             DataFrame.unionByName,
             [
@@ -177,6 +197,10 @@ class DeliveryJob:
         horizons = self.positions().select("topic", "partition", "horizon")
         marked = routing.split_known_skips(routed, self.skips(), horizons, partitions)
         marked = marked.withColumn("outcome", F.when(F.col("known_skip"), "skipped").otherwise(F.col("outcome")))
+        # Only the first record of a partition's range can have been tried before.
+        first = spark.createDataFrame([(*r[:3], r[4]) for r in ranges], "topic string, partition int, offset bigint, tried bigint")
+        marked = marked.join(small_side(first, len(ranges)), ["topic", "partition", "offset"], "left")
+        marked = marked.withColumn("tried", F.coalesce("tried", F.lit(0)))
         requests = routing.headers(routing.envelopes(marked))
         sleep = {"sleep": self.sleep} if self.sleep else {}
         results = deliver(requests, self.sender, self.max_attempts, _TASKS_PER_PARTITION * partitions, **sleep)
@@ -191,21 +215,25 @@ class DeliveryJob:
         self._store_blocks(
             decode.blocked_sources(decoded).select("source_id", F.col("offset").alias("seq"), "reason")
         )
-        return self._advance(sent)
+        moved = self._advance(sent)
+        _delete(spark, f"{round_path}/records")
+        return moved
 
     def _store_blocks(self, found: DataFrame) -> None:
-        """A block never clears. Two queries writing at once may lose one; its query then finds it again."""
         if not found.isEmpty():
-            tables.merge_table(self.blocked_path(), found, ["source_id"], "insert")
+            found.select("source_id", F.col("seq").cast("long").alias("seq"), "reason").write.mode("append").parquet(self.blocked_path())
 
     def _advance(self, sent: DataFrame) -> bool:
         frontier = outcomes.commit_frontier(sent).drop("destination_id").withColumnRenamed("committed", "reached")
+        retrying = sent.filter(F.col("outcome").isNull()).select("topic", "partition", F.element_at("attempts", -1)["attempt"].alias("last"))
         old = self.positions()
-        new = old.join(frontier, ["topic", "partition"], "left")
+        new = old.join(frontier, ["topic", "partition"], "left").join(retrying, ["topic", "partition"], "left")
         moved = not new.filter(F.col("reached") > F.col("committed")).isEmpty()
-        if moved:
-            state = new.withColumn("committed", F.greatest("committed", F.coalesce("reached", "committed"))).drop("reached")
-            tables.write_state(state, self.path("positions"))
+        # A partition without results in this round keeps what it has.
+        tried = F.when(F.col("reached").isNull(), F.col("tried")).otherwise(F.coalesce(F.col("last") + 1, F.lit(0)))
+        state = new.withColumn("tried", tried.cast("long"))
+        state = state.withColumn("committed", F.greatest("committed", F.coalesce("reached", "committed"))).drop("reached", "last")
+        tables.write_state(state, self.path("positions"))
         return moved
 
     def _log(self, finished: DataFrame, path: str) -> None:
@@ -216,36 +244,64 @@ class DeliveryJob:
         activity.write_activity(activity.activity_entries(records, tried), path, "overwrite")
 
     def drain(self) -> None:
-        """Rounds until nothing moves: the end is reached, or what is left keeps asking for a retry."""
-        while not self.paused and self.round():
+        """Rounds until nothing moves: the end is reached, or what is left keeps asking for a retry.
+
+        The log's files are listed once for all of them.
+        """
+        log = self.log()
+        while not self.paused and self.round(log):
             pass
 
     def process(self, batch: DataFrame, _: int) -> None:
         # One row per log partition. Also when pausing: the checkpoint passes this batch.
         seen = log_bounds(batch.filter(F.col("topic").isin(self._topics()))).collect()
         if seen:
-            self._take(self.spark.createDataFrame(seen, _BOUNDS), at_start=False)
+            self._take(self._whole(seen), at_start=False)
         self.drain()
 
+    def _whole(self, seen: list) -> DataFrame:
+        """Bounds of a micro-batch, with those of new partitions from the log: a batch need not begin at their start."""
+        known = {(p["topic"], p["partition"]) for p in self.positions().select("topic", "partition").collect()}
+        new = [s for s in seen if (s["topic"], s["partition"]) not in known]
+        rows = [tuple(s) for s in seen if s not in new]
+        if new:
+            log = self.log().filter(F.col("topic").isin(sorted({s["topic"] for s in new})))
+            log = log.filter(F.col("partition").isin(sorted({s["partition"] for s in new})))
+            places = {(s["topic"], s["partition"]) for s in new}
+            rows += [tuple(r) for r in log_bounds(log).collect() if (r["topic"], r["partition"]) in places]
+        return self.spark.createDataFrame(rows, _BOUNDS)
+
+    def compact(self) -> None:
+        """Write the outcomes of many rounds, and many small files of skips, together. Runs while no query does."""
+        for name, schema in (("rounds/*/sent", _SENT), ("skips", _SKIPS)):
+            old = _folders(self.spark, self.path(name)) if "*" in name else _files(self.spark, self.path(name))
+            if len(old) > _COMPACT:
+                table = _read_appended(self.spark, self.path(name), schema)
+                table = tables.best_outcomes(table) if "*" in name else table.distinct()
+                # A crash in between leaves rows twice, which changes nothing.
+                table.write.mode("append").parquet(self.path(f"rounds/compact-{uuid.uuid4().hex}/sent" if "*" in name else name))
+                for path in old:
+                    _delete(self.spark, path)
+
     def start(self, per_trigger: int | None = None, available_now: bool = False, every: str = "5 seconds") -> StreamingQuery:
         """Start, or go on where the checkpoint and the positions left off.
 
         A heartbeat keeps micro-batches coming while the log is quiet, so records that asked for a
         retry are tried again.
         """
-        log = read_changes(self.spark, self.log_path).filter(F.col("topic").isin(self._topics()))
-        self._take(log_bounds(log), at_start=True)
+        self.compact()
+        self._take(log_bounds(self.log().filter(F.col("topic").isin(self._topics()))), at_start=True)
         # The heartbeat is part of bounded runs too: a checkpoint is tied to its sources.
-        stream = read_changes_stream(self.spark, self.log_path, per_trigger).unionByName(_heartbeat(self.spark))
+        stream = read_changes_stream(
+            self.spark, self.log_path, per_trigger, self.log_format, **self.log_options
+        ).unionByName(_heartbeat(self.spark))
         trigger = {"availableNow": True} if available_now else {"processingTime": every}
         writer = stream.writeStream.foreachBatch(self.process).option("checkpointLocation", self.path("checkpoint"))
         return writer.trigger(**trigger).start()
 
     def outcomes(self) -> DataFrame:
         """Latest outcome per position over all rounds. Retried positions appear in several rounds."""
-        schema = "destination_id string, topic string, partition int, offset bigint, outcome string"
-        sent = _read_appended(self.spark, self.path("rounds/*/sent"), schema)
-        return sent.groupBy(*outcomes.RECORD_KEY).agg(F.max("outcome").alias("outcome"))
+        return tables.best_outcomes(_read_appended(self.spark, self.path("rounds/*/sent"), _SENT))
 
 
 def _heartbeat(spark: SparkSession) -> DataFrame:
@@ -254,6 +310,20 @@ def _heartbeat(spark: SparkSession) -> DataFrame:
     return beats.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in RAW_RECORD.fields])
 
 
+def _folders(spark: SparkSession, pattern: str) -> list[str]:
+    fs, target = tables.hadoop_path(spark, pattern)
+    return [str(f.getPath()) for f in fs.globStatus(target) or []]
+
+
+def _files(spark: SparkSession, path: str) -> list[str]:
+    return _folders(spark, f"{path}/*.parquet")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, target = tables.hadoop_path(spark, path)
+    fs.delete(target, True)
+
+
 def _read_appended(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """An appended table, or an empty one before its first write."""
     fs, target = tables.hadoop_path(spark, path)

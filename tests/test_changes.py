@@ -57,7 +57,7 @@ def test_snapshot_reads_only_the_configured_columns(spark, table):
 
 @pytest.mark.parametrize("chunk", [7, 1000])
 def test_positions(table, identity, chunk):
-    placed = changes.assign_positions(table, identity, rows_per_chunk=chunk).collect()
+    placed = changes.assign_positions(table, identity, chunks=chunk).collect()
     assert len(placed) == 60
     by_key, by_partition = {}, {}
     for r in sorted(placed, key=lambda r: r.Id):

@@ -277,7 +277,7 @@ def test_http_sender():
     (request, timeout), = opener.requests
     assert (request.method, request.data, timeout) == ("POST", b"{}", 60.0)
     assert request.headers["Authorization"] == "Basic dXNlcjpzZWNyZXQ=" and request.headers["Idempotency-key"] == "k"
-    assert http_sender("http://example.invalid", "u", "p", opener=Opener(302, b""))("{}", {}) == (302, "")
-    assert http_sender("http://example.invalid", "u", "p", opener=Opener(None, b""))("{}", {}) == (None, "")
+    assert http_sender("http://example.invalid", "u", "p", opener=Opener(302, b""))("{}", {}) == (302, b"")
+    assert http_sender("http://example.invalid", "u", "p", opener=Opener(None, b""))("{}", {}) == (None, b"")
 
 

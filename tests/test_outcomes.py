@@ -10,7 +10,7 @@ from relaylog.model import Scope
 from relaylog.operators import outcomes
 from relaylog.operators.deliver import classify
 
-ERROR = '{"result":{"error":{"policy":"%s","class":"c","description":"d"}}}'
+ERROR = '{"result":{"error":{"policy":"%s","class":"late","description":"closed today"}}}'
 OK = '{"result":{"success":{}}}'
 ACKS = [
     (OK, "success"),
@@ -21,8 +21,8 @@ ACKS = [
     ('{"result":{"success":"{}"}}', None),
     ('{"result":{"error":{"policy":"keep_going"}}}', None),
     (ERROR % "surprise", None),
-    ('{"result":{"success":{},"error":{"policy":"must_retry","class":"c","description":"d"}}}', "success"),
-    ('{"result":{"success":1,"error":{"policy":"keep_going","class":"c","description":"d"}}}', "keep_going"),
+    ('{"result":{"success":{},"error":{"policy":"must_retry","class":"late","description":"closed today"}}}', "success"),
+    ('{"result":{"success":1,"error":{"policy":"keep_going","class":"late","description":"closed today"}}}', "keep_going"),
     ('{"result":{}}', None),
     ("", None),
     ('{"result":[]}', None),
@@ -34,13 +34,20 @@ ACKS = [
     (" " + OK + "\n", "success"),
     ('{"RESULT":{"success":{"id":1}}}', "success"),
     ('{"result":{"Success":{}}}', None),
-    ('{"result":{"error":{"Policy":"keep_going","CLASS":"c","Description":"d","more":1}}}', "keep_going"),
-    ('{"result":{"error":{"policy":"keep_going","class":1,"description":"d"}}}', None),
-    ('{"result":{"error":{"policy":"keep_going","class":null,"description":"d"}}}', None),
+    ('{"result":{"error":{"Policy":"keep_going","CLASS":"late","Description":"closed today","since":3}}}', "keep_going"),
+    ('{"result":{"error":{"policy":"keep_going","class":7,"description":"closed today"}}}', None),
+    ('{"result":{"error":{"policy":"keep_going","class":null,"description":"closed today"}}}', None),
     ('{"result":{"error":{"policy":"keep_going","class":"","description":""}}}', "keep_going"),
-    ('{"result":{"error":{"policy":"must_retry","policy":"keep_going","class":"c","description":"d"}}}', "keep_going"),
+    ('{"result":{"error":{"policy":"must_retry","policy":"keep_going","class":"late","description":"closed today"}}}', "keep_going"),
     ('{"result":{"success":{}},"result":{}}', None),
     ('{"result":{"success":{"a":NaN}}}', None),
+    ('{"n":%s,"result":{"success":{}}}' % ("8" * 5000), "success"),
+    ('{"n":%s.5e7,"result":{"success":{"m":-%s}}}' % ("3" * 4400, "2" * 4400), "success"),
+    ('{"n":%s1%s,"result":{"success":{}}}' % ("[" * 900, "]" * 900), "success"),
+    ('{"n":%s1%s,"result":{"success":{}}}' % ("[" * 1500, "]" * 1500), None),
+    ('{"n":"%s","result":{"success":{}}}' % ("[{" * 1500), "success"),
+    ("[" * 30_000, None),
+    ('{"result":' * 12_000, None),
 ]
 
 
@@ -78,6 +85,13 @@ def test_responses(spark):
     assert [tuple(r.c) for r in got] == [(o, why) for _, _, o, why in RESPONSES]
 
 
+def test_bytes_are_measured_as_they_came():
+    body = b'{"note":"' + b"\xff" * 40_000 + b'","result":{"success":{}}}'
+    assert classify(200, body) == ("delivered", None)
+    assert classify(200, body.ljust(LIMIT)) == ("delivered", None)
+    assert classify(200, body.ljust(LIMIT + 1))[1] == "destination response exceeds 64 KiB"
+
+
 def test_the_sender_side_classifies_alike():
     for status, body, outcome, why in RESPONSES:
         assert classify(status, body) == (outcome, why)
@@ -129,7 +143,7 @@ def test_keys(spark):
 
 def test_cursors(spark):
     good = {"boot:0": ("boot", 0), "x:18446744073709551615": ("x", 2**64 - 1)}
-    bad = ["broken", "x:no", "x:-1", "x:+1", "x:1:2", ":1", "x:", "", "x:18446744073709551616"]
+    bad = ["broken", "x:no", "x:-1", "x:+1", "x:1:2", ":1", "x:", "", "x:18446744073709551616", "x:1\n"]
     df = spark.createDataFrame([(c,) for c in [*good, *bad]], "c string")
     got = {r.c: r.p and (r.p.boot, int(r.p.sequence)) for r in df.select("c", parse_cursor(F.col("c")).alias("p")).collect()}
     assert got == {**good, **dict.fromkeys(bad)}

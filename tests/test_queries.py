@@ -6,9 +6,13 @@ import pytest
 
 import __spark_entry__ as driver
 import oracle_check
+from relaylog.plans import oracle
+from relaylog.plans import queries as registered
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+# Those of the optional subpackage have their own tests.
+QUERIES = {name: driver.queries()[name] for name in registered.all_queries()}
+SQL = {name: driver.oracle_sql()[name] for name in oracle.all_sql()}
 
 
 @pytest.fixture(scope="module")

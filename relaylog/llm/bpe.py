@@ -2,7 +2,7 @@
 
 The pairs of a word wait in buckets, one for each merge rank. A bucket is a linked list of entries; an entry is the
 position of a pair's left part. A hierarchy of bitmaps tells which buckets are not empty: a bit stands for a bucket,
-a bit of the level above for a word of bits below. Find-first-set, from the top, gives the lowest rank in a few steps.
+a bit of the level above for a word of bits below. Find-first-set, from the top, gives the lowest rank in two steps.
 A merge changes its two neighbours' pairs; their old entries stay and are skipped once they come up, because
 the pair's rank is then another one. So a word of n bytes takes O(n) steps and a scan of each bucket, also if it is a
 hundred thousand bytes long.
@@ -25,66 +25,48 @@ from relaylog.llm.common import map_batches, text_column
 from relaylog.llm.pieces import KEPT_PIECES, Pieces
 
 _BITS = 256
+_BIT = [1 << i for i in range(_BITS)]
 _NONE = -1
 
 
 class RankQueue:
-    """Entries by rank; gives the lowest rank that has any."""
+    """Entries by rank. ``top`` has a bit for each word of ``words`` that is not zero, a word a bit for each rank.
+
+    Entries stand in ``positions`` and ``next``; ``head`` has the last entry of each rank. A caller that merges inlines
+    what ``push`` and ``pop`` do.
+    """
 
     def __init__(self, ranks: int):
         self.head = [_NONE] * ranks
-        self.levels = []
-        while True:
-            ranks = -(-ranks // _BITS)
-            self.levels.append([0] * ranks)
-            if ranks == 1:
-                break
+        self.words = [0] * -(-ranks // _BITS)
+        self.top = 0
         self.positions: list[int] = []
         self.next: list[int] = []
 
     def push(self, rank: int, position: int) -> None:
-        old = self.head[rank]
+        if (old := self.head[rank]) == _NONE:
+            word = rank // _BITS
+            if not self.words[word]:
+                self.top |= 1 << word
+            self.words[word] |= _BIT[rank % _BITS]
         self.head[rank] = len(self.positions)
         self.positions.append(position)
         self.next.append(old)
-        if old == _NONE:
-            at = rank
-            for level in self.levels:
-                at, bit = divmod(at, _BITS)
-                before = level[at]
-                level[at] = before | 1 << bit
-                if before:
-                    break
 
-    def lowest(self) -> int:
-        """The lowest rank with entries, or -1."""
-        at = 0
-        for level in reversed(self.levels):
-            word = level[at]
-            if not word:
-                return _NONE
-            at = at * _BITS + (word & -word).bit_length() - 1
-        return at
-
-    def drain(self, rank: int) -> list[int]:
-        """All positions of a rank, from left to right."""
-        out, entry = [], self.head[rank]
+    def pop(self) -> tuple[int, list[int]]:
+        """The lowest rank that has entries, and their positions from left to right. There must be one."""
+        word = (self.top & -self.top).bit_length() - 1
+        bits = self.words[word]
+        rank = word * _BITS + (bits & -bits).bit_length() - 1
+        self.words[word] = bits = bits & (bits - 1)
+        if not bits:
+            self.top &= self.top - 1
+        entry, self.head[rank], found = self.head[rank], _NONE, []
         while entry != _NONE:
-            out.append(self.positions[entry])
+            found.append(self.positions[entry])
             entry = self.next[entry]
-        self.head[rank] = _NONE
-        at = rank
-        for level in self.levels:
-            at, bit = divmod(at, _BITS)
-            level[at] &= ~(1 << bit)
-            if level[at]:
-                break
-        out.sort()
-        return out
-
-    def reset(self) -> None:
-        self.positions.clear()
-        self.next.clear()
+        found.sort()
+        return rank, found
 
 
 class BytePairs:
@@ -102,47 +84,85 @@ class BytePairs:
 
     def word(self, data: bytes) -> list[int]:
         """Ids of one match of the pattern: the lowest-ranked pair is merged first, the leftmost among equals."""
-        ranks = self.ranks
-        if (whole := ranks.get(data)) is not None:
+        get = self.ranks.get
+        if (whole := get(data)) is not None:
             return [whole]
-        n, queue = len(data), self.queue
+        n = len(data)
         ends = list(range(1, n + 1))  # a part is data[i:ends[i]]
         before = list(range(-1, n))
         pair = [_NONE] * n  # the rank of the pair that begins at a part; none for the last and for merged parts
+        head, words, top, positions, following = self.queue.head, self.queue.words, 0, [], []
         for i in range(n - 2, -1, -1):
-            if (rank := ranks.get(data[i : i + 2], _NONE)) != _NONE:
-                pair[i] = rank
-                queue.push(rank, i)
-        while (rank := queue.lowest()) != _NONE:
-            waiting = queue.drain(rank)
+            if (new := get(data[i : i + 2], _NONE)) != _NONE:
+                pair[i] = new
+                if (old := head[new]) == _NONE:
+                    at = new >> 8
+                    if not words[at]:
+                        top |= 1 << at
+                    words[at] |= _BIT[new & 255]
+                head[new] = len(positions)
+                positions.append(i)
+                following.append(old)
+        while top:
+            at = (top & -top).bit_length() - 1
+            bits = words[at]
+            rank = (at << 8) + (bits & -bits).bit_length() - 1
+            words[at] = bits = bits & (bits - 1)
+            if not bits:
+                top &= top - 1
+            entry, head[rank] = head[rank], _NONE
+            waiting = [positions[entry]]
+            while (entry := following[entry]) != _NONE:
+                waiting.append(positions[entry])
+            if len(waiting) > 1:
+                waiting.sort()
             for k, i in enumerate(waiting):
                 if pair[i] != rank:  # stale
                     continue
                 right = ends[i]
                 end = ends[i] = ends[right]
-                pair[right] = _NONE
+                pair[right] = pair[i] = _NONE
+                lowest = rank + 1
                 if end < n:
                     before[end] = i
-                lowest = rank
-                pair[i] = _NONE
-                if end < n and (new := ranks.get(data[i : ends[end]], _NONE)) != _NONE:
-                    pair[i] = new
-                    queue.push(new, i)
-                    lowest = min(lowest, new)
+                    if (new := get(data[i : ends[end]], _NONE)) != _NONE:
+                        pair[i] = new
+                        if (old := head[new]) == _NONE:
+                            at = new >> 8
+                            if not words[at]:
+                                top |= 1 << at
+                            words[at] |= _BIT[new & 255]
+                        head[new] = len(positions)
+                        positions.append(i)
+                        following.append(old)
+                        lowest = min(lowest, new)
                 if (left := before[i]) >= 0:
-                    pair[left] = new = ranks.get(data[left:end], _NONE)
+                    pair[left] = new = get(data[left:end], _NONE)
                     if new != _NONE:
-                        queue.push(new, left)
+                        if (old := head[new]) == _NONE:
+                            at = new >> 8
+                            if not words[at]:
+                                top |= 1 << at
+                            words[at] |= _BIT[new & 255]
+                        head[new] = len(positions)
+                        positions.append(left)
+                        following.append(old)
                         lowest = min(lowest, new)
-                if lowest < rank or pair[i] == rank or left >= 0 and pair[left] == rank:
-                    for later in waiting[k + 1 :]:  # a lower rank goes first; the rest of this bucket goes back
+                if lowest <= rank and k + 1 < len(waiting):  # that goes first; the rest of this bucket goes back
+                    for later in waiting[k + 1 :]:
                         if pair[later] == rank:
-                            queue.push(rank, later)
+                            if (old := head[rank]) == _NONE:
+                                at = rank >> 8
+                                if not words[at]:
+                                    top |= 1 << at
+                                words[at] |= _BIT[rank & 255]
+                            head[rank] = len(positions)
+                            positions.append(later)
+                            following.append(old)
                     break
-        queue.reset()
         ids, i = [], 0
         while i < n:
-            ids.append(ranks[data[i : ends[i]]])
+            ids.append(self.ranks[data[i : ends[i]]])
             i = ends[i]
         return ids
 

@@ -65,23 +65,28 @@ def fails_base(n_words: int, n_repeat_words: int) -> bool:
     return n_words < 20 or 100 * n_repeat_words > 30 * n_words
 
 
-def normalised(line: str) -> str:
-    return " ".join(line.lower().split())
+def normalised(line: str) -> bytes:
+    return b" ".join(line.lower().encode().split())
 
 
-def line_hash(line: str) -> int:
+def line_hash(line: bytes) -> int:
     """A signed 64-bit hash of a normalised line."""
-    return xxhash.xxh3_64_intdigest(line.encode()) - (1 << 63)
+    return xxhash.xxh3_64_intdigest(line) - (1 << 63)
 
 
-def text_lines(text: str) -> dict[int, int]:
-    """Words by hash of each distinct normalised line that has any."""
-    found: dict[int, int] = {}
+def text_lines(text: str) -> tuple[dict[int, int], int | None]:
+    """Words by hash of each distinct normalised line that has any, and the body: the line with most words.
+
+    A line's words count as often as it stands in the text. Of lines as long the last one by its bytes is the body.
+    """
+    counts: dict[bytes, int] = {}
     for line in text.split("\n"):
         if own := normalised(line):
-            key = line_hash(own)
-            found[key] = found.get(key, 0) + own.count(" ") + 1
-    return found
+            counts[own] = counts.get(own, 0) + 1
+    if not counts:
+        return {}, None
+    body = max(counts, key=lambda x: (x.count(b" "), x))
+    return {line_hash(x): n * (x.count(b" ") + 1) for x, n in counts.items()}, line_hash(body)
 
 
 _SCHEMA = (
@@ -111,9 +116,9 @@ def figures(docs: DataFrame, host: str = "source") -> DataFrame:
             "n_dup_lines": own[:, 3],
             "n_repeat_words": own[:, 4],
             "base_failed": [fails_base(int(f[0]), int(f[4])) for f in own],
-            "body": [max(x, key=lambda h: (x[h], h)) if x else None for x in lines],
-            "lines": [list(x) for x in lines],
-            "line_words": [list(x.values()) for x in lines],
+            "body": [body for _, body in lines],
+            "lines": [list(x) for x, _ in lines],
+            "line_words": [list(x.values()) for x, _ in lines],
         }
 
     source = docs.select(

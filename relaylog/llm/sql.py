@@ -1,7 +1,72 @@
-"""The queries of this subpackage in SQL, where SQL can express them over whole tables."""
+"""The queries of this subpackage in SQL, where SQL can express them over whole tables.
+
+The others have none: tokenizers, trained models, binary files and 64-bit hashes are not SQL, and the patterns of the
+secret scan look ahead and behind. Their tests compare with plain versions.
+"""
 
 from __future__ import annotations
 
+_WORDS = r"'[^\x20\x09-\x0D]+'"
+
+_RULES = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text, row_number() OVER () AS row FROM documents
+), w AS (SELECT *, regexp_extract_all(text, {_WORDS}) AS words FROM d),
+base AS (
+  SELECT *, len(words) AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols
+  FROM w
+), windows AS (
+  SELECT row, i, array_to_string(words[i:i + 7], ' ') AS phrase
+  FROM (SELECT row, words, unnest(range(1, n_words - 6)) AS i FROM base WHERE n_words >= 8)
+), twice AS (
+  SELECT row, i FROM windows QUALIFY count(*) OVER (PARTITION BY row, phrase) > 1
+), repeated AS (
+  SELECT row, count(DISTINCT place) AS n_repeat_words FROM (SELECT row, unnest(range(i, i + 8)) AS place FROM twice) GROUP BY row
+), lines AS (
+  SELECT row, host, line, array_to_string(regexp_extract_all(lower(line), {_WORDS}), ' ') AS own,
+    len(regexp_extract_all(line, {_WORDS})) AS n
+  FROM (SELECT row, host, unnest(string_split(text, chr(10))) AS line FROM d)
+), real AS (SELECT * FROM lines WHERE n > 0),
+dup AS (SELECT row, count(*) - count(DISTINCT line) AS n_dup_lines FROM real GROUP BY row),
+own AS (SELECT row, host, own, sum(n) AS words, min(n) AS n FROM real GROUP BY row, host, own),
+body AS (SELECT row, max(own) AS body FROM (SELECT * FROM own QUALIFY n = max(n) OVER (PARTITION BY row)) GROUP BY row),
+carried AS (
+  SELECT host, own, count(DISTINCT body) AS bodies, count(*) AS n, count(*) FILTER (WHERE own = body) AS as_body
+  FROM own JOIN body USING (row) GROUP BY host, own
+), hosts AS (SELECT host, count(DISTINCT body) AS "of" FROM d JOIN body USING (row) GROUP BY host),
+above AS (
+  SELECT host, own FROM carried JOIN hosts USING (host) WHERE bodies > 20 AND 2 * as_body <= n AND bodies > 0.01 * "of"
+), removed AS (SELECT row, sum(words) AS removed_words FROM own JOIN above USING (host, own) GROUP BY row),
+figures AS (
+  SELECT doc_id, n_words, word_chars, n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(removed_words, 0)::BIGINT AS removed_words
+  FROM base LEFT JOIN repeated USING (row) LEFT JOIN dup USING (row) LEFT JOIN removed USING (row)
+), judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM figures)
+SELECT *, NOT base_failed AND n_words - removed_words >= 5 AND n_words - removed_words >= 0.05 * n_words AS kept FROM judged
+"""
+
+_JOIN = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_WORDS}) AS words
+  FROM documents WHERE text IS NOT NULL
+), s AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END)) AS shingle
+  FROM w WHERE len(words) > 0
+), sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * shared.n >= 80 * (x.n + y.n - shared.n)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM sizes UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), named AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(sizes.n, 0) AS n_shingles, coalesce(named.component_id, d.doc_id) AS component_id
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
 
 def all_sql() -> dict[str, str]:
-    return {}
+    return {"op4_quality_rules": _RULES, "op9_ngram_join": _JOIN}

@@ -15,8 +15,10 @@ a key. Which shingles count as frequent only changes the work, not the result.
 
 Skew: documents with equal sets stand as one node. Keys are sorted in ranges of (key, document), so a hot key is spread
 over tasks. Members of a key are first held against one centre, the member with most shared keys; keys whose members
-then are in one component are done. Pairs of all others that are in different components are verified in the end,
-so no link between different components is lost, and groups of copies are never expanded into pairs.
+then are in one component are done. Of all others the members in different components are compared pair by pair in
+groups of bounded size by small bit sketches, one bit flipped for each shingle, whose Hamming distance is a lower bound
+of the symmetric difference too; only pairs that these leave become rows and are verified. So no link between
+different components is lost, and groups of copies are never expanded into pairs.
 
 Words are runs of other than ASCII white space, A-Z lower-cased. With fewer words than a shingle has, all of them are
 the one shingle. A document without words, or with a null text, has no shingles and is linked with nothing: its
@@ -108,6 +110,31 @@ def keys(shingles: np.ndarray, rule: Similarity, frequent: np.ndarray, fine: boo
     return np.concatenate(out)
 
 
+_MOST_BITS = 1 << 14
+
+
+def parity_bits(shingles: np.ndarray) -> bytes:
+    """A bit sketch: each shingle flips one bit. About as many bits as shingles, a power of two."""
+    size = min(_MOST_BITS, max(64, 1 << max(0, len(shingles) - 1).bit_length()))
+    at = (mix(shingles ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(size)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=size) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def _folded(bits: int, size: int, to: int) -> int:
+    """The same sketch with fewer bits."""
+    while size > to:
+        size //= 2
+        bits = (bits >> size) ^ (bits & ((1 << size) - 1))
+    return bits
+
+
+def may_link(a: bytes, size_a: int, b: bytes, size_b: int, rule: Similarity) -> bool:
+    """False only if the sketches differ in more bits than sets of these sizes may differ in shingles."""
+    to = 8 * min(len(a), len(b))
+    x, y = (_folded(int.from_bytes(s, "little"), 8 * len(s), to) for s in (a, b))
+    return (x ^ y).bit_count() <= rule.most_apart(size_a, size_b) and rule.den * min(size_a, size_b) >= rule.num * max(size_a, size_b)
+
+
 # -- passes over the texts ------------------------------------------------------------------------------------------
 
 
@@ -160,12 +187,13 @@ def _sketched(docs: DataFrame, rule: Similarity, frequent: np.ndarray, fine: boo
             "doc_id": batch.column(0),
             "text_key": batch.column(1),
             "size": [len(s) for s in sets],
+            "bits": [parity_bits(s) for s in sets],
             "class1": [c[0] for c in classes],
             "class2": [c[1] for c in classes],
             "keys": [None if k is None else k.view(np.int64) for k in own],
         }
 
-    schema = "row long, doc_id long, text_key long, size long, class1 long, class2 long, keys array<long>"
+    schema = "row long, doc_id long, text_key long, size long, bits binary, class1 long, class2 long, keys array<long>"
     return stored(map_batches(_source(docs), rows, schema), "sketches")
 
 
@@ -231,12 +259,80 @@ def _shingles_of(docs: DataFrame, wanted: DataFrame, rule: Similarity) -> DataFr
 
     found = map_batches(_source(docs), rows, "text_key long, shingles binary")
     exact = found.join(wanted.select("text_key").distinct(), "text_key", "left_semi")
-    return stored(exact.dropDuplicates(["text_key"]), "shingles")
+    # Only rows that repeat whole have equal text_keys, and their sets are equal.
+    return exact.dropDuplicates(["text_key"])
+
 
+def _plausible(pairs: DataFrame, nodes: DataFrame, rule: Similarity) -> DataFrame:
+    """The pairs (a, b) whose bit sketches don't rule a link out."""
+    a, b = (nodes.select(F.col("node").alias(x), F.col("bits").alias(f"bits_{x}"), F.col("size").alias(f"size_{x}")) for x in "ab")
+    joined = pairs.join(a, "a").join(b, "b").select("a", "b", "bits_a", "size_a", "bits_b", "size_b")
+
+    def rows(batch: pa.RecordBatch) -> dict:
+        columns = [batch.column(k).to_pylist() for k in range(6)]
+        out = [(i, j) for i, j, *sketches in zip(*columns, strict=True) if may_link(*sketches, rule)]
+        return {"a": [x[0] for x in out], "b": [x[1] for x in out]}
 
-def _verified(pairs: DataFrame, nodes: DataFrame, shingles: DataFrame, rule: Similarity) -> DataFrame:
-    """The pairs (a, b) of nodes that link."""
-    sets = nodes.join(shingles, "text_key").select("node", "shingles")
+    return map_batches(joined, rows, "a long, b long")
+
+
+#: Members of a key that are compared in one group; a larger key is dealt to groups of two blocks each.
+_BLOCK = 1024
+
+
+def _close_pairs(members: DataFrame, nodes: DataFrame, rule: Similarity) -> DataFrame:
+    """Pairs (a, b) of nodes that share a key, have different labels, and whose bit sketches don't rule a link out.
+
+    Compared in groups of bounded size: pairs that are ruled out never become rows.
+    """
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    blocked = members.join(sizes, "key").withColumn("blocks", F.ceil(F.col("n") / _BLOCK).cast("int"))
+    own = F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int")
+    dealt = blocked.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    grouped = dealt.select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "label")
+    sketches = nodes.select("node", "size", "bits")
+    together = grouped.join(sketches, "node").repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "size")
+
+    def compare(group: list[tuple], split: bool) -> list[tuple]:
+        """``split``: the group is two blocks of a large key; pairs within one are compared in its own group."""
+        found = []
+        numbers = [(own, node, label, size, 8 * len(bits), int.from_bytes(bits, "little")) for own, node, label, size, bits in group]
+        for i, (own, a, label, size, width, x) in enumerate(numbers):
+            for other_own, b, other_label, other_size, other_width, y in numbers[i + 1 :]:
+                if rule.den * size < rule.num * other_size:
+                    break  # sizes ascend
+                if label == other_label or split and own == other_own:
+                    continue
+                if width != other_width:
+                    apart = x ^ _folded(y, other_width, width)
+                else:
+                    apart = x ^ y
+                if apart.bit_count() <= rule.most_apart(size, other_size):
+                    found.append((min(a, b), max(a, b)))
+        return found
+
+    def rows(batches):
+        place, group = None, []
+        for batch in batches:
+            out = []
+            for key, low, high, own, node, label, size, bits in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (key, low, high) != place:
+                    out += compare(group, bool(place) and place[1] != place[2])
+                    place, group = (key, low, high), []
+                group.append((own, node, label, size, bits))
+            yield _pairs_of(out)
+        yield _pairs_of(compare(group, bool(place) and place[1] != place[2]))
+
+    columns = together.select("key", "low", "high", "own", "node", "label", "size", "bits")
+    return columns.mapInArrow(rows, "a long, b long").distinct()
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, rule: Similarity) -> DataFrame:
+    """The pairs (a, b) of nodes that link, by their whole sets."""
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    wanted = stored(nodes.join(ends, "node").select("node", "text_key"), "wanted")
+    sets = wanted.join(_shingles_of(docs, wanted, rule), "text_key").select("node", "shingles")
+    sets = stored(sets, "shingles")
     a, b = (sets.select(F.col("node").alias(x), F.col("shingles").alias(f"set_{x}")) for x in "ab")
 
     def rows(batch: pa.RecordBatch) -> dict:
@@ -252,7 +348,14 @@ def _verified(pairs: DataFrame, nodes: DataFrame, shingles: DataFrame, rule: Sim
         return {"a": [x[0] for x in out], "b": [x[1] for x in out]}
 
     joined = pairs.join(b, "b").join(a, "a").select("a", "b", "set_a", "set_b")
-    return map_batches(joined, rows, "a long, b long")
+    links = stored(map_batches(joined, rows, "a long, b long"), "links")
+    forget(sets)
+    return links
+
+
+def _pairs_of(found: list[tuple]) -> pa.RecordBatch:
+    columns = [pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)]
+    return pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
 
 # -- components -----------------------------------------------------------------------------------------------------
@@ -301,50 +404,42 @@ def _labelled(docs: DataFrame, rule: Similarity, star_rounds: int) -> DataFrame:
     light = sketched.drop("keys")
     classes = light.filter("size > 0").groupBy("class1", "class2", "size").agg(F.min("row").alias("node"))
     placed = stored(light.join(classes, ["class1", "class2", "size"], "left").withColumn("node", F.coalesce("node", "row")), "nodes")
-    nodes = placed.filter("row = node").select("node", "text_key", "size")
+    forget(sketched)
+    nodes = placed.filter("row = node").select("node", "text_key", "size", "bits")
 
     members = shared.join(placed.select("row", "node"), "row").select("key", "node").distinct()
     crowded = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = stored(members.join(crowded.select("key"), "key", "left_semi"), "members")
-    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi")
-    shingles = _shingles_of(docs, wanted, rule)
-    weight = members.groupBy("node").agg(F.count(F.lit(1)).alias("weight"))
-    sized = members.join(nodes.select("node", "size"), "node").join(weight, "node")
-    open_members = stored(sized.withColumn("label", F.col("node")), "open")
-    links = done = None
+    members = stored(members.join(crowded.select("key"), "key", "left_semi").withColumn("label", F.col("node")), "members")
+    forget(shared)
+    links = None
     for turn in range(star_rounds + 1):
-        if not open_members.limit(1).count():
+        if not members.limit(1).count():
             break
         if turn < star_rounds:
             # A centre for each key: the member with most keys, then others by a hash that differs by turn.
-            order = F.struct(F.col("weight") if turn == 0 else F.xxhash64("node", F.lit(turn)), "node", "label", "size")
-            centres = open_members.groupBy("key").agg(F.max(order).alias("c"))
-            centres = centres.select("key", F.col("c.node").alias("x"), F.col("c.label").alias("x_label"), F.col("c.size").alias("x_size"))
-            other = F.col("x_label") != F.col("label")
-            met = open_members.join(centres, "key")
+            weight = members.groupBy("node").agg(F.count(F.lit(1)).alias("weight"))
+            first = F.col("weight") if turn == 0 else F.xxhash64("node", F.lit(turn))
+            ordered = members.join(weight, "node").select("key", F.struct(first.alias("first"), "node", "label").alias("c"))
+            centres = ordered.groupBy("key").agg(F.max("c").alias("c")).select("key", F.col("c.node").alias("x"), F.col("c.label").alias("x_label"))
+            met = members.join(centres, "key").filter("x_label <> label")
+            pairs = met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+            pairs = _plausible(pairs, nodes, rule)
         else:
-            right = open_members.select("key", F.col("node").alias("x"), F.col("label").alias("x_label"), F.col("size").alias("x_size"))
-            other = (F.col("x_label") != F.col("label")) & (F.col("x") < F.col("node"))
-            met = open_members.join(right, "key")
-        fits = (rule.den * F.least("size", "x_size") >= rule.num * F.greatest("size", "x_size")) & other
-        pairs = met.filter(fits).select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        found = stored(_verified(pairs, nodes, shingles, rule), "links")
-        done = pairs if done is None else done.unionByName(pairs)
+            pairs = _close_pairs(members, nodes, rule)
+        found = _verified(stored(pairs, "pairs"), nodes, docs, rule)
         links = found if links is None else links.unionByName(found)
         labels = components(nodes, links)
         if turn < star_rounds:
-            relabelled = open_members.drop("label").join(labels, "node")
+            relabelled = members.drop("label").join(labels, "node").select("key", "node", "label")
             several = relabelled.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h")
-            now = stored(relabelled.join(several.select("key"), "key", "left_semi"), "open")
-            forget(open_members)
-            open_members = now
+            now = stored(relabelled.join(several.select("key"), "key", "left_semi"), "members")
+            forget(members)
+            members = now
+        _release(spark)
     return placed.withColumn("label", F.col("node")) if links is None else placed.join(labels, "node")
 
 
-def ngram_components(docs: DataFrame, rule: Similarity = Similarity(), star_rounds: int = 3) -> DataFrame:  # noqa: B008
+def ngram_components(docs: DataFrame, rule: Similarity = Similarity(), star_rounds: int = 1) -> DataFrame:  # noqa: B008
     """doc_id, n_shingles and component_id, the smallest doc_id that is reachable by links, of every document."""
     named = _labelled(docs, rule, star_rounds)
     smallest = named.filter("size > 0").groupBy("label").agg(F.min("doc_id").alias("smallest"))
@@ -352,7 +447,7 @@ def ngram_components(docs: DataFrame, rule: Similarity = Similarity(), star_roun
     return named.join(smallest, "label", "left").select("doc_id", F.col("size").alias("n_shingles"), component.alias("component_id"))
 
 
-def keep_first(docs: DataFrame, rule: Similarity = Similarity(), star_rounds: int = 3) -> DataFrame:  # noqa: B008
+def keep_first(docs: DataFrame, rule: Similarity = Similarity(), star_rounds: int = 1) -> DataFrame:  # noqa: B008
     """One document of each component stays: the one with its smallest doc_id. Documents without shingles all stay."""
     named = stored(_labelled(docs, rule, star_rounds).filter("size > 0").select("doc_id", "text_key", "label"), "labelled")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")

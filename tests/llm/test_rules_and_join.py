@@ -194,6 +194,34 @@ def test_sketches_differ_in_no_more_words_than_sets():
         assert apart <= len(np.setxor1d(a, b))
 
 
+def test_bit_sketches_rule_out_no_link():
+    rng = random.Random(6)
+    rule = Similarity()
+    ruled_out = 0
+    for _ in range(400):
+        n = rng.choice([1, 2, 5, 30, 64, 65, 128, 200, 513, 1000])
+        pool = np.array([rng.getrandbits(64) for _ in range(2 * n + 10)], np.uint64)
+        a, b = pool[:n], pool[rng.randint(0, n // 3) : n + rng.randint(0, n // 4)]
+        x, y = (ngram_join.parity_bits(s) for s in (a, b))
+        to = 8 * min(len(x), len(y))
+        bits = [ngram_join._folded(int.from_bytes(s, "little"), 8 * len(s), to) for s in (x, y)]
+        shared = len(np.intersect1d(a, b))
+        assert (bits[0] ^ bits[1]).bit_count() <= len(a) + len(b) - 2 * shared
+        linked = len(b) and rule.den * shared >= rule.num * (len(a) + len(b) - shared)
+        passed = ngram_join.may_link(x, len(a), y, len(b), rule)
+        assert passed or not linked
+        ruled_out += not passed
+    assert ruled_out > 100
+
+
+def test_large_keys_are_compared_in_blocks(frame, monkeypatch):
+    rows = near_rows(12, bases=20)
+    monkeypatch.setattr(ngram_join, "_BLOCK", 2)
+    for rounds in (0, 1):
+        got = ngram_join.ngram_components(frame(rows), star_rounds=rounds)
+        assert Counter(map(tuple, got.collect())) == Counter(plain_join(rows)[0])
+
+
 def test_join_edges(frame, hard_rows):
     want, _ = plain_join(hard_rows)
     assert Counter(map(tuple, ngram_join.ngram_components(frame(hard_rows)).collect())) == Counter(want)

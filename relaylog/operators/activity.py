@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relaylog.functions.keys import parse_cursor
+from relaylog.functions.keys import cursor_for, parse_cursor
 from relaylog.operators.outcomes import RECORD_KEY
+from relaylog.operators.scale import numbered
 
 RETAINED = 1000
 
@@ -25,43 +26,76 @@ class InvalidCursor(ValueError):
     """A cursor that is not ``boot:sequence``."""
 
 
-def _entries(df: DataFrame, message: Column | str, level=None, attempt=None, outcome=None, error=None) -> DataFrame:
-    def text(value) -> Column:
-        return (F.lit(value) if value is None or isinstance(value, str) else value).cast("string")
+_ENTRY = "array<struct<step:bigint,level:string,message:string,attempt:int,outcome:string,error:string>>"
+
+# Places of a record's entries among each other: started, attempts from 1 on, then the outcome and the commit.
+_LAST_ATTEMPT = (1 << 22) - 1
+_PLACES = 1 << 24
 
-    return df.select(
-        F.coalesce(text(level), F.lit("info")).alias("level"),
-        text(message).alias("message"),
-        *_RECORD,
-        (F.lit(None) if attempt is None else attempt).cast("int").alias("attempt"),
-        text(outcome).alias("outcome"),
-        text(error).alias("error"),
-    )
+
+def _entry(step, message, level="info", attempt=None, outcome=None, error=None) -> Column:
+    values = {"step": step, "level": level, "message": message, "attempt": attempt, "outcome": outcome, "error": error}
+    return F.struct(*[(v if isinstance(v, Column) else F.lit(v)).alias(k) for k, v in values.items()])
 
 
 def activity_entries(records: DataFrame, attempts: DataFrame) -> DataFrame:
     """All entries for records that were worked on.
 
-    ``records``: the record columns plus ``outcome`` (null while retrying), ``known_skip`` and
-    ``committed``. ``attempts``: position key, 0-based ``attempt`` and its own ``outcome`` (null = retry).
+    ``records``: the record columns plus ``outcome`` (null while retrying), ``known_skip``, ``committed`` and, if it was
+    tried before, ``tried``. ``attempts``: position key, 0-based ``attempt`` and its own ``outcome`` (null = retry).
+    A record's attempts are joined to it once, and one generator makes its entries. ``step`` orders them.
     """
-    sent = records.filter(~F.col("known_skip"))
-    tried = sent.drop("outcome").join(attempts.select(*RECORD_KEY, "attempt", "outcome"), RECORD_KEY)
-    retried = F.col("outcome").isNull()
-    return (
-        _entries(sent, STARTED)
-        .unionByName(
-            _entries(
-                tried,
-                F.when(retried, RETRY).otherwise(ACKNOWLEDGED),
-                level=F.when(retried, "warn"),
-                attempt=F.col("attempt") + 1,
-                error=F.when(retried, RETRY_ERROR),
-            )
+    tries = F.sort_array(F.collect_list(F.struct("attempt", F.col("outcome").alias("result")))).alias("tries")
+    joined = records.join(attempts.groupBy(*RECORD_KEY).agg(tries), RECORD_KEY, "left")
+    sent = ~F.col("known_skip")
+
+    def tried(t: Column) -> Column:
+        retried = t["result"].isNull()
+        return _entry(
+            F.least(t["attempt"] + 1, F.lit(_LAST_ATTEMPT)).cast("long"),
+            F.when(retried, RETRY).otherwise(ACKNOWLEDGED),
+            F.when(retried, "warn").otherwise("info"),
+            (t["attempt"] + 1).cast("int"),
+            F.lit(None).cast("string"),
+            F.when(retried, RETRY_ERROR),
         )
-        .unionByName(_entries(sent.filter(F.col("outcome").isNotNull()), TERMINAL, outcome=F.col("outcome")))
-        .unionByName(_entries(records.filter(F.col("committed")), COMMITTED))
+
+    def some(condition: Column, entry: Column) -> Column:
+        return F.when(condition, F.array(entry).cast(_ENTRY)).otherwise(F.array().cast(_ENTRY))
+
+    fresh = F.col("tried") == 0 if "tried" in records.columns else F.lit(True)
+    entries = F.concat(
+        some(sent & fresh, _entry(F.lit(0), STARTED)),
+        F.when(sent & F.col("tries").isNotNull(), F.transform("tries", tried).cast(_ENTRY)).otherwise(F.array().cast(_ENTRY)),
+        some(sent & F.col("outcome").isNotNull(), _entry(F.lit(_LAST_ATTEMPT + 1), TERMINAL, outcome=F.col("outcome"))),
+        some(F.col("committed"), _entry(F.lit(_LAST_ATTEMPT + 2), COMMITTED)),
     )
+    rows = joined.select(*_RECORD, F.inline(entries))
+    return rows.select("level", "message", *_RECORD, "attempt", "outcome", "error", "step")
+
+
+def state_entries(changes: DataFrame, who: str = "source_id") -> DataFrame:
+    """Entries for state changes (``tables.state_changes``) of sources, or of destinations by ``who="destination_id"``."""
+    message = F.concat(F.lit("source "), "state") if who == "source_id" else F.col("state")
+    named = {"level": F.lit("info"), "message": message, **{c: F.lit(None) for c in _RECORD}, who: F.col(who), "error": F.col("reason")}
+    types = {"generation": "int", "partition": "int", "offset": "bigint"}
+    return changes.select("seq", *[v.cast(types.get(k, "string")).alias(k) for k, v in named.items()])
+
+
+def stamped(entries: DataFrame, boot: str, order: Column, after: int = 0, at: Column | None = None) -> DataFrame:
+    """``entries`` with ``sequence`` (gapless from ``after`` + 1, by the whole number ``order``), ``id`` and ``time``.
+
+    ``boot`` names one life of the log, as in its cursors. Entries with equal ``order`` get any order.
+    """
+    placed = entries.withColumn("__order", order.cast("long"))
+    numbers = numbered(placed, [], "__order", "sequence").drop("__order").withColumn("sequence", F.col("sequence") + after + 1)
+    time = F.current_timestamp() if at is None else at
+    return numbers.withColumn("id", cursor_for(F.lit(boot), F.col("sequence"))).withColumn("time", time)
+
+
+def record_order() -> Column:
+    """The order of ``activity_entries`` for ``stamped``: by offset, and a record's entries as they happened."""
+    return F.col("offset") * _PLACES + F.col("step")
 
 
 def write_activity(entries: DataFrame, path: str, mode: str = "append") -> None:

@@ -173,9 +173,14 @@ def identity_drift(registered: DataFrame, current: DataFrame) -> DataFrame:
     there any more differs in every field; a source that is not registered yet does not drift.
     """
     fields = [("identity", f) for f in IDENTITY_FIELDS] + [("names", f) for f in NAME_FIELDS]
-    old = registered.select("source_id", F.struct(*[F.col(f).cast("string") for _, f in fields]).alias("old"))
-    new = current.select("source_id", F.struct(*[F.col(f).cast("string") for _, f in fields]).alias("new"))
-    rows = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(f).alias("field"), F.col(f"old.{f}").alias("registered"), F.col(f"new.{f}").alias("current")) for k, f in fields])
+    texts = F.struct(*[F.col(f).cast("string").alias(f) for _, f in fields])
+    old, new = registered.select("source_id", texts.alias("old")), current.select("source_id", texts.alias("new"))
+
+    def row(kind: str, field: str) -> Column:
+        values = {"kind": F.lit(kind), "field": F.lit(field), "registered": F.col(f"old.{field}"), "current": F.col(f"new.{field}")}
+        return F.struct(*[v.alias(k) for k, v in values.items()])
+
+    rows = F.array(*[row(k, f) for k, f in fields])
     both = old.join(new, "source_id", "left").select("source_id", F.inline(rows))
     return both.filter(~F.col("registered").eqNullSafe(F.col("current")))
 

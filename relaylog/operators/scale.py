@@ -58,7 +58,8 @@ def with_chunk(df: DataFrame, order_col: str, chunks: int | None = None) -> Data
     number = _whole_number(df, order_col)
     ranks = F.array(*[F.lit(i / chunks) for i in range(1, chunks)])
     cuts = df.select(number.alias("n")).agg(F.kll_sketch_agg_bigint("n", F.lit(_SKETCH)).alias("s"))
-    cuts = cuts.select(F.kll_sketch_get_quantile_bigint("s", ranks).alias("cuts"))
+    # An empty frame has no quantiles, and no rows to place.
+    cuts = cuts.select(F.when(F.kll_sketch_get_n_bigint("s") > 0, F.kll_sketch_get_quantile_bigint("s", ranks)).alias("cuts"))
     placed = df.withColumn("__n", number).withColumn("__cuts", cuts.scalar()).withColumn(_CHUNK, F.lit(0))
     half = chunks // 2
     while half:  # a binary search, step by step

@@ -262,6 +262,36 @@ _SQL = {
         SELECT source_id, pos, reg.name AS registered_name, reg.type AS registered_type, cur.name AS current_name,
                cur.type AS current_type FROM reg FULL OUTER JOIN cur USING (source_id, pos)
         WHERE (reg.name, reg.type) IS DISTINCT FROM (cur.name, cur.type)""",
+    "identity_drift": """WITH f AS (SELECT unnest([
+          ('identity', 'table', 'orders', CASE WHEN c_custkey % 7 = 1 THEN 'orders_v2' ELSE 'orders' END),
+          ('identity', 'serial_column', 'o_orderkey', 'o_orderkey'),
+          ('identity', 'partitioning_column', 'o_custkey', CASE WHEN c_custkey % 11 = 2 THEN 'o_clerk' ELSE 'o_custkey' END),
+          ('identity', 'event_id_column', '', CASE WHEN c_custkey % 13 = 3 THEN 'event_id' ELSE '' END),
+          ('identity', 'partitions', '10', CASE WHEN c_acctbal < 0 THEN '20' ELSE '10' END),
+          ('names', 'topic_prefix', 'topic_prefix_a', CASE WHEN c_custkey % 17 = 4 THEN 'topic_prefix_x' ELSE 'topic_prefix_a' END),
+          ('names', 'topic', 'topic_a', CASE WHEN c_custkey % 17 = 4 THEN 'topic_x' ELSE 'topic_a' END),
+          ('names', 'connector', 'connector_a', CASE WHEN c_custkey % 17 = 4 THEN 'connector_x' ELSE 'connector_a' END),
+          ('names', 'slot', 'slot_a', CASE WHEN c_custkey % 17 = 4 THEN 'slot_x' ELSE 'slot_a' END),
+          ('names', 'publication', 'publication_a', CASE WHEN c_custkey % 17 = 4 THEN 'publication_x' ELSE 'publication_a' END)]) AS t,
+          c_name, c_custkey FROM customer
+        ), g AS (SELECT c_name AS source_id, t[1] AS kind, t[2] AS field, t[3] AS registered,
+                        CASE WHEN c_custkey % 19 <> 5 THEN t[4] END AS current FROM f)
+        SELECT * FROM g WHERE registered IS DISTINCT FROM current""",
+    "wire_small_floats": """WITH n AS (SELECT *, CAST(round(l_discount * 100) AS INTEGER) AS c FROM lineitem)
+        SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 5 NOT IN (1, 2)
+               THEN CAST(c // 100 AS VARCHAR) || '.' || lpad(CAST(c % 100 AS VARCHAR), 2, '0') END AS wire FROM n""",
+    "wire_bools": """SELECT event_id, event_type,
+        CASE event_type WHEN 'click' THEN 'true' WHEN 'view' THEN 'false' END AS wire FROM events""",
+    "rest_on_blocked_source": f"""WITH {EV} SELECT partition, count(*) FILTER ("offset" % 2 = 0) AS records, 'orders' AS down,
+        'payload: envelope is missing "op"' AS reason, 0 AS sent_after_block FROM ev GROUP BY partition""",
+    "unfinished_tail": f"""WITH {EV} SELECT partition, count(*) AS records, 0 AS unfinished,
+        count(*) FILTER (event_name NOT IN ('purchase', 'signup')) AS filtered, count(*) AS committed, 0 AS tried FROM ev GROUP BY partition""",
+    "lost_history": f"""WITH {EV} SELECT partition, count(*) AS records, 'app_events' AS source_id,
+        'committed offset is outside retained history' AS reason, 'stopped' AS state FROM ev GROUP BY partition""",
+    "stamped_activity": f"""WITH {SPAN_ACTIVITY}, s AS (SELECT *, row_number() OVER (ORDER BY "offset", CASE message
+          WHEN 'delivery started' THEN 0 WHEN 'terminal outcome' THEN 1000 WHEN 'committed' THEN 1001 ELSE attempt END) AS sequence
+          FROM entries WHERE destination_id = 'sales' AND partition = 3)
+        SELECT 'boot:' || sequence AS id, sequence, '2024-01-01' AS day, message, attempt, "offset" FROM s""",
     "stream_names": f"""WITH {CUSTOMER_SOURCES} SELECT namespace, environment, source_id, generation, "table", topic_prefix,
         topic_prefix || '.public.' || "table" AS topic, topic_prefix || '_connector' AS connector,
         topic_prefix || '_slot' AS slot, topic_prefix || '_pub' AS publication FROM named""",
@@ -376,6 +406,13 @@ _SQL = {
     "terminal_everywhere": f"""WITH {OUT} SELECT partition, "offset", bool_and(outcome IS NOT NULL) AS terminal FROM oc GROUP BY ALL""",
     "latch_blocks": """SELECT user_id AS source_id, arg_max(props, event_id) AS reason FROM events
         WHERE event_type = 'error' GROUP BY user_id""",
+    "state_change_entries": """WITH o AS (
+          SELECT user_id AS source_id, event_id AS seq,
+                 CASE WHEN event_type IN ('error', 'view') THEN 'blocked' ELSE 'running' END AS state,
+                 CASE WHEN event_type = 'error' THEN 'failed' END AS reason FROM events
+        ), s AS (SELECT *, lag(state) OVER w AS ps, lag(reason) OVER w AS pr FROM o WINDOW w AS (PARTITION BY source_id ORDER BY seq))
+        SELECT 'boot:' || row_number() OVER (ORDER BY seq) AS id, CAST(source_id AS VARCHAR) AS source_id, 'source ' || state AS message,
+               reason AS error, 'info' AS level FROM s WHERE ps IS NULL OR ps <> state OR pr IS DISTINCT FROM reason""",
     "state_changes": """WITH o AS (
           SELECT user_id AS source_id, event_id AS seq,
                  CASE WHEN event_type IN ('error', 'view') THEN 'blocked' ELSE 'running' END AS state,

@@ -18,7 +18,7 @@ from relaylog.plans import event_table as E
 from relaylog.session import shared_dir
 from relaylog.sources import changes
 from relaylog.sources.tables import snapshot_scan
-from relaylog.streaming.delivery import CapturedSource, DeliveryJob, start_delivery
+from relaylog.streaming.delivery import CapturedSource, DeliveryJob, HistoryLost, start_delivery
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -166,6 +166,28 @@ def schema_drift(spark, sf):
     return contract.schema_drift(registered, current)
 
 
+@query
+def identity_drift(spark, sf):
+    """Every customer as a registered source; some have other partitions, another key or another table now, or are gone."""
+    customer, key = E.table(spark, sf, "customer"), F.col("c_custkey")
+
+    def sources(changed: bool) -> DataFrame:
+        def now(condition: Column, other: str, usual: str) -> Column:
+            return F.when(condition & F.lit(changed), other).otherwise(usual)
+
+        values = {
+            "table": now(key % 7 == 1, "orders_v2", "orders"),
+            "serial_column": F.lit("o_orderkey"),
+            "partitioning_column": now(key % 11 == 2, "o_clerk", "o_custkey"),
+            "event_id_column": now(key % 13 == 3, "event_id", ""),
+            "partitions": now(F.col("c_acctbal") < 0, "20", "10").cast("int"),
+            **{f: F.concat(F.lit(f"{f}_"), now(key % 17 == 4, "x", "a")) for f in contract.NAME_FIELDS},
+        }
+        return customer.select(F.col("c_name").alias("source_id"), *[v.alias(k) for k, v in values.items()], "c_custkey")
+
+    return contract.identity_drift(sources(False), sources(True).filter(key % 19 != 5))
+
+
 def _customer_sources(spark, sf) -> DataFrame:
     return E.table(spark, sf, "customer").select(
         F.col("c_mktsegment").alias("namespace"),
@@ -282,6 +304,25 @@ def wire_floats(spark, sf):
     return df.select("l_orderkey", "l_linenumber", "l_extendedprice", V.wire_value("float8", F.col("v")).alias("wire"))
 
 
+@query
+def wire_small_floats(spark, sf):
+    """Discounts as float4, some of them out of range or no numbers."""
+    key = F.col("l_orderkey")
+    cents = F.round(F.col("l_discount") * 100).cast("int").cast("string")
+    text = F.when(key % 5 == 1, "1e39").when(key % 5 == 2, F.concat(F.lit('"'), cents, F.lit('"'))).otherwise(F.concat(cents, F.lit("E-2")))
+    df = _member_of(E.table(spark, sf, "lineitem"), text, "l_orderkey", "l_linenumber", "l_discount")
+    return df.select("l_orderkey", "l_linenumber", V.wire_value("float4", F.col("v")).alias("wire"))
+
+
+@query
+def wire_bools(spark, sf):
+    """Flags from event types: JSON booleans, and values that are none."""
+    kind = F.col("event_type")
+    text = F.when(kind == "click", "true").when(kind == "view", "false").when(kind == "error", "null").when(kind == "signup", "1").otherwise('"true"')
+    df = _member_of(E.table(spark, sf, "events"), text, "event_id", "event_type")
+    return df.select("event_id", "event_type", V.wire_value("bool", F.col("v")).alias("wire"))
+
+
 @query
 def expand_decimal(spark, sf):
     lit = F.concat(
@@ -655,6 +696,13 @@ def scripted_sender():
     return send
 
 
+def accepting_sender():
+    def send(body, headers):
+        return 200, E.SUCCESS
+
+    return send
+
+
 @query
 def stream_delivery(spark, sf):
     """The whole chain as a stream: follow, decode, route, filter, send, audit, commit."""
@@ -670,6 +718,80 @@ def stream_delivery(spark, sf):
     return counts.join(job.positions().select("partition", "committed"), "partition")
 
 
+@query
+def rest_on_blocked_source(spark, sf):
+    """A destination of two sources: after one of them is blocked, new records of the other stay where they are."""
+    log, state = shared_dir(spark, "log"), shared_dir(spark, "state")
+    events = E.events_log(spark, sf)
+    changes.write_changes(events.filter(F.col("offset") % 2 == 0).withColumn("offset", F.floor(F.col("offset") / 2)), log)
+    sources = [
+        CapturedSource(E.EVENTS, E.events_identity(spark, sf), E.EVENTS_TOPIC),
+        CapturedSource(E.ORDERS, E.orders_identity(spark, sf), E.ORDERS_TOPIC),
+    ]
+    job = DeliveryJob(spark, E.SCOPE, sources, E.DESTINATIONS[4], accepting_sender(), log, state, sleep=_no_sleep)
+    start_delivery(job, available_now=True).awaitTermination()
+    # A record of the other source that can't be decoded.
+    bad = E.table(spark, sf, "region").limit(1).select(
+        F.lit(E.ORDERS_TOPIC).alias("topic"), F.lit(0).alias("partition"), F.lit(0).cast("long").alias("offset"),
+        F.lit("{}").alias("key"), F.lit("{}").alias("value"),
+    )
+    changes.write_changes(bad, log)
+    start_delivery(job, available_now=True).awaitTermination()
+    sent = job.outcomes().count()
+    first = events.groupBy("partition").agg(F.count_if(F.col("offset") % 2 == 0).alias("e"), F.count(F.lit(1)).alias("n"))
+    more = events.join(first, "partition").filter((F.col("offset") % 2 == 1))
+    moved = more.select("topic", "partition", (F.col("e") + F.floor(F.col("offset") / 2)).alias("offset"), "key", "value")
+    changes.write_changes(moved, log)
+    start_delivery(job, available_now=True).awaitTermination()
+    counts = job.outcomes().groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("records"))
+    (down,) = job.blocked().collect()
+    after = job.outcomes().count() - sent
+    return counts.filter(F.col("topic") == E.EVENTS_TOPIC).select(
+        "partition", "records", F.lit(down["source_id"]).alias("down"), F.lit(down["reason"]).alias("reason"), F.lit(after).cast("long").alias("sent_after_block")
+    )
+
+
+@query
+def unfinished_tail(spark, sf):
+    """Stuck records hold their partitions over a restart; once the destination accepts them, the tail goes out."""
+    log, state = shared_dir(spark, "log"), shared_dir(spark, "state")
+    changes.write_changes(E.events_log(spark, sf), log)
+    sources = [CapturedSource(E.EVENTS, E.events_identity(spark, sf), E.EVENTS_TOPIC)]
+
+    def run(sender) -> DeliveryJob:
+        job = DeliveryJob(spark, E.SCOPE, sources, E.DESTINATIONS[1], sender, log, state, sleep=_no_sleep)
+        start_delivery(job, available_now=True).awaitTermination()
+        return job
+
+    run(scripted_sender())
+    job = run(accepting_sender())
+    counts = job.outcomes().groupBy("partition").agg(
+        F.count(F.lit(1)).alias("records"), F.count_if(F.col("outcome").isNull()).alias("unfinished"), F.count_if(F.col("outcome") == "filtered").alias("filtered")
+    )
+    return counts.join(job.positions().select("partition", "committed", "tried"), "partition")
+
+
+@query
+def lost_history(spark, sf):
+    """A log that has lost what was committed blocks its source and sends nothing."""
+    log, state = shared_dir(spark, "log"), shared_dir(spark, "state")
+    events = E.events_log(spark, sf)
+    changes.write_changes(events, log)
+    sources = [CapturedSource(E.EVENTS, E.events_identity(spark, sf), E.EVENTS_TOPIC)]
+    job = DeliveryJob(spark, E.SCOPE, sources, E.DESTINATIONS[1], accepting_sender(), log, state, sleep=_no_sleep)
+    start_delivery(job, available_now=True).awaitTermination()
+    job.log_path = shared_dir(spark, "log")
+    changes.write_changes(events.filter(F.col("offset") < 3), job.log_path)
+    try:
+        start_delivery(job, available_now=True)
+        state_found = "running"
+    except HistoryLost:
+        state_found = "stopped"
+    (down,) = job.blocked().collect()
+    sent = job.outcomes().groupBy("partition").agg(F.count(F.lit(1)).alias("records"))
+    return sent.withColumns({"source_id": F.lit(down["source_id"]), "reason": F.lit(down["reason"]), "state": F.lit(state_found)})
+
+
 # --- state tables --------------------------------------------------------------------------------
 
 
@@ -812,13 +934,32 @@ def activity_round_trip(spark, sf):
 
 
 def _sequenced_log(spark, sf) -> DataFrame:
-    """One entry per event, numbered from 1 by event id."""
-    return E.table(spark, sf, "events").select(
-        (F.col("event_id") + 1).alias("sequence"),
+    """Every event as one entry, stamped in the order of event ids."""
+    entries = E.table(spark, sf, "events").select(
         F.concat(F.lit("evt_"), F.col("event_id")).alias("event_id"),
         F.col("user_id").cast("string").alias("aggregate_id"),
         F.col("event_type").alias("event_name"),
+        F.col("event_id").alias("number"),
     )
+    return activity.stamped(entries, "boot", F.col("number")).drop("number", "id", "time")
+
+
+@query
+def stamped_activity(spark, sf):
+    """What was written for one destination, stamped, and read back by its cursor."""
+    entries = activity.activity_entries(*_worked_on(spark, sf)).filter((F.col("destination_id") == "sales") & (F.col("partition") == 3))
+    log = activity.stamped(entries, "boot", activity.record_order(), at=F.lit("2024-01-01").cast("timestamp"))
+    path = shared_dir(spark, "activity")
+    activity.write_activity(log, path)
+    lines = spark.read.schema("id string, sequence bigint, time timestamp, message string, attempt int, offset bigint").json(path)
+    return lines.select("id", "sequence", F.date_format("time", "yyyy-MM-dd").alias("day"), "message", "attempt", "offset")
+
+
+@query
+def state_change_entries(spark, sf):
+    """Changes of source states as entries, stamped in their order."""
+    entries = activity.state_entries(state_changes(spark, sf).withColumn("source_id", F.col("source_id").cast("string")))
+    return activity.stamped(entries, "boot", F.col("seq")).select("id", "source_id", "message", "error", "level")
 
 
 @query

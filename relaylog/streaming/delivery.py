@@ -38,6 +38,11 @@ _SKIPS = "destination_id string, source_id string, event_id string, topic string
 _BOUNDS = "topic string, partition int, first_offset bigint, end_offset bigint"
 _BLOCKED = "source_id string, seq bigint, reason string"
 _SENT = "destination_id string, topic string, partition int, offset bigint, outcome string"
+_ACTIVITY = (
+    "id string, sequence bigint, time timestamp, level string, message string, source_id string, destination_id string, "
+    "generation int, topic string, partition int, offset bigint, event_id string, aggregate_id string, event_name string, "
+    "attempt int, outcome string, error string"
+)
 _RANGES = "topic string, partition int, low bigint, high bigint, tried bigint"
 #: Folders of outcomes, or files of skips, above which they are written together.
 _COMPACT = 64
@@ -76,6 +81,9 @@ class DeliveryJob:
     # How the log is read: format and options of ``read_changes`` and ``read_changes_stream``.
     log_format: str = "parquet"
     log_options: dict = field(default_factory=dict)
+    # One life of the activity log, and the number of its last entry.
+    boot: str = field(default_factory=lambda: uuid.uuid4().hex)
+    sequence: int = 0
 
     def path(self, name: str) -> str:
         return f"{self.state_path}/{delivery_group(self.scope, self.destination.id)}/{name}"
@@ -241,7 +249,14 @@ class DeliveryJob:
             *outcomes.RECORD_KEY, F.col("a.attempt").alias("attempt"), F.col("a.outcome").alias("outcome")
         )
         records = finished.withColumn("committed", F.col("outcome").isNotNull())
-        activity.write_activity(activity.activity_entries(records, tried), path, "overwrite")
+        entries = activity.activity_entries(records, tried)
+        stamped = activity.stamped(entries, self.boot, activity.record_order(), self.sequence)
+        activity.write_activity(stamped.drop("step"), path, "overwrite")
+        self.sequence = self.activity().agg(F.coalesce(F.max("sequence"), F.lit(self.sequence))).first()[0]
+
+    def activity(self) -> DataFrame:
+        """The entries that this job has written in its present life; read them with ``operators.activity``."""
+        return _read_appended(self.spark, self.path("rounds/*/activity"), _ACTIVITY, "json").filter(F.col("id").startswith(f"{self.boot}:"))
 
     def drain(self) -> None:
         """Rounds until nothing moves: the end is reached, or what is left keeps asking for a retry.
@@ -324,13 +339,13 @@ def _delete(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
-def _read_appended(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def _read_appended(spark: SparkSession, path: str, schema: str, fmt: str = "parquet") -> DataFrame:
     """An appended table, or an empty one before its first write."""
     fs, target = tables.hadoop_path(spark, path)
     found = fs.globStatus(target)
     if found is None or len(found) == 0:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).format(fmt).load(path)
 
 
 def start_delivery(job: DeliveryJob, desired: str = "running", **options) -> StreamingQuery | None:

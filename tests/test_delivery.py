@@ -1,3 +1,4 @@
+import http.client
 import io
 import json
 import os
@@ -190,6 +191,71 @@ def test_stuck_record_holds_its_partition_until_it_succeeds(setup):
     assert set(got) == set(placed) and all(got.values())
 
 
+def test_failing_rounds_count_on_and_keep_their_activity(setup):
+    setup.append(60)
+    for _ in range(2):
+        got = setup.run(setup.job(stuck={7}))
+    entries = setup.spark.read.json(setup.job().path("rounds/*/activity")).filter("event_id = 'e7'").collect()
+    tries = sorted(r.attempt for r in entries if r.message == "retry")
+    assert len(tries) >= 6 and tries == list(range(1, len(tries) + 1))
+    assert sum(r.message == "delivery started" for r in entries) == 1
+    place = next(k for k, r in setup.expected(None).items() if r.id == 7)
+    position = setup.job().positions().filter(F.col("partition") == place[0]).first()
+    assert (position.committed, position.tried) == (place[1], len(tries)) and got[place] is None
+    # It succeeds in the end, with the next number; then nothing is counted for its partition.
+    job = setup.job()
+    setup.run(job)
+    mine = [r for r in job.activity().collect() if r.event_id == "e7"]
+    assert [r.attempt for r in mine if r.message == "acknowledged"] == [len(tries) + 1]
+    assert {r.tried for r in job.positions().collect()} == {0}
+    stamps = sorted(r.sequence for r in job.activity().collect())
+    assert stamps == list(range(1, len(stamps) + 1)) == list(range(1, job.sequence + 1))
+    # The records of finished rounds are gone, what was sent and logged stays.
+    assert not [f for f in os.listdir(job.path("rounds")) if os.path.exists(job.path(f"rounds/{f}/records"))]
+
+
+def test_a_new_partition_may_arrive_in_any_order(setup):
+    """A micro-batch that holds a later file of a partition never seen before: its start is read from the log."""
+    setup.append(60)
+    job = setup.job()
+    seen = changes.log_bounds(log_rows(setup.spark, setup.identity, 60).filter("offset >= 3")).collect()
+    assert all(r.first_offset == 3 for r in seen)
+    job._take(job._whole(seen), at_start=False)
+    assert {r.first_offset for r in job.positions().collect()} == {0}
+    job.drain()
+    assert set(setup.run(job)) == set(setup.expected(job))
+
+
+def test_many_partitions_make_no_deep_plan(setup):
+    setup.append(30)
+    job = setup.job()
+    many = setup.spark.range(5000).select(F.lit(TOPIC).alias("topic"), F.col("id").cast("int").alias("partition"), F.lit(0).alias("first_offset"), F.lit(1).alias("end_offset"))
+    job._take(many, at_start=False)
+    job.round()
+    assert job.outcomes().count() == 3 and job.positions().filter("committed = 1").count() == 3
+
+
+def test_blocks_of_many_writers_all_stand(setup):
+    jobs = [setup.job(Destination(f"d{i}", "D", ("events",))) for i in range(3)]
+    for i, job in enumerate(jobs):
+        job._store_blocks(setup.spark.createDataFrame([("events" if i < 2 else "other", i, f"why {i}")], "source_id string, seq bigint, reason string"))
+    assert {(r.source_id, r.reason) for r in jobs[0].blocked().collect()} == {("events", "why 1"), ("other", "why 2")}
+    assert jobs[0].down() == ["events"]
+
+
+def test_compaction_changes_nothing(setup, monkeypatch):
+    monkeypatch.setattr("relaylog.streaming.delivery._COMPACT", 1)
+    job = setup.job(skipped={1, 10, 22})
+    for n in (20, 40, 60):
+        setup.append(n)
+        setup.run(job)
+    before, skips = job.outcomes().collect(), job.skips().collect()
+    job.compact()
+    assert sorted(job.outcomes().collect()) == sorted(before) and sorted(job.skips().distinct().collect()) == sorted(skips)
+    folders = [f for f in os.listdir(job.path("rounds")) if os.path.exists(job.path(f"rounds/{f}/sent"))]
+    assert len(folders) == 1
+
+
 def test_bad_record_blocks_the_source_for_every_destination(setup):
     setup.append(60)
     placed = setup.expected(None)
@@ -255,19 +321,35 @@ def test_pause_and_resume_lose_nothing(setup):
     assert len(lines) == len(set(lines))
 
 
+class Broken(io.BytesIO):
+    def read(self, *_):
+        raise http.client.IncompleteRead(b"")
+
+
+def test_cut_connections_are_retries():
+    for status in (200, 503):
+        opener = Opener(status, b"")
+        opener.make = Broken
+        assert http_sender("http://example.invalid", "u", "p", opener=opener)("{}", {}) == (None, b"")
+    opener = Opener(None, b"")
+    opener.error = http.client.BadStatusLine("?")
+    assert http_sender("http://example.invalid", "u", "p", opener=opener)("{}", {}) == (None, b"")
+
+
 class Opener:
     """Stands in for the network."""
 
     def __init__(self, status, body):
         self.status, self.body, self.requests = status, body, []
+        self.make, self.error = io.BytesIO, urllib.error.URLError("down")
 
     def open(self, request, timeout):
         self.requests.append((request, timeout))
         if self.status is None:
-            raise urllib.error.URLError("down")
+            raise self.error
         if self.status >= 300:
-            raise urllib.error.HTTPError(request.full_url, self.status, "", Message(), io.BytesIO(self.body))
-        return urllib.response.addinfourl(io.BytesIO(self.body), Message(), request.full_url, self.status)
+            raise urllib.error.HTTPError(request.full_url, self.status, "", Message(), self.make(self.body))
+        return urllib.response.addinfourl(self.make(self.body), Message(), request.full_url, self.status)
 
 
 def test_http_sender():

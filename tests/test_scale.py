@@ -55,7 +55,8 @@ def test_chunks_are_bounded_and_ordered(rows):
     found = groups.agg(F.count("*").alias("n"), F.min("seq").alias("low"), F.max("seq").alias("high")).orderBy("__chunk").collect()
     assert len(found) == 16 and max(r.n for r in found) < 1.1 * 3000 / 16
     assert all(a.high < b.low for a, b in zip(found, found[1:]))
-    assert scale.with_chunk(rows.limit(0), "seq").count() == 0
+    assert scale.with_chunk(rows.limit(0), "seq").collect() == []
+    assert scale.numbered(rows.limit(0), ["k"], "seq", "n").collect() == []
 
 
 def _kinds(spark):

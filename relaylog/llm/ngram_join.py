@@ -402,7 +402,8 @@ def _labelled(docs: DataFrame, rule: Similarity, star_rounds: int) -> DataFrame:
     shared = _shared_keys(sketched)
     _release(spark)
     light = sketched.drop("keys")
-    classes = light.filter("size > 0").groupBy("class1", "class2", "size").agg(F.min("row").alias("node"))
+    # Sums are stored before they are joined with what they sum up: a join of two plain shuffles can split a hot key.
+    classes = stored(light.filter("size > 0").groupBy("class1", "class2", "size").agg(F.min("row").alias("node")), "classes")
     placed = stored(light.join(classes, ["class1", "class2", "size"], "left").withColumn("node", F.coalesce("node", "row")), "nodes")
     forget(sketched)
     nodes = placed.filter("row = node").select("node", "text_key", "size", "bits")
@@ -436,13 +437,13 @@ def _labelled(docs: DataFrame, rule: Similarity, star_rounds: int) -> DataFrame:
             forget(members)
             members = now
         _release(spark)
-    return placed.withColumn("label", F.col("node")) if links is None else placed.join(labels, "node")
+    return placed.withColumn("label", F.col("node")) if links is None else placed.join(stored(labels, "labels"), "node")
 
 
 def ngram_components(docs: DataFrame, rule: Similarity = Similarity(), star_rounds: int = 1) -> DataFrame:  # noqa: B008
     """doc_id, n_shingles and component_id, the smallest doc_id that is reachable by links, of every document."""
     named = _labelled(docs, rule, star_rounds)
-    smallest = named.filter("size > 0").groupBy("label").agg(F.min("doc_id").alias("smallest"))
+    smallest = stored(named.filter("size > 0").groupBy("label").agg(F.min("doc_id").alias("smallest")), "smallest")
     component = F.when(F.col("size") > 0, F.col("smallest")).otherwise(F.col("doc_id"))
     return named.join(smallest, "label", "left").select("doc_id", F.col("size").alias("n_shingles"), component.alias("component_id"))
 

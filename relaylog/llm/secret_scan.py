@@ -114,7 +114,9 @@ def _spans(scanned: DataFrame, owns: Ownership) -> DataFrame:
     gaps = F.sum("gap").over(in_kind.rowsBetween(Window.unboundedPreceding, 0))
     lengths = F.sum("length").over(in_kind.rowsBetween(Window.unboundedPreceding, 0))
     placed = rows.select("key", "kind", "value", (gaps + lengths - F.col("length")).alias("start"), (gaps + lengths).alias("end"))
-    valued = placed.filter("value is not null").join(ownership(scanned), "value")
+    # Stored first, so that the join can split a value that many documents have.
+    owned = stored(ownership(scanned), "ownership")
+    valued = placed.filter("value is not null").join(owned, "value")
     live = valued.withColumn("live", F.col("owners") <= owns.max_owners)
     # An issued span counts if no base span ends after its start, or begins before its end.
     by_start = Window.partitionBy("key").orderBy("start", "end")

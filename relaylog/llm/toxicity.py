@@ -4,7 +4,7 @@ Writers hide words by leetspeak, by spaces or marks between letters, and by repe
 turned into a lattice: each sign may stand for itself, for a letter that it looks like, or for nothing; a
 repeated letter may be a single one. The Viterbi path under a character trigram model is the restored word. The
 model is counted over the plain words of all texts given, in a fixed table of symbol triples. A token
-whose best reading is what is written stays as it is.
+whose best reading is what is written, or nothing, stays as it is.
 
 The scorer is a logistic regression on parts of words of the restored text: whole words and their runs of four and five
 letters. It is fitted on a bounded sample of labelled rows (``sample`` of each class, those with the least hash), with
@@ -141,7 +141,7 @@ _SIGNS = re.escape("".join(LOOKS_LIKE))
 _LETTER = f"[{LETTERS}]"
 # Letters with signs among them, letters with marks between, or a letter three times in a row.
 _SUSPICIOUS = re.compile(
-    rf"(?<!\S)[^\w\s]*(?P<leet>(?=[^\s]*{_LETTER})(?:{_LETTER}|[{_SIGNS}])*(?:{_LETTER}[{_SIGNS}]|[{_SIGNS}]{_LETTER})(?:{_LETTER}|[{_SIGNS}])*)"
+    rf"(?<!\S)[^\w\s{_SIGNS}]*(?P<leet>(?=[^\s]*{_LETTER})(?:{_LETTER}|[{_SIGNS}])*(?:{_LETTER}[{_SIGNS}]|[{_SIGNS}]{_LETTER})(?:{_LETTER}|[{_SIGNS}])*)"
     rf"|(?<!\w)(?P<spaced>{_LETTER}(?:[\x20._\-*]{{1,2}}{_LETTER}){{2,}})(?!\w)"
     rf"|(?P<long>{_LETTER}*({_LETTER})\4\4{_LETTER}*)"
 )

@@ -33,7 +33,7 @@ def test_restored(restorer, written, meant):
     assert toxicity.restored(written, restorer) == meant
 
 
-@pytest.mark.parametrize("token", ["1d1o7", "l0ser", "m00ron", "tr33", "$$op", "aab", "4*1", "b00k5", "ll|ll"])
+@pytest.mark.parametrize("token", ["1d1o7", "l0ser", "m00ron", "tr33", "$$op", "aab", "4*1d", "b00k5", "ll|ll"])
 def test_the_path_is_the_best_of_all_readings(restorer, token):
     """Every reading of the lattice, one by one."""
     ways = []
@@ -53,6 +53,11 @@ def test_the_path_is_the_best_of_all_readings(restorer, token):
     assert max(value(found) + cost for letters, cost in readings if letters == found) == pytest.approx(best)
 
 
+def test_what_reads_as_nothing_stays(restorer):
+    assert restorer.word("9") == "9" or restorer.word("9") in toxicity.LOOKS_LIKE["9"]
+    assert restorer.word("") == ""
+
+
 def _held_out(llm, rows, label, fold, held_out):
     labels = {r.doc_id: r[label] for r in llm.read.parquet(f"{SF_DIR}/labels.parquet").collect()}
     for r in rows:
@@ -135,7 +140,7 @@ def test_pooling_of_long_texts_in_blocks(monkeypatch):
     table = np.random.default_rng(1).normal(size=(qc.ROWS, qc.PLACES)).astype(np.float32)
     text = "some words that go on\nand on " * 200
     whole = qc.pooled(text, table)
-    monkeypatch.setattr(qc, "_blocks", lambda t: [t[:3000], t[3000:]])
+    monkeypatch.setattr(qc, "_blocks", lambda t: [t[:2900], t[2900:]])
     assert np.allclose(whole[: 4 * qc.PLACES], qc.pooled(text, table)[: 4 * qc.PLACES])
 
 

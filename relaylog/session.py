@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -44,10 +45,12 @@ def _ship_package(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder below the cluster's shared checkpoint folder.
 
-    Only a session that names no such folder (tests, a laptop) falls back to a local one.
+    Only a session in one local process may leave it unset, as all its tasks share a disk; on a cluster that is an error.
     """
     base = spark.conf.get(_CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(_CHECKPOINT_DIR)
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError(f"set {_CHECKPOINT_DIR} to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="relaylog-")
         spark.conf.set(_CHECKPOINT_DIR, base)
     return f"{base.rstrip('/')}/relaylog/{name}-{uuid.uuid4().hex}"

@@ -7,7 +7,8 @@ size however large the corpus is; Spark adds up the tables of all tasks. A docum
 of its words' vectors and index vectors, how alike neighbours are, and how often words come again.
 
 A two-layer network in numpy is fitted to a bounded sample of labelled rows (``sample`` of each class, those with the
-least hash). A part of the sample is set aside to find the temperature that makes the probabilities calibrated. Every
+least hash), with classes weighted alike. A part of the sample is set aside to find the temperature that makes the
+probabilities calibrated; then the share of each class among all training rows is taken in as the prior. Every
 text is scored on all its words.
 
 Training rows are those whose crc32 of the doc_id's text leaves another remainder than ``held_out``; rows without a
@@ -18,7 +19,7 @@ score is 1. Rows that repeat get the same score each. Other columns are ignored,
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from relaylog.llm.common import _SPACE, map_batches, mix, text_column, word_hashes
-from relaylog.llm.toxicity import Training, labelled_sample
+from relaylog.llm.toxicity import Training, labelled_sample, training_rows
 
 ROWS = 1 << 12
 PLACES = 64
@@ -180,7 +181,7 @@ def pooled(text: str, table: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Network:
-    """Two layers on scaled inputs, and the temperature of their output."""
+    """Two layers on scaled inputs, fitted to classes of equal weight; the temperature and the prior of their output."""
 
     table: np.ndarray
     centre: np.ndarray
@@ -190,13 +191,14 @@ class Network:
     w2: np.ndarray
     b2: float
     temperature: float
+    prior: float = 0.0
 
     def logits(self, x: np.ndarray) -> np.ndarray:
         hidden = np.tanh(np.clip((x - self.centre) / self.scale, -6, 6) @ self.w1 + self.b1)
         return hidden @ self.w2 + self.b2
 
     def probability(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.logits(x) / self.temperature, -40, 40)))
+        return 1 / (1 + np.exp(-np.clip(self.logits(x) / self.temperature + self.prior, -40, 40)))
 
 
 def fit(x: np.ndarray, y: np.ndarray, table: np.ndarray, hidden: int = 24, rounds: int = 60, seed: int = 7) -> Network:
@@ -230,7 +232,7 @@ def fit(x: np.ndarray, y: np.ndarray, table: np.ndarray, hidden: int = 24, round
     out, truth = plain.logits(x[aside]), y[aside]
 
     def loss(t: float) -> float:
-        return float(np.mean(np.logaddexp(0, -np.where(truth == 1, 1, -1) * out / t))) if len(aside) else 0.0
+        return float(np.sum(weight[aside] * np.logaddexp(0, -np.where(truth == 1, 1, -1) * out / t)))
 
     best = min(np.exp(np.linspace(-1.5, 2.5, 81)), key=loss)
     return Network(table, centre, scale, w1, b1, w2, float(b2[0]), float(best))
@@ -254,7 +256,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", training:
     y = np.array([r[1] for r in found], float)
     if not len(y) or y.min() == y.max():
         return None
-    return fit(np.array([r[2] for r in found]), y, table)
+    counts = training_rows(labels, label, training).join(docs.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_semi")
+    of = {r[0]: r[1] for r in counts.groupBy("label").count().collect()}
+    return replace(fit(np.array([r[2] for r in found]), y, table), prior=float(np.log(of[1] / of[0])))
 
 
 def score(docs: DataFrame, network: Network | None) -> DataFrame:

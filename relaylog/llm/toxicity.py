@@ -225,11 +225,16 @@ def remainder(fold: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % fold
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, training: Training) -> DataFrame:
-    """label and text of at most ``sample`` training rows of each class: those with the least hash of their doc_id."""
+def training_rows(labels: DataFrame, label: str, training: Training) -> DataFrame:
+    """doc_id and label (0 or 1) of the rows that may be learned from, one for each doc_id."""
     rows = labels.select(F.col("doc_id").cast("long").alias("__id"), F.col(label).alias("label"))
     rows = rows.filter("__id is not null and label in (0, 1)").groupBy("__id").agg(F.max("label").alias("label"))
-    rows = rows.withColumnRenamed("__id", "doc_id").filter(remainder(training.fold) != training.held_out)
+    return rows.withColumnRenamed("__id", "doc_id").filter(remainder(training.fold) != training.held_out)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, training: Training) -> DataFrame:
+    """label and text of at most ``sample`` training rows of each class: those with the least hash of their doc_id."""
+    rows = training_rows(labels, label, training)
     order = F.xxhash64("doc_id")
     # A bounded heap in every task instead of a global sort.
     least = [rows.filter(F.col("label") == c).orderBy(order, "doc_id").limit(training.sample) for c in (0, 1)]

@@ -230,7 +230,8 @@ def accepted_prefix(decoded: DataFrame, partitions: int) -> DataFrame:
     """The records that may go on: per log partition, those before the first reject.
 
     One aggregate with a row per stopped partition joined back (broadcast while ``partitions`` bounds
-    it), not a window: a log partition is never sorted or gathered in one task.
+    it), not a window: a log partition is never sorted or gathered in one task. ``decoded`` is read twice: pass a
+    stored table.
     """
     stops = (
         decoded.filter(F.col("reject_reason").isNotNull()).groupBy("topic", "partition").agg(F.min("offset").alias("stop"))

@@ -176,6 +176,7 @@ class Identity:
 
     def check(self, source: Source, generation: int) -> None:
         """Refuse to decode with an identity that is inconsistent or belongs to another source."""
+        # The sentences, in the order of the checks.
         if generation < 1:
             raise ConfigError("generation is invalid")
         if not self.table or self.table != source.table:

@@ -79,6 +79,7 @@ def check_contract(df: DataFrame | None, source: Source) -> DataFrame:
     """
     if df is None:
         return missing_table(SparkSession.active(), source)
+    # The sentences of the rules, in the order of the checks.
     types = _types(df)
     facts = table_facts(df, source)
     serial, key = source.serial_column, source.partitioning_column

@@ -126,6 +126,7 @@ def _gate_rules(source: Source, identity: Identity) -> list[tuple[Column, Column
     def null_or_missing(value: Column) -> Column:
         return value.isNull() | J.is_null(value)
 
+    # The reasons, in the order of the checks; operators of a deployment see them as block reasons.
     return [
         (F.col("no_value"), "envelope is empty"),
         (~F.col("is_envelope"), "envelope is not a JSON object"),
@@ -153,6 +154,7 @@ def _gate_rules(source: Source, identity: Identity) -> list[tuple[Column, Column
 
 
 def _column_rules(identity: Identity) -> list[tuple[Column, Column | str]]:
+    # Fixed values, as above.
     rules: list[tuple[Column, Column | str]] = []
     for c in identity.columns:
         value, wire = J.member(F.col("after"), c.name), F.col("wire").getField(c.name)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -146,21 +147,27 @@ def read_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(_version_path(path, version))
 
 
+#: Versions that stay whatever their age, and the age in seconds up to which all others stay: a lazy frame from
+#: ``read_state`` may be read that long.
 KEPT_VERSIONS = 20
+KEPT_SECONDS = 6 * 3600
 
 
-def write_state(df: DataFrame, path: str) -> None:
-    """A new version next to the old ones. Readers see it only once it is complete.
+def write_state(df: DataFrame, path: str, kept_seconds: float = KEPT_SECONDS) -> None:
+    """A new version next to the old ones. Readers see it only once it is complete. A table has one writer.
 
-    Older versions than the last ``KEPT_VERSIONS`` go, so a long-running query does not pile them up.
+    Versions go once they are neither among the last ``KEPT_VERSIONS`` nor younger than ``kept_seconds``.
     """
     spark = df.sparkSession
     version = last_version(spark, path)
     version = 0 if version is None else version + 1
     df.write.mode("overwrite").parquet(_version_path(path, version))
-    fs, old = hadoop_path(spark, _version_path(path, version - KEPT_VERSIONS))
-    if version >= KEPT_VERSIONS:
-        fs.delete(old, True)
+    fs, folder = hadoop_path(spark, path)
+    oldest = time.time() - kept_seconds
+    for status in fs.listStatus(folder):
+        name = status.getPath().getName()
+        if name.startswith("v=") and int(name[2:]) <= version - KEPT_VERSIONS and status.getModificationTime() / 1000 < oldest:
+            fs.delete(status.getPath(), True)
 
 
 def _version_path(path: str, version: int) -> str:

@@ -162,3 +162,17 @@ def test_activity_entries(spark):
     assert len(lines) == entries.count()
     assert all("partition" in line and "offset" in line for line in lines)
     assert not any("outcome" in line for line in lines if line["message"] == "committed")
+
+
+def test_versions_are_retired_by_age(spark):
+    """A lazy frame of an old version can be read as long as that version is young enough."""
+    path = shared_dir(spark, "state")
+    first = None
+    for i in range(tables.KEPT_VERSIONS + 3):
+        tables.write_state(spark.range(i, i + 1), path)
+        first = first if first is not None else tables.read_state(spark, path, "id bigint")
+    assert [r.id for r in first.collect()] == [0]
+    tables.write_state(spark.range(99, 100), path, kept_seconds=-60)
+    assert [r.id for r in tables.read_state(spark, path, "id bigint").collect()] == [99]
+    fs, folder = tables.hadoop_path(spark, path)
+    assert len(fs.listStatus(folder)) == tables.KEPT_VERSIONS

@@ -151,3 +151,8 @@ def test_configuration_rules():
     ):
         with pytest.raises(ConfigError):
             bad()
+
+
+def test_a_table_that_does_not_exist(spark):
+    source = Source("s", "S", "nowhere", ("id",), "id", "id")
+    assert [(r.rule, r.column) for r in contract.check_contract(None, source).collect()] == [("missing table", "nowhere")]

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relaylog.llm.common import forget, map_batches, row_numbers, stored
+from relaylog.llm.common import map_batches, row_numbers, stored
 
 CALLS = "array<struct<id:string,name:string,arguments:string>>"
 _TYPES = {
@@ -147,16 +147,19 @@ def _ordered(linked: DataFrame) -> DataFrame:
     largest = linked.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
     first = F.when(F.col("parent").isNull(), 0).otherwise(1).cast("long").alias("depth")
     state = stored(linked.select("row", F.col("parent").alias("up"), F.col("turn").alias("best"), first), "order")
+    # Rows that have reached their first ancestor are set aside, so a round handles only chains that are still longer.
+    done, still = state.filter("up is null"), state.filter("up is not null")
     for _ in range(largest.bit_length() + 1):
-        if not state.filter("up is not null").limit(1).count():
+        if not still.limit(1).count():
             break
-        above = state.select(F.col("row").alias("at"), F.col("up").alias("up2"), F.col("best").alias("best2"), F.col("depth").alias("depth2"))
-        joined = state.join(above, F.col("up") == F.col("at"), "left")
+        known = done.unionByName(still)
+        above = known.select(F.col("row").alias("at"), F.col("up").alias("up2"), F.col("best").alias("best2"), F.col("depth").alias("depth2"))
+        joined = still.join(above, F.col("up") == F.col("at"), "left")
         best = F.greatest("best", F.coalesce("best2", "best")).alias("best")
         # Along a cycle depths double with every round, and mean nothing.
         now = stored(joined.select("row", F.col("up2").alias("up"), best, (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth")), "order")
-        forget(state)
-        state = now
+        done, still = done.unionByName(now.filter("up is null")), now.filter("up is not null")
+    state = done.unionByName(still)
     return state.select("row", F.col("up").isNotNull().alias("cyclic"), F.col("best").alias("sort_turn"), "depth")
 
 

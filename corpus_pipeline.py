@@ -40,7 +40,7 @@ def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def secret_scan_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret is replaced by a mark that tells live-looking ones from widely copied examples."""
     prepared(spark)
-    return secret_scan.redacted(docs)
+    return secret_scan.redacted(docs, issued_examples=True)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

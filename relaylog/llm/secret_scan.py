@@ -3,9 +3,10 @@ r"""Secrets in texts, with DataFrame functions only, and how widely each candida
 Each text is scanned once. Base kinds are ``assign`` (a value given to a password, secret, token or API key), ``access``
 (an access key id) and ``hex`` (a long run of hex digits); ``issued`` is added by this operator: tokens in the formats of
 issuers and long values of mixed letters and digits. Candidate values are hashed, and hashes are counted by distinct
-repository and by distinct owner. A value that more than ``max_owners`` owners have is an example that
-people copy; one that few have looks like a live credential of theirs. Base spans are always reported, issued ones
-only if they look live and touch no base span.
+repository and by distinct owner. A value that more than ``max_owners`` owners or more than ``max_repositories``
+repositories have is an example that people copy; one that few have looks like a live credential of theirs. The class
+never drops a span: base spans and issued ones that touch no base span are all in ``all_spans`` with their class
+and counts. ``spans`` has those without the issued examples.
 
 Places come from the lengths of matches and of the text between them, summed up per document in a window over its own
 matches, so no task holds more than the matches of one document. Counts are aggregated before each shuffle: first by
@@ -58,11 +59,12 @@ KINDS = (*BASE, ISSUED)
 
 @dataclass(frozen=True)
 class Ownership:
-    """Which columns tell the owner and, within an owner, the repository; above how many owners a value is an example."""
+    """Which columns tell the owner and, within an owner, the repository; above how many of either a value is an example."""
 
     owner: str = "source"
     repository: str = "lang"
     max_owners: int = 2
+    max_repositories: int = 4
 
 
 def _matches(number: int, kind: Kind) -> Column:
@@ -107,7 +109,7 @@ def ownership(scanned: DataFrame) -> DataFrame:
 
 
 def _spans(scanned: DataFrame, owns: Ownership) -> DataFrame:
-    """A row for each reported span: key, kind, start, end, live, owners, repositories."""
+    """A row for each span, whatever its class: key, kind, start, end, live, owners, repositories."""
     with_any = scanned.filter(F.size("matches") > 0).groupBy("key").agg(F.first("matches").alias("matches"))
     rows = with_any.select("key", F.inline("matches"))
     in_kind = Window.partitionBy("key", "kind").orderBy("number")
@@ -117,46 +119,67 @@ def _spans(scanned: DataFrame, owns: Ownership) -> DataFrame:
     # Stored first, so that the join can split a value that many documents have.
     owned = stored(ownership(scanned), "ownership")
     valued = placed.filter("value is not null").join(owned, "value")
-    live = valued.withColumn("live", F.col("owners") <= owns.max_owners)
+    live = valued.withColumn("live", (F.col("owners") <= owns.max_owners) & (F.col("repositories") <= owns.max_repositories))
     # An issued span counts if no base span ends after its start, or begins before its end.
     by_start = Window.partitionBy("key").orderBy("start", "end")
     base = F.col("kind") < len(BASE)
     before = F.max(F.when(base, F.col("end"))).over(by_start.rowsBetween(Window.unboundedPreceding, 0))
     after = F.min(F.when(base, F.col("start"))).over(by_start.rowsBetween(0, Window.unboundedFollowing))
     touched = (F.coalesce(before, F.lit(-1)) > F.col("start")) | (F.coalesce(after, F.col("end")) < F.col("end"))
-    return live.withColumn("touched", touched).filter(base | (F.col("live") & ~F.col("touched"))).drop("touched", "value")
+    return live.withColumn("touched", touched).filter(base | ~F.col("touched")).drop("touched", "value")
 
 
-def _joined(kinds: int) -> Column:
-    """kind:start:end of spans (start, kind, end) in order, as one text."""
+def _reported() -> Column:
+    """Base spans, and issued ones that look live."""
+    return (F.col("kind") < len(BASE)) | F.col("live")
+
+
+def _joined(kinds: int, examples: bool = False) -> Column:
+    """kind:start:end of spans in order, as one text; with ``examples`` all of them, with :class:owners:repositories."""
     names = F.array(*[F.lit(k.name) for k in KINDS])
-    spans = F.filter("spans", lambda s: s["kind"] < kinds)
-    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])), ",")
+    spans = F.filter("spans", lambda s: F.lit(True) if examples else (s["kind"] < kinds) & ((s["kind"] < len(BASE)) | s["live"]))
+
+    def text(s: Column) -> Column:
+        more = [F.when(s["live"], "live").otherwise("example"), s["owners"], s["repositories"]] if examples else []
+        return F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"], *more)
+
+    return F.array_join(F.transform(spans, text), ",")
 
 
 def secret_spans(docs: DataFrame, owns: Ownership = Ownership()) -> DataFrame:  # noqa: B008
-    """Per document: counts of base kinds, the digest of base spans, all spans, and how many look live or like examples."""
+    """Per document: counts of kinds, the digest of base spans, the spans, and how many look live or like examples.
+
+    ``n_issued``, ``n_live``, ``n_examples`` and ``spans`` leave issued examples out; ``n_issued_examples`` counts them, and
+    ``all_spans`` lists every span with its class, owners and repositories.
+    """
     scanned = _scanned(docs, owns)
-    counts = [F.count(F.when(F.col("kind") == i, 1)).alias(f"n_{k.name}") for i, k in enumerate(KINDS)]
-    counts += [F.count(F.when(F.col("live"), 1)).alias("n_live"), F.count(F.when(~F.col("live"), 1)).alias("n_examples")]
-    spans = F.sort_array(F.collect_list(F.struct("start", "kind", "end"))).alias("spans")
+    counts = [F.count(F.when(_reported() & (F.col("kind") == i), 1)).alias(f"n_{k.name}") for i, k in enumerate(KINDS)]
+    counts += [F.count(F.when(F.col("live"), 1)).alias("n_live"), F.count(F.when(_reported() & ~F.col("live"), 1)).alias("n_examples")]
+    counts += [F.count(F.when(~_reported(), 1)).alias("n_issued_examples")]
+    spans = F.sort_array(F.collect_list(F.struct("start", "kind", "end", "live", "owners", "repositories"))).alias("spans")
     per_key = _spans(scanned, owns).groupBy("key").agg(spans, *counts)
     rows = scanned.select("doc_id", "key").join(per_key, "key", "left")
-    names = [f"n_{k.name}" for k in KINDS] + ["n_live", "n_examples"]
+    names = [f"n_{k.name}" for k in KINDS] + ["n_live", "n_examples", "n_issued_examples"]
     return rows.select(
         "doc_id",
         *[F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in names],
         F.sha2(F.coalesce(_joined(len(BASE)), F.lit("")), 256).alias("base_sha256"),
         F.coalesce(_joined(len(KINDS)), F.lit("")).alias("spans"),
+        F.coalesce(_joined(len(KINDS), examples=True), F.lit("")).alias("all_spans"),
     )
 
 
 LIVE_MARK, EXAMPLE_MARK = "[live secret]", "[example secret]"
 
 
-def redacted(docs: DataFrame, owns: Ownership = Ownership()) -> DataFrame:  # noqa: B008
-    """The documents in their own columns, with a mark in place of each run of overlapping spans."""
+def redacted(docs: DataFrame, owns: Ownership = Ownership(), issued_examples: bool = False) -> DataFrame:  # noqa: B008
+    """The documents in their own columns, with a mark in place of each run of overlapping spans.
+
+    The spans are those of ``spans``, or with ``issued_examples`` those of ``all_spans``.
+    """
     spans = _spans(_scanned(docs, owns), owns)
+    if not issued_examples:
+        spans = spans.filter(_reported())
     by_start = Window.partitionBy("key").orderBy("start", "end", "kind")
     reached = F.max("end").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
     new = F.when(reached > F.col("start"), 0).otherwise(1)

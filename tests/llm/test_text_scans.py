@@ -9,6 +9,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from relaylog.llm import chat, secret_scan, syncmers
 
 # -- tool calls -----------------------------------------------------------------------------------------------------
@@ -246,3 +247,23 @@ def test_redacted(frame, hard_rows):
     assert Counter(found) == want
     assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in got.collect())
     assert not any(HEX32 in (r.text or "") or KEY in (r.text or "") for r in got.collect())
+
+
+def test_issued_examples_are_listed_and_marked(llm, frame):
+    """A leaked token that several sources quote keeps its span; the class only changes the mark."""
+    token = "ghp_" + "z2" * 20
+    docs = frame([(i, f"try {token} now", f"owner{i}") for i in range(3)] + [(9, f"use {LONG}", "one")])
+    got = {r.doc_id: r for r in secret_scan.secret_spans(docs).collect()}
+    assert (got[0].n_issued_examples, got[0].all_spans) == (1, "issued:4:48:example:3:3")
+    assert (got[9].n_issued_examples, got[9].all_spans) == (0, "issued:4:40:live:1:1")
+    texts = {r.doc_id: r.text for r in corpus_pipeline.secret_scan_stage(llm, docs, "").collect()}
+    assert texts == {i: "try [example secret] now" for i in range(3)} | {9: "use [live secret]"}
+
+
+def test_repositories_enter_the_verdict(frame):
+    """Many repositories of one owner make an example too, many documents of one repository do not."""
+    rows = [(i, f"token={HEX32}", "one") for i in range(10)] + [(100 + i, f"token={KEY}", "one") for i in range(10)]
+    repository = F.when(F.col("doc_id") < 100, F.concat(F.lit("r"), F.col("doc_id"))).otherwise(F.lit("r"))
+    got = {r.doc_id: r for r in secret_scan.secret_spans(frame(rows).withColumn("lang", repository)).collect()}
+    assert got[0].all_spans == "assign:0:38:example:1:10,hex:6:38:example:1:10"
+    assert got[100].all_spans == "assign:0:26:live:1:1,access:6:26:live:1:1"

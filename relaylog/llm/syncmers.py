@@ -4,9 +4,10 @@ A k-mer of units is chosen if the least hash of its inner runs of s units lies a
 depends on the k-mer alone and not on what stands around it, so an unchanged passage keeps its anchors, and two
 texts can be matched position by position wherever they agree. Any ``k - s`` k-mers in a row hold an anchor.
 
-Units are runs of at most 12 characters other than white space, k-mers of 5 units with inner runs of 2. Texts of at
-most 400 characters have anchors over single characters as well (8 and 5), so that short texts have enough of
-them. A text with no anchor has the hash of the whole text as its only one. The fingerprint is the sketch of the 64
+Units of fingerprints are the same for every length of text: up to five other signs and then a vowel, a digit, a sign
+beyond ASCII or white space, whose runs count as one space. They are about two characters long, so short texts have
+enough of them, and an edit shifts no units but its own. K-mers are of 5 units with inner runs of 2; ends are filled up,
+so every text but the empty one has anchors. The empty one has the hash of the whole text as its only one. The fingerprint is the sketch of the 64
 smallest distinct anchor hashes; the likeness of two is twice the shared part over the sum, estimated on the 64 smallest
 of their union. Equal texts have equal fingerprints.
 
@@ -27,9 +28,8 @@ from pyspark.sql import functions as F
 from relaylog.llm.common import text_column
 
 WORD_UNITS = (r"\S{1,12}", 5, 2)
-CHARACTER_UNITS = (r"(?s).", 8, 5)
-PAIR_UNITS = (r"(?s).", 2, 1)
-SHORT, TINY = 400, 32
+_ENDS = r"aeiouAEIOU0-9\x{80}-\x{10FFFF}"
+UNITS = (rf"[^\s{_ENDS}]{{0,5}}[\s{_ENDS}]|[^\s{_ENDS}]{{1,6}}", 5, 2)
 SKETCH = 64
 
 _LEAST = -(1 << 63)
@@ -40,14 +40,21 @@ def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(value.alias(name)))))
 
 
-def with_marks(df: DataFrame, text: str, out: str, units: tuple[str, int, int], only: Column | None = None) -> DataFrame:
-    """``df`` with an array ``out``: for each k-mer of units its hash if it is a closed syncmer, else null."""
+def with_marks(df: DataFrame, text: str, out: str, units: tuple[str, int, int], filled: bool = False) -> DataFrame:
+    """``df`` with an array ``out``: for each k-mer of units its hash if it is a closed syncmer, else null.
+
+    ``filled``: k - 1 empty units stand before and after those of the text, if it has any.
+    """
     pattern, k, s = units
     runs = k - s + 1
-    pieces = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))
-    if only is not None:
-        pieces = F.when(only, pieces).otherwise(F.array().cast("array<string>"))
-    df = _once(df, "__u", F.transform(pieces, lambda x: F.xxhash64(x)))
+    hashes = F.transform(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0)), lambda x: F.xxhash64(x))
+    if filled:
+        df = _once(df, "__u", hashes)
+        ends = F.array_repeat(F.xxhash64(F.lit("")), k - 1)
+        hashes = F.when(F.size("__u") > 0, F.concat(ends, "__u", ends)).otherwise(F.col("__u"))
+        df = _once(df, "__f", hashes).drop("__u").withColumnRenamed("__f", "__u")
+    else:
+        df = _once(df, "__u", hashes)
     df = _once(df, "__m", F.transform("__u", lambda x, i: F.xxhash64(x, *[F.get("__u", i + j) for j in range(1, s)])))
     # The runs at 0, s, 2s, ... and the last one cover the k-mer.
     cover = sorted({*range(0, runs, s), runs - 1} - {0})
@@ -70,13 +77,12 @@ def with_marks(df: DataFrame, text: str, out: str, units: tuple[str, int, int],
 
 def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     """``df`` with the sketch of ``text`` as an array of hashes in ascending order."""
-    df = with_marks(df, text, "__words", WORD_UNITS)
-    df = with_marks(df, text, "__characters", CHARACTER_UNITS, F.char_length(text) <= SHORT)
-    df = with_marks(df, text, "__pairs", PAIR_UNITS, F.char_length(text) <= TINY)
-    anchors = F.array_distinct(F.array_compact(F.concat("__words", "__characters", "__pairs")))
+    df = df.withColumn("__spaced", F.regexp_replace(text, r"\s+", " "))
+    df = with_marks(df, "__spaced", "__marks", UNITS, filled=True)
+    anchors = F.array_distinct(F.array_compact("__marks"))
     df = _once(df, "__anchors", F.slice(F.sort_array(anchors), 1, SKETCH))
     sketch = F.when(F.size("__anchors") > 0, F.col("__anchors")).otherwise(F.array(F.xxhash64(F.col(text), F.lit(0))))
-    return _once(df, out, sketch).drop("__words", "__characters", "__pairs", "__anchors")
+    return _once(df, out, sketch).drop("__spaced", "__marks", "__anchors")
 
 
 def anchors(docs: DataFrame, units: tuple[str, int, int] = WORD_UNITS) -> DataFrame:

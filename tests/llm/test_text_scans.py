@@ -156,6 +156,15 @@ def test_fingerprints_of_few_documents(frame):
     assert only.near_next == 1 and only.edited_sha256 == hashlib.sha256(b"just one just one ").hexdigest()
 
 
+@pytest.mark.parametrize("length", [32, 400])
+def test_likeness_has_no_step(frame, length):
+    """Two texts that differ by a few characters are as alike across 32 and 400 characters as on either side."""
+    text = " ".join(f"{w}{i}" for i, w in enumerate("some plain words that go on and on over the hill".split() * 10))
+    for shorter in (length - 5, length - 2, length + 1):
+        got = {r.doc_id: r for r in syncmers.fingerprints(frame([(1, text[:shorter]), (2, text[: shorter + 3])])).collect()}
+        assert got[1].near_next == got[2].near_next > (0.5 if length < 100 else 0.9)
+
+
 def test_anchors_do_not_depend_on_what_is_around(frame):
     shared = [f"w{i * i % 677}" for i in range(60)]
     rows = [(1, " ".join(["x"] * 7 + shared)), (2, " ".join(shared + ["y"] * 9)), (3, " ".join(["z"] * 30))]

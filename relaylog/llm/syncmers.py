@@ -4,15 +4,16 @@ A k-mer of units is chosen if the least hash of its inner runs of s units lies a
 depends on the k-mer alone and not on what stands around it, so an unchanged passage keeps its anchors, and two
 texts can be matched position by position wherever they agree. Any ``k - s`` k-mers in a row hold an anchor.
 
-Units of fingerprints are the same for every length of text: up to five other signs and then a vowel, a digit, a sign
-beyond ASCII or white space, whose runs count as one space. They are about two characters long, so short texts have
-enough of them, and an edit shifts no units but its own. K-mers are of 5 units with inner runs of 2; ends are filled up,
-so every text but the empty one has anchors. The empty one has the hash of the whole text as its only one. The fingerprint is the sketch of the 64
-smallest distinct anchor hashes; the likeness of two is twice the shared part over the sum, estimated on the 64 smallest
-of their union. Equal texts have equal fingerprints.
+Units of fingerprints are the same for every length of text: up to five other signs and then a vowel, a sign beyond
+ASCII or white space, whose runs count as one space. They are about two characters long, so short texts have
+enough of them, and an edit shifts no units but its own. K-mers are of 10 units with inner runs of 7; ends are filled up,
+so every text but the empty one has anchors. The empty one has the hash of the whole text as its only one.
+The fingerprint has the distinct anchor hashes in the lowest 16th of their range, or the 64 smallest if those are fewer, so it grows with the
+text. Likeness is computed on all distinct anchors of both texts: twice the shared ones over the sum. It is not estimated,
+and a passage shared by two long texts counts however small its part of them is. Equal texts have equal fingerprints.
 
 The document after a document is found without a global sort: doc ids are cut into ranges at quantiles, and the first
-rows of a range are also dealt to the range before it (those of the first to the last). Texts are shuffled once.
+rows of a range are also dealt to the range before it (those of the first to the last). Texts are shuffled once, and anchors are made after that, in the range's own task.
 
 A null text is empty. Null doc ids come first; rows with the same doc_id follow each other by the hash of their text.
 With a single row the next document is that row itself. An empty table gives no rows. Other columns are ignored.
@@ -21,6 +22,7 @@ With a single row the next document is that row itself. An empty table gives no
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,12 +30,14 @@ from pyspark.sql import functions as F
 from relaylog.llm.common import text_column
 
 WORD_UNITS = (r"\S{1,12}", 5, 2)
-_ENDS = r"aeiouAEIOU0-9\x{80}-\x{10FFFF}"
-UNITS = (rf"[^\s{_ENDS}]{{0,5}}[\s{_ENDS}]|[^\s{_ENDS}]{{1,6}}", 5, 2)
-SKETCH = 64
+_ENDS = r"aeiouAEIOU\x{80}-\x{10FFFF}"
+UNITS = (rf"[^\s{_ENDS}]{{0,5}}[\s{_ENDS}]|[^\s{_ENDS}]{{1,6}}", 10, 7)
+SKETCH, SHARE = 64, 16
 
 _LEAST = -(1 << 63)
 
+Made = Callable[[DataFrame], DataFrame]
+
 
 def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """A column that later expressions read without computing it again."""
@@ -75,14 +79,19 @@ def with_marks(df: DataFrame, text: str, out: str, units: tuple[str, int, int],
     return marked.drop("__u", "__m")
 
 
-def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
-    """``df`` with the sketch of ``text`` as an array of hashes in ascending order."""
+def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
+    """``df`` with the distinct anchor hashes of ``text`` in ascending order."""
     df = df.withColumn("__spaced", F.regexp_replace(text, r"\s+", " "))
     df = with_marks(df, "__spaced", "__marks", UNITS, filled=True)
-    anchors = F.array_distinct(F.array_compact("__marks"))
-    df = _once(df, "__anchors", F.slice(F.sort_array(anchors), 1, SKETCH))
-    sketch = F.when(F.size("__anchors") > 0, F.col("__anchors")).otherwise(F.array(F.xxhash64(F.col(text), F.lit(0))))
-    return _once(df, out, sketch).drop("__spaced", "__marks", "__anchors")
+    df = _once(df, "__anchors", F.sort_array(F.array_distinct(F.array_compact("__marks"))))
+    whole = F.when(F.size("__anchors") > 0, F.col("__anchors")).otherwise(F.array(F.xxhash64(F.col(text), F.lit(0))))
+    return _once(df, out, whole).drop("__spaced", "__marks", "__anchors")
+
+
+def sketch(hashes: str) -> Column:
+    """Of ascending hashes those in the lowest part of their range, and ``SKETCH`` at least."""
+    low = F.size(F.filter(hashes, lambda x: x < _LEAST + (1 << 64) // SHARE))
+    return F.slice(hashes, F.lit(1), F.greatest(low, F.lit(SKETCH)))
 
 
 def anchors(docs: DataFrame, units: tuple[str, int, int] = WORD_UNITS) -> DataFrame:
@@ -92,15 +101,12 @@ def anchors(docs: DataFrame, units: tuple[str, int, int] = WORD_UNITS) -> DataFr
 
 
 def likeness(a: str, b: str) -> Column:
-    """Of two sketches, from 0 to 1."""
-    union = F.slice(F.sort_array(F.array_union(a, b)), 1, SKETCH)
-    shared = F.size(F.array_intersect(F.array_intersect(F.col(a), F.col(b)), union))
-    share = shared / F.size(union)
-    return 2 * share / (1 + share)
+    """Of two sets of anchors, from 0 to 1."""
+    return 2 * F.size(F.array_intersect(a, b)) / (F.size(a) + F.size(b))
 
 
-def as_text(sketch: str) -> Column:
-    return F.array_join(F.transform(sketch, lambda x: F.lpad(F.hex(x), 16, "0")), "")
+def as_text(hashes: Column) -> Column:
+    return F.array_join(F.transform(hashes, lambda x: F.lpad(F.hex(x), 16, "0")), "")
 
 
 def _range_of(key: Column, bounds: list[int]) -> Column:
@@ -120,8 +126,11 @@ def range_bounds(df: DataFrame, key: str) -> list[int]:
     return [] if least is None else sorted({least, *found})
 
 
-def with_next(df: DataFrame, key: str, tie: str, columns: list[str], bounds: list[int]) -> DataFrame:
-    """``df`` with ``next_<column>`` of the next row in the order of ``key`` (not null) and ``tie``; the first follows the last."""
+def with_next(df: DataFrame, key: str, tie: str, columns: list[str], bounds: list[int], made: Made | None = None) -> DataFrame:
+    """``df`` with ``next_<column>`` of the next row in the order of ``key`` (not null) and ``tie``; the first follows the last.
+
+    ``made`` adds columns to rows that are already dealt to their range, so that those are not shuffled.
+    """
     at = F.greatest(_range_of(F.col(key), bounds) - 1, F.lit(0)) if bounds else F.lit(0)
     ranged = _once(df, "__range", at)
     last = F.lit(max(0, len(bounds) - 1))
@@ -129,6 +138,8 @@ def with_next(df: DataFrame, key: str, tie: str, columns: list[str], bounds: lis
     before = F.struct(F.when(F.col("__range") == 0, last).otherwise(F.col("__range") - 1).alias("__at"), F.lit(1).alias("__carry"))
     head = F.col(key) == F.get(F.lit(bounds or [0]).cast("array<bigint>"), F.col("__range"))
     dealt = ranged.select("*", F.inline(F.when(head, F.array(own, before)).otherwise(F.array(own))))
+    if made is not None:
+        dealt = made(dealt.repartition("__at"))
     window = Window.partitionBy("__at").orderBy("__carry", key, tie)
     after = [F.lead(c).over(window).alias(f"next_{c}") for c in columns]
     return dealt.select("*", *after).filter("__carry = 0").drop("__range", "__at", "__carry")
@@ -144,17 +155,17 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         F.xxhash64(text).alias("tie"),
     )
     bounds = range_bounds(rows.select("key"), "key")
-    rows = with_next(with_fingerprint(rows, "text", "sketch"), "key", "tie", ["text", "sketch"], bounds)
+    rows = with_next(rows, "key", "tie", ["text", "anchors"], bounds, lambda df: with_anchors(df, "text", "anchors"))
     rows = _once(rows, "n_chars", F.char_length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.left(F.col("text"), F.col("n_chars").cast("int") - half), F.left(F.col("next_text"), half))
-    rows = with_fingerprint(_once(rows, "edited", edited), "edited", "edited_sketch")
+    rows = with_anchors(_once(rows, "edited", edited), "edited", "edited_anchors")
     return rows.select(
         "doc_id",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
-        as_text("sketch").alias("fingerprint"),
-        as_text("edited_sketch").alias("edited_fingerprint"),
-        likeness("sketch", "edited_sketch").alias("near_edited"),
-        likeness("sketch", "next_sketch").alias("near_next"),
+        as_text(sketch("anchors")).alias("fingerprint"),
+        as_text(sketch("edited_anchors")).alias("edited_fingerprint"),
+        likeness("anchors", "edited_anchors").alias("near_edited"),
+        likeness("anchors", "next_anchors").alias("near_next"),
     )

@@ -41,8 +41,8 @@ def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, i
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             out = {name: [] for name in arrow.names}
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = np.append(encode(text).astype("<u4"), np.uint32(end_id))
+            for doc_id, own in zip(batch.column(0).to_pylist(), encode.texts(batch.column(1).to_pylist()), strict=True):
+                own = np.append(own.astype("<u4"), np.uint32(end_id))
                 for piece, start in enumerate(range(0, len(own), capacity)):
                     tokens = own[start : start + capacity]
                     row = (part, int(seen[len(tokens)]), doc_id, piece, start, len(tokens), zlib.crc32(tokens.tobytes()), tokens)

@@ -2,24 +2,33 @@
 
 The pattern of the byte-level vocabulary never lets a token cross a space that stands before something other
 than white space: such a space always begins a token. So a text can be cut there, and the ids of the pieces one
-after another are the ids of the text. Pieces repeat, so a worker keeps their ids.
+after another are the ids of the text. Pieces repeat, so a worker keeps their ids. The new pieces of a batch of texts
+go through the library together, as one text with a space before each: where the ids of a piece begin is told
+by the tokens themselves, as the first token of each piece, and no other, begins with a space.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from array import array
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Distinct pieces and words kept by a worker before it starts anew.
+#: Distinct pieces and words that ``Pieces`` keeps before it starts anew.
 KEPT_PIECES = 600_000
+#: Distinct pieces, and characters in them, in each of the two halves of what a worker keeps: some 40 MB a half.
+HALF_PIECES = 300_000
+HALF_CHARS = 4_000_000
+#: A batch of texts is taken in groups of so many characters, and new pieces are encoded in texts of so many.
+GROUP_CHARS = 1 << 20
+JOINED_CHARS = 1 << 16
 
 _CUT = re.compile(r" (?=\S)")
 _SPACE_RUN = re.compile(r" (?:\s|\Z)")
 # Letters, then ASCII marks other than the apostrophe: two tokens' worth of text that the pattern always parts.
-_WORD = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)\Z")
+_MARKED = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]+)\Z")
 
 
 def cut(text: str) -> list[str]:
@@ -27,8 +36,21 @@ def cut(text: str) -> list[str]:
     return _CUT.split(text) if _SPACE_RUN.search(text) else text.split(" ")
 
 
+def _grouped(texts: Iterable[str], chars: int) -> Iterator[list[str]]:
+    """Groups of neighbours with at most ``chars`` characters, or of one text."""
+    group, size = [], 0
+    for text in texts:
+        if group and size + len(text) > chars:
+            yield group
+            group, size = [], 0
+        group.append(text)
+        size += len(text) + 1
+    if group:
+        yield group
+
+
 class Pieces(dict):
-    """Packed ids by piece. A piece stands for itself with a space before it."""
+    """Packed ids by piece, one at a time. A piece stands for itself with a space before it."""
 
     def __init__(self, encode: Callable[[str], bytes]):
         super().__init__()
@@ -54,29 +76,64 @@ class LibraryEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype(dtype)
-        if self.tokenizer.get_vocab_size() > np.iinfo(self.dtype).max + 1:
+        size = self.tokenizer.get_vocab_size()
+        if size > np.iinfo(self.dtype).max + 1:
             raise ValueError(f"{path} has ids that do not fit {dtype}")
-        self.pieces = Pieces(self._piece)
-        self.words: dict[str, bytes] = {}
+        tokens = (self.tokenizer.id_to_token(i) or "" for i in range(size))
+        self.begins = np.fromiter((t.startswith("Ġ") for t in tokens), bool, size)
+        # Packed ids by piece. A piece stands for itself with a space before it.
+        self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
+        self.chars = 0
 
     def _plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _word(self, word: str) -> bytes:
-        if (ids := self.words.get(word)) is None:
-            if len(self.words) >= KEPT_PIECES:
-                self.words.clear()
-            ids = self.words[word] = self._plain(word)
-        return ids
-
-    def _piece(self, piece: str) -> bytes:
-        lead = piece[:1] == " "
-        if (m := _WORD.match(piece, lead)) and m[1].isalpha():
-            return self._word(piece[: m.end(1)]) + (self._word(m[2]) if m[2] else b"")
-        return self._plain(piece)
+    def _learn(self, new: set[str]) -> None:
+        marked = [(p, m[1], m[2]) for p in new if (m := _MARKED.match(p)) and m[1].isalpha()]
+        whole = new.difference(p for p, _, _ in marked)
+        whole.update(stem for _, stem, _ in marked if stem not in self.pieces)
+        words = [p for p in whole if p.isascii() and p.isalpha()]
+        code, tokenize = self.dtype.char, self.tokenizer.model.tokenize
+        # A space and letters are one match of the pattern, which goes to the model as it is.
+        self.pieces.update((w, array(code, [t.id for t in tokenize("Ġ" + w)]).tobytes()) for w in words)
+        whole.difference_update(words)
+        for group in _grouped((p for p in whole if p and " " not in p), JOINED_CHARS):
+            [encoded] = self.tokenizer.encode_batch_fast([" " + " ".join(group)], add_special_tokens=False)
+            ids = np.array(encoded.ids, self.dtype)
+            starts = np.flatnonzero(self.begins[ids])
+            if len(starts) != len(group):  # another vocabulary might part a space from what follows it
+                self.pieces.update((p, self._plain(" " + p)) for p in group)
+                continue
+            packed, edges = ids.tobytes(), (np.append(starts, len(ids)) * self.dtype.itemsize).tolist()
+            self.pieces.update(zip(group, map(packed.__getitem__, map(slice, edges, edges[1:])), strict=True))
+        self.pieces.update((p, self._plain(" " + p)) for p in whole if not p or " " in p)
+        for piece, stem, marks in marked:
+            if marks not in self.marks:
+                self.marks[marks] = self._plain(marks)
+            self.pieces[piece] = self.pieces[stem] + self.marks[marks]
+
+    def texts(self, texts: Sequence[str]) -> Iterator[np.ndarray]:
+        """The ids of each text, in order."""
+        for group in _grouped(texts, GROUP_CHARS):
+            cuts = [cut(text) for text in group]
+            firsts = [pieces.pop(0) for pieces in cuts]
+            new = set().union(*cuts).difference(self.pieces)
+            if len(self.pieces) + len(new) > HALF_PIECES or self.chars > HALF_CHARS:
+                # Pieces that are still in use come back from the older half.
+                self.older, self.pieces, self.marks, self.chars = self.pieces, {}, {}, 0
+                new = set().union(*cuts)
+            again = new.intersection(self.older)
+            self.pieces.update(zip(again, map(self.older.__getitem__, again), strict=True))
+            new -= again
+            self.chars += sum(map(len, again)) + sum(map(len, new))
+            self._learn(new)
+            for first, pieces in zip(firsts, cuts, strict=True):
+                yield np.frombuffer((self._plain(first) if first else b"") + b"".join(map(self.pieces.__getitem__, pieces)), self.dtype)
 
     def __call__(self, text: str) -> np.ndarray:
-        return np.frombuffer(self.pieces.text(text), self.dtype)
+        return next(self.texts([text]))
 
 
 _encoders: dict[tuple[str, str], LibraryEncoder] = {}

@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow.fs import FileType
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +52,9 @@ class _Target:
 
     def close(self) -> None:
         self.out.close()
+        # An earlier attempt of the task may have left the file; not every store lets a move replace it.
+        if self.fs.get_file_info(self.path).type != FileType.NotFound:
+            self.fs.delete_file(self.path)
         self.fs.move(self.draft, self.path)
 
 
@@ -69,8 +73,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int)
             if ids is None:
                 ids, lengths = _Target(folder, _name(part, "ids")), _Target(folder, _name(part, "len"))
             counts = []
-            for text in batch.column(1).to_pylist():
-                own = encode(text)
+            for own in encode.texts(batch.column(1).to_pylist()):
                 ids.out.write(own.tobytes() + end)
                 counts.append(len(own) + 1)
             doc_ids = batch.column(0).fill_null(_NULL).to_numpy()

@@ -14,14 +14,16 @@ from pyspark.sql import functions as F
 
 from relaylog.session import configure, shared_dir
 
-#: Rows per Arrow batch: bounds what a Python worker holds when texts are long.
+#: Rows, and bytes, per Arrow batch: bounds what a Python worker holds when texts are long.
 BATCH_ROWS = 256
+BATCH_BYTES = 4 << 20
 
 
 def prepared(spark: SparkSession) -> SparkSession:
     """The session with the library's settings and small Arrow batches."""
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 
@@ -76,6 +78,23 @@ def file_system(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
+class Target:
+    """A file that gets its name only once it is whole."""
+
+    def __init__(self, folder: str, name: str):
+        self.fs, root = file_system(folder)
+        self.path = f"{root}/{name}"
+        self.draft = f"{self.path}.{TaskContext.get().taskAttemptId()}"
+        self.out = self.fs.open_output_stream(self.draft)
+
+    def close(self) -> None:
+        self.out.close()
+        # An earlier attempt of the task may have left the file; not every store lets a move replace it.
+        if self.fs.get_file_info(self.path).type != fs.FileType.NotFound:
+            self.fs.delete_file(self.path)
+        self.fs.move(self.draft, self.path)
+
+
 # -- words: the longest runs of bytes other than ASCII white space --------------------------------------------------
 
 _SPACE = np.zeros(256, bool)

@@ -8,8 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relaylog.llm import bpe, chat, ngram_join, packing, quality_classifier, quality_rules, secret_scan, syncmers, token_files, toxicity
-from relaylog.llm.common import documents, prepared
+from relaylog.llm import (
+    bpe,
+    chat,
+    ngram_join,
+    packing,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    spelling,
+    syncmers,
+    token_files,
+    toxicity,
+    warc,
+    whitening,
+)
+from relaylog.llm.common import documents, prepared, stored
 from relaylog.session import shared_dir
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -83,6 +97,27 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The pages have no date of their own.
+CRAWLED = "2024-01-01T00:00:00Z"
+
+
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = prepared(spark).read.parquet(f"{sf_dir}/pages.parquet")
+    crawl, folder = shared_dir(spark, "crawl"), shared_dir(spark, "archives")
+    warc.deduplicate(warc.write_archives(pages, crawl, CRAWLED), crawl, folder)
+    warc.forget_archives(crawl)
+    records = warc.resolved(stored(warc.read_archives(spark, folder), "records"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(prepared(spark).read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
     return dict(sorted(found.items(), key=lambda item: int(item[0][2:].split("_")[0])))

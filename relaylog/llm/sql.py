@@ -68,5 +68,15 @@ FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
 
+_REVISITS = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+q AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS original FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND original <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND original <> page_id THEN original END AS refers_to
+FROM q
+"""
+
+
 def all_sql() -> dict[str, str]:
-    return {"op4_quality_rules": _RULES, "op9_ngram_join": _JOIN}
+    return {"op4_quality_rules": _RULES, "op9_ngram_join": _JOIN, "op11_warc": _REVISITS}

@@ -25,12 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyarrow.fs import FileType
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relaylog.llm.common import file_system, text_column
+from relaylog.llm.common import Target, file_system, text_column
 from relaylog.llm.pieces import encoder, id_type
 
 _NULL = np.iinfo(np.int64).min
@@ -41,23 +40,6 @@ def _name(part: int, kind: str) -> str:
     return f"part-{part:05d}.{kind}"
 
 
-class _Target:
-    """A file that gets its name only once it is whole."""
-
-    def __init__(self, folder: str, name: str):
-        self.fs, root = file_system(folder)
-        self.path = f"{root}/{name}"
-        self.draft = f"{self.path}.{TaskContext.get().taskAttemptId()}"
-        self.out = self.fs.open_output_stream(self.draft)
-
-    def close(self) -> None:
-        self.out.close()
-        # An earlier attempt of the task may have left the file; not every store lets a move replace it.
-        if self.fs.get_file_info(self.path).type != FileType.NotFound:
-            self.fs.delete_file(self.path)
-        self.fs.move(self.draft, self.path)
-
-
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> None:
     """Encode ``docs`` (doc_id, text) into the empty ``folder``."""
     dtype = id_type(tokenizer)
@@ -71,7 +53,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int)
         documents = total = 0
         for batch in batches:
             if ids is None:
-                ids, lengths = _Target(folder, _name(part, "ids")), _Target(folder, _name(part, "len"))
+                ids, lengths = Target(folder, _name(part, "ids")), Target(folder, _name(part, "len"))
             counts = []
             for own in encode.texts(batch.column(1).to_pylist()):
                 ids.out.write(own.tobytes() + end)
@@ -111,7 +93,7 @@ def _write_offsets(spark: SparkSession, folder: str, bases: list[tuple[int, int]
                 with source.open_input_stream(f"{root}/{_name(part, 'len')}") as f:
                     doc_ids, counts = np.frombuffer(f.read(), "<i8").reshape(-1, 2).T
                 offsets = np.concatenate([[base], base + np.cumsum(counts)]).astype("<u8")
-                index = _Target(folder, _name(part, "idx"))
+                index = Target(folder, _name(part, "idx"))
                 index.out.write(doc_ids.tobytes() + offsets.tobytes())
                 index.close()
                 yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32())], names=["part"])

@@ -1,0 +1,348 @@
+"""WARC archives, whitening and spelling variants against plain versions."""
+
+import gzip
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+import oracle_check
+from relaylog.llm import queries, spelling, sql, warc, whitening
+from relaylog.llm.common import file_system, stored
+from relaylog.session import shared_dir
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+# -- WARC ---------------------------------------------------------------------------------------------------------
+
+
+def page_frame(llm, rows, partitions=3):
+    df = llm.createDataFrame([(*r, "x", "y") for r in rows], "page_id long, url string, html string, payload_digest string, copies string")
+    return df.repartition(partitions) if rows else df
+
+
+def archived(llm, pages):
+    crawl, folder = shared_dir(llm, "crawl"), shared_dir(llm, "archives")
+    index = warc.deduplicate(warc.write_archives(pages, crawl, "2024-01-01T00:00:00Z"), crawl, folder)
+    return index, folder
+
+
+def plain_revisits(rows):
+    first = {}
+    for page_id, _, html in rows:
+        body = (html or "").encode()
+        if len(body) >= 100:
+            place = (page_id is None, page_id)
+            first[body] = min(first.get(body, place), place)
+    out = Counter()
+    seen = set()
+    for page_id, _, html in sorted(rows, key=lambda r: (r[0] is None, r[0])):
+        body = (html or "").encode()
+        digest = hashlib.sha256(body).hexdigest()
+        again = body in first and (first[body] != (page_id is None, page_id) or body in seen)
+        seen.add(body)
+        out[page_id, len(body), digest, "revisit" if again else "response", first[body][1] if again else None] += 1
+    return out
+
+
+def test_archives_against_a_plain_version(llm):
+    rng = random.Random(3)
+    big = ["a" * 100, "é" * 50, "ab" * 5_000, "<html>" + "x" * 200_000, "\r\n\r\n" * 40]
+    small = ["", None, "a" * 99, "short"]
+    rows = [(i, rng.choice([None, f"http://h/{i}", "http://h/a b\r\nX: y"]), rng.choice(big + small)) for i in range(300)]
+    rows += [(7, "u", big[0]), (7, "u", big[0]), (None, "u", big[2]), (None, None, None), (-5, "u", big[4])]
+    _, folder = archived(llm, page_frame(llm, rows))
+    records = stored(warc.read_archives(llm, folder), "records")
+    found = warc.resolved(records).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()
+    assert Counter(map(tuple, found)) == plain_revisits(rows)
+
+
+def test_files_are_gzip_members_that_any_reader_can_take_apart(llm):
+    body = "<p>" + "same " * 100
+    index, folder = archived(llm, page_frame(llm, [(1, "http://a/", body), (2, "http://b/", body), (3, "http://c/", "tiny")]))
+    store, root = file_system(folder)
+    rows = index.collect()
+    assert {r["record_type"] for r in rows if r["page_id"] == 2} == {"revisit"}
+    for r in rows:
+        with store.open_input_file(f"{root}/{r['file']}") as f:
+            data = f.read_buffer().to_pybytes()
+        assert gzip.decompress(data).count(b"WARC/1.1\r\n") >= 2
+        headers, block = warc.parse_record(gzip.decompress(data[r["offset"] : r["offset"] + r["size"]]))
+        assert headers["warc-record-id"] == f"<{r['record_id']}>"
+        if r["record_type"] == "revisit":
+            original = next(o for o in rows if o["page_id"] == 1)
+            assert headers["warc-refers-to"] == f"<{original['record_id']}>"
+            assert headers["warc-refers-to-target-uri"] == "http://a/" and headers["warc-refers-to-date"] == original["date"]
+            assert block.endswith(b"\r\n\r\n") and str(len(body)).encode() in block
+        else:
+            assert hashlib.sha256(block.partition(b"\r\n\r\n")[2]).hexdigest() == r["payload_digest"]
+
+
+def test_deduplicating_again_changes_nothing_and_payloads_stay(llm):
+    rows = [(i, f"http://h/{i}", ("p%d " % (i % 4)) * 60) for i in range(40)]
+    index, folder = archived(llm, page_frame(llm, rows))
+    again = shared_dir(llm, "again")
+    warc.deduplicate(index, folder, again)
+    shape = lambda df: sorted((r["page_id"], r["record_type"], r["payload_digest"], r["refers_to"]) for r in df.collect())
+    first, second = (stored(warc.read_archives(llm, f, payloads=True), "records") for f in (folder, again))
+    assert shape(warc.resolved(first)) == shape(warc.resolved(second))
+    assert second.filter("record_type = 'response'").count() == 4
+    assert {r["payload"].decode() for r in second.filter("payload is not null").collect()} == {r[2] for r in rows}
+
+
+def test_a_revisit_follows_its_payload_and_one_without_stays(llm):
+    body = "z" * 500
+    index, folder = archived(llm, page_frame(llm, [(1, "a", body), (2, "b", body), (3, "c", body)]))
+    # the payload is gone from what is written on: its revisits keep what they refer to, and resolve to nothing
+    lost = shared_dir(llm, "lost")
+    warc.deduplicate(stored(index.filter("page_id <> 1"), "headers"), folder, lost)
+    found = warc.resolved(stored(warc.read_archives(llm, lost), "records")).orderBy("page_id").collect()
+    assert [(r["record_type"], r["refers_to"], r["payload_bytes"]) for r in found] == [("revisit", None, 500), ("revisit", None, 500)]
+
+
+def test_heavy_digests_are_broadcast_and_the_rest_shuffled(llm, monkeypatch):
+    monkeypatch.setattr(warc, "HEAVY_SHARE", 3)
+    rows = [(i, "u", "h" * 300 if i % 2 else f"{i // 6:0300d}") for i in range(120)]
+    _, folder = archived(llm, page_frame(llm, rows))
+    found = warc.resolved(stored(warc.read_archives(llm, folder), "records")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    assert Counter(map(tuple, found.collect())) == plain_revisits(rows)
+
+
+def test_a_file_ends_at_its_size_and_files_of_lost_attempts_go(llm):
+    folder = shared_dir(llm, "crawl")
+    store, root = file_system(folder)
+    store.create_dir(root, recursive=True)
+    with store.open_output_stream(f"{root}/part-00000-999-0000.warc.gz.9") as f:
+        f.write(b"left by a task that failed")
+    index = warc.write_archives(page_frame(llm, [(i, "u", str(i) * 50) for i in range(30)]), folder, "2024-01-01T00:00:00Z", 400)
+    assert index.select("file").distinct().count() > 3
+    assert warc.read_archives(llm, folder).count() == 30
+
+
+def test_damage_is_an_error_and_no_pages_no_archives(llm):
+    row = {"record_id": "urn:uuid:1", "date": "d", "uri": "u", "payload_digest": "00", "page_id": 1}
+    with pytest.raises(ValueError, match="does not match"):
+        warc._described(warc.response_record(row, b"abc"))
+    with pytest.raises(ValueError, match="not a WARC record"):
+        warc.parse_record(b"HTTP/1.1 200 OK\r\n\r\n")
+    index, folder = archived(llm, page_frame(llm, []))
+    assert index.isEmpty()
+    assert warc.resolved(stored(warc.read_archives(llm, folder), "records")).isEmpty()
+
+
+def test_warc_query_against_sql(llm):
+    con = oracle_check.connect(SF_DIR)
+    assert oracle_check.compare(llm, con, "op11_warc", queries.op11_warc, sql.all_sql()["op11_warc"], SF_DIR) == ""
+
+
+# -- whitening ----------------------------------------------------------------------------------------------------
+
+
+def vector_frame(llm, vectors, ids=None):
+    ids = range(len(vectors)) if ids is None else ids
+    rows = [(i, v, 1, "x") for i, v in zip(ids, vectors, strict=True)]
+    return llm.createDataFrame(rows, "vec_id long, embedding array<double>, component int, c0 string").repartition(3)
+
+
+def plain_whitening(vectors, components):
+    x = np.floor(64 * np.array(vectors)) + 1_000_000
+    n, sums = len(x), [int(s) for s in x.sum(axis=0)]
+    c = np.array([[(n * int(v) - s) / n for v, s in zip(row, sums, strict=True)] for row in x])
+    values, directions = np.linalg.eigh(c.T @ c / n)
+    values, directions = values[::-1][:components], directions[:, ::-1][:, :components]
+    deviation = [sum((n * int(v) - s) ** 2 for v, s in zip(row, sums, strict=True)) for row in x]
+    return c @ directions / np.sqrt(values), deviation, values / np.trace(c.T @ c / n)
+
+
+@pytest.mark.parametrize(("dimensions", "components"), [(6, 3), (30, 4), (12, 32)])
+def test_whitening_against_plain_eigenvectors(llm, dimensions, components):
+    rng = np.random.default_rng(dimensions)
+    vectors = (rng.standard_normal((200, dimensions)) * rng.uniform(0.2, 3, dimensions)) @ np.linalg.qr(rng.standard_normal((dimensions, dimensions)))[0]
+    rows = whitening.whitened(vector_frame(llm, vectors.tolist()), components).toPandas().sort_values(["vec_id", "component"])
+    components = min(components, dimensions)
+    want, deviation, explained = plain_whitening(vectors, components)
+    got = rows.whitened.to_numpy().reshape(200, components)
+    assert np.abs(got * np.sign((got * want).sum(axis=0)) - want).max() < 1e-8
+    assert rows.deviation.to_numpy().reshape(200, components)[:, 0].tolist() == deviation
+    assert np.abs(rows.explained.to_numpy()[:components] / explained - 1).max() < 1e-10
+    assert rows.identity_error.max() < 1e-9 and set(rows.n) == {200}
+    assert rows.component.to_numpy()[:components].tolist() == list(range(1, components + 1))
+
+
+def test_chebyshev_filter_keeps_the_wanted_and_damps_the_rest():
+    values = np.array([9.0, 8, 7, 3, 2, 1, 0.5])
+    v = np.diag(values)
+    grown = np.abs(np.diag(whitening.chebyshev_filter(v, np.eye(7), 6, 0.0, 3.0)))
+    assert grown[:3].min() > 100 * grown[3:].max()
+
+
+def test_components_that_the_first_block_has_no_part_in_are_found(monkeypatch):
+    """The second certificate is for that: here the first block cannot hold the largest direction."""
+    rng = np.random.default_rng(0)
+    values = np.concatenate([[50.0], np.linspace(10, 1, 59)])
+
+    class Blind:
+        """A covariance whose first products leave the largest direction out, as an unlucky block would."""
+
+        calls = 0
+
+        def __matmul__(self, q):
+            Blind.calls += 1
+            return values[:, None] * q
+
+    real, first = np.random.default_rng, []
+
+    class Rng:
+        def __init__(self):
+            self.r = real(5)
+
+        def standard_normal(self, shape):
+            out = self.r.standard_normal(shape)
+            if not first:
+                out[0] = 0
+                first.append(1)
+            return out
+
+    monkeypatch.setattr(whitening.np.random, "default_rng", lambda seed: Rng())
+    found, _, _ = whitening.top_components(Blind(), 60, 5)
+    assert np.allclose(found, values[:5]) and rng is not None
+
+
+def test_vectors_that_do_not_count(llm):
+    good = [[1.0, 2.0, 0.5], [0.0, 1.0, 4.0], [2.5, -1.0, 0.25], [7.0, 7.0, 7.0], [7.0, 7.0, 7.0]]
+    bad = [None, [], [1.0, None, 2.0], [float("nan"), 0.0, 0.0], [float("inf"), 0.0, 0.0], [1.0, 2.0], [1e300, 0.0, 0.0]]
+    rows = whitening.whitened(vector_frame(llm, good + bad, [1, None, 3, 4, 4, *range(50, 57)])).collect()
+    assert Counter(r["vec_id"] for r in rows) == {1: 3, None: 3, 3: 3, 4: 6}
+    assert {r["n"] for r in rows} == {5}
+
+
+def test_no_vectors_no_variance_and_few_dimensions(llm):
+    assert whitening.whitened(vector_frame(llm, [])).isEmpty()
+    assert whitening.whitened(vector_frame(llm, [[1.0, 2.0]])).isEmpty()
+    assert whitening.whitened(vector_frame(llm, [[1.0, 2.0]] * 3)).isEmpty()
+    flat = whitening.whitened(vector_frame(llm, [[float(i), 2.0 * i, 5.0] for i in range(10)])).collect()
+    assert {r["component"] for r in flat} == {1}  # one direction has variance
+
+
+def test_deviations_beyond_64_bits():
+    centre = whitening.Centre(1 << 33, np.array([0, 0]), np.array([5, 7]))
+    assert centre.deviations(np.array([[1, 0], [0, 0]]))[1] == 74
+    assert centre.deviations(np.array([[1 << 20, 0]])) == [None]
+
+
+# -- spelling -----------------------------------------------------------------------------------------------------
+
+
+def plain_words(rows):
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{low}".encode())
+            if h % 199 == 0:
+                low = low[: h % len(low)] + low[h % len(low) + 1 :]
+            counts[low] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 6 and n >= 5}
+
+
+def one_edit(u, v):
+    if len(u) > len(v):
+        u, v = v, u
+    if len(u) == len(v):
+        return sum(a != b for a, b in zip(u, v, strict=True)) == 1
+    return len(v) == len(u) + 1 and any(v[:i] + v[i + 1 :] == u for i in range(len(v)))
+
+
+def plain_near(words):
+    return {w: [v for v in words if one_edit(w, v)] for w in words}
+
+
+def plain_variants(rows):
+    words = plain_words(rows)
+    near, form = plain_near(words), {}
+    for w, others in near.items():
+        best = min(others, key=lambda v: (-words[v], v), default=None)
+        form[w] = best if best is not None and words[best] >= 5 * words[w] else None
+    out = set()
+    for w in words:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.add((w, form[w], root, words[w], len(near[w]), words[form[w]] if form[w] is not None else None))
+    return out
+
+
+small_words = st.lists(st.text("abé", min_size=1, max_size=7), min_size=1, max_size=25, unique=True)
+
+
+@settings(max_examples=300, deadline=None)
+@given(small_words)
+def test_composition_enumerates_every_pair_once(words):
+    found = list(spelling.Composition(spelling.Acceptor(sorted(words))).pairs())
+    assert len(found) == len({frozenset(p) for p in found})
+    assert {frozenset(p) for p in found} == {frozenset((u, v)) for u in words for v in words if one_edit(u, v)}
+
+
+@settings(max_examples=200, deadline=None)
+@given(small_words)
+def test_acceptor_is_minimal(words):
+    a = spelling.Acceptor(sorted(words))
+
+    def accepted(p, walked=""):
+        return ([walked] if a.final[p] else []) + [w for c, q in a.next[p].items() for w in accepted(q, walked + c)]
+
+    assert sorted(accepted(a.start)) == sorted(words)
+    rights = [tuple(sorted(accepted(p))) for p in range(len(a.next))]
+    assert len(set(rights)) == len(rights)
+
+
+@pytest.mark.parametrize("partition_words", [2, 20, spelling.PARTITION_WORDS])
+def test_near_words_whatever_the_size_of_partitions(llm, partition_words):
+    rng = random.Random(partition_words)
+    stems = ["".join(rng.choice("abcdé") for _ in range(rng.randint(5, 9))) for _ in range(25)]
+    words = set(stems) | {"aaaaaa", "aaaaaaa", "aaaaaaaa"}
+    for stem in stems:
+        for _ in range(8):
+            i = rng.randrange(len(stem))
+            words.add(rng.choice([stem[:i] + stem[i + 1 :], stem[:i] + "b" + stem[i:], stem[:i] + "c" + stem[i + 1 :]]))
+    counts = {w: rng.randint(5, 60) for w in words}
+    table = stored(llm.createDataFrame(list(counts.items()), "word string, n long"), "words")
+    got = {tuple(r) for r in spelling.near_words(table, partition_words).select("word", "n_near", "form", "form_n").collect()}
+    want = set()
+    for w, near in plain_near(counts).items():
+        if near:
+            best = min(near, key=lambda v: (-counts[v], v))
+            want.add((w, len(near), best, counts[best]))
+    assert got == want
+
+
+def test_variants_against_a_plain_version(llm, frame, hard_rows):
+    rng = random.Random(9)
+    stems = ["spelling", "variant", "Größe-", "acción", "mañana", "Straßen", "groupes"]
+    text = lambda: " ".join(
+        s if rng.random() < 0.85 else s[: (i := rng.randrange(len(s)))] + rng.choice(["", "e", "É", s[i] + s[i]]) + s[i + 1 :]
+        for s in (rng.choice(stems) for _ in range(60))
+    )
+    rows = [(i, text()) for i in range(120)] + [(None, text()), (None, None), (3, text()), (3, "x" * 30_000 + " ×÷×÷×÷ " * 6)] + hard_rows
+    got = {tuple(r) for r in spelling.variants(frame(rows)).select("word", "form", "root", "n", "n_near", "form_n").collect()}
+    assert got == plain_variants(rows)
+
+
+def test_chains_of_forms(llm, frame):
+    chain = [("abcdefgh", 3200), ("abcdefg", 640), ("abcdef", 128), ("abcdeff", 25), ("abcdefff", 5)]
+    rows = [(None, " ".join([w] * n)) for w, n in chain]
+    got = {tuple(r) for r in spelling.variants(frame(rows)).select("word", "form", "root", "n", "n_near", "form_n").collect()}
+    assert got == plain_variants(rows)
+    assert any(root != form for _, form, root, *_ in got if form)
+
+
+def test_no_documents_no_words(llm, frame):
+    assert spelling.variants(frame([])).isEmpty()
+    assert spelling.variants(frame([(1, None), (2, "")])).isEmpty()

@@ -107,8 +107,15 @@ def mark_started(started: DataFrame, begun: DataFrame) -> DataFrame:
     return started.select(*PARTITION_KEY).unionByName(new)
 
 
-def dedupe_deliveries(received: DataFrame) -> DataFrame:
-    """The receiver's side of at-least-once delivery: one row per idempotency key."""
-    if received.isStreaming:
-        return received.dropDuplicatesWithinWatermark(["idempotency_key"])
-    return received.dropDuplicates(["idempotency_key"])
+def dedupe_deliveries(received: DataFrame, received_at: str | None = None, within: str = "1 day") -> DataFrame:
+    """The receiver's side of at-least-once delivery: one row per idempotency key.
+
+    On a stream, a key is kept for ``within`` after its first row by the time column ``received_at``, then its state goes. A
+    duplicate that comes while the key is kept is dropped, and so is any row that is behind the watermark when it comes: what is
+    later than ``within`` counts as delivered. ``within`` must be longer than a sender goes on retrying.
+    """
+    if not received.isStreaming:
+        return received.dropDuplicates(["idempotency_key"])
+    if received_at is not None:
+        received = received.withWatermark(received_at, within)
+    return received.dropDuplicatesWithinWatermark(["idempotency_key"])

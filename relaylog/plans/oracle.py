@@ -392,6 +392,29 @@ _SQL = {
     "stream_delivery": f"""WITH {OUT} SELECT partition, outcome, count(*) AS records, committed
         FROM oc JOIN fr USING (destination_id, partition) WHERE destination_id = 'sales' AND "offset" < committed
         GROUP BY ALL""",
+    "dedupe_stream": f"""WITH {AT} SELECT DISTINCT event_id || ':' || destination_id || ':1' AS idempotency_key,
+        destination_id, id FROM att""",
+    "live_append": f"""WITH {EV} SELECT topic, partition, row_number() OVER (PARTITION BY partition ORDER BY
+            CASE WHEN id % 10 < 5 THEN 1 WHEN id % 10 >= 7 THEN 2 ELSE 3 END, id) - 1 AS "offset",
+        CASE WHEN id % 10 < 5 THEN 'r' ELSE 'c' END AS op, id, event_id, event_name, 0 AS again FROM ev""",
+    "manifest_bounds": f"""WITH {EV}, {OD} SELECT topic, partition, min("offset") AS first_offset, max("offset") + 1 AS end_offset, count(*) AS records
+        FROM (SELECT topic, partition, "offset" FROM ev UNION ALL SELECT topic, partition, "offset" FROM od) GROUP BY ALL""",
+    "range_read": f"""WITH {EV}, {OD}, both_logs AS (
+          SELECT topic, partition, "offset", '{{"correlation_id":' || correlation_id || '}}' AS key FROM ev
+          UNION ALL SELECT topic, partition, "offset", '{{"o_custkey":' || o_custkey || '}}' FROM od
+        ), ends AS (SELECT topic, partition, max("offset") + 1 AS n FROM both_logs GROUP BY ALL)
+        SELECT topic, partition, "offset", key FROM both_logs JOIN ends USING (topic, partition) WHERE "offset" >= n // 4 AND "offset" < n * 3 // 4""",
+    "byte_bounded_round": f"""WITH {EV}, sized AS (SELECT partition, "offset", octet_length(encode(payload)) AS own FROM ev),
+        summed AS (SELECT *, sum(own) OVER (PARTITION BY partition ORDER BY "offset") AS total FROM sized)
+        SELECT partition, count(*) AS records, sum(own) AS bytes, max("offset") + 1 AS next_offset
+        FROM summed WHERE total <= 2000 OR total = own GROUP BY partition""",
+    "replay_requests": f"""WITH {DL}, ends AS (SELECT partition, max("offset") + 1 AS n FROM ev GROUP BY partition)
+        SELECT destination_id, event_id, 'true' AS replay, CAST(partition AS VARCHAR) AS partition, CAST("offset" AS VARCHAR) AS "offset"
+        FROM dl JOIN ends USING (partition) WHERE filtered IS NULL AND "offset" BETWEEN n // 4 AND n // 2 - 1""",
+    "replay_stream": f"""WITH {EV}, ends AS (SELECT partition, max("offset") + 1 AS n FROM ev GROUP BY partition)
+        SELECT partition, CASE WHEN event_name IN ('purchase', 'signup') THEN 'delivered' ELSE 'filtered' END AS outcome,
+          count(*) AS records, n // 2 AS committed, n AS normal_committed, 'completed' AS state
+        FROM ev JOIN ends USING (partition) WHERE "offset" BETWEEN n // 4 AND n // 2 - 1 GROUP BY ALL""",
     "insert_if_absent": """SELECT c_name AS destination_id, 'paused' AS desired, c_custkey AS revision FROM customer WHERE c_acctbal < 0
         UNION ALL
         SELECT DISTINCT c_name, 'running', 1 FROM customer JOIN orders ON o_custkey = c_custkey WHERE c_acctbal >= 0""",

@@ -16,9 +16,10 @@ from relaylog.operators.deliver import deliver
 from relaylog.operators.scale import small_side
 from relaylog.plans import event_table as E
 from relaylog.session import shared_dir
-from relaylog.sources import changes
+from relaylog.sources import changes, segments
 from relaylog.sources.tables import snapshot_scan
 from relaylog.streaming.delivery import CapturedSource, DeliveryJob, HistoryLost, start_delivery
+from relaylog.streaming.replay import ReplayJob, replay_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -99,6 +100,62 @@ def follow_log(spark, sf):
     return back.filter(F.col("reject_reason").isNull()).drop("reject_reason")
 
 
+def _append_events(spark, sf, log, rows) -> int:
+    return segments.append_rows(rows, E.EVENTS, E.events_identity(spark, sf), E.EVENTS_TOPIC, log, E.by_number("correlation_id"))
+
+
+@query
+def live_append(spark, sf):
+    """Half the events as a snapshot, more of them later, then late commits with smaller serials; all of it once more adds nothing."""
+    log, rows, last = shared_dir(spark, "log"), E.app_events(spark, sf), F.col("id") % 10
+    for visible in (last < 5, (last < 5) | (last >= 7), F.lit(True)):
+        _append_events(spark, sf, log, rows.filter(visible))
+    again = _append_events(spark, sf, log, rows)
+    after = [F.get_json_object("value", f"$.after.{c}").alias(c) for c in ("id", "event_id", "event_name")]
+    op = F.get_json_object("value", "$.op").alias("op")
+    found = changes.read_changes(spark, log).select("topic", "partition", "offset", op, *after, F.lit(again).cast("long").alias("again"))
+    return found.withColumn("id", F.col("id").cast("long"))
+
+
+def _segmented_log(spark, sf) -> str:
+    """Events in segments with a manifest, orders as files that the manifest does not have."""
+    log = shared_dir(spark, "log")
+    segments.write_segment(E.events_log(spark, sf), log, 64)
+    segments.index_log(spark, log)
+    changes.write_changes(E.orders_log(spark, sf), log)
+    return log
+
+
+@query
+def manifest_bounds(spark, sf):
+    """Bounds, records and files of each log partition by the manifest; what it lacks is scanned."""
+    log = _segmented_log(spark, sf)
+    records = segments.manifest(spark, log).groupBy("topic", "partition").agg(F.sum("records").alias("records"))
+    return segments.log_bounds(spark, log).join(records, ["topic", "partition"])
+
+
+@query
+def range_read(spark, sf):
+    """The middle half of every log partition, from the files that hold it."""
+    log = _segmented_log(spark, sf)
+    bounds = segments.log_bounds(spark, log).collect()  # one row per log partition
+    ranges = [(b["topic"], b["partition"], b["end_offset"] // 4, b["end_offset"] * 3 // 4) for b in bounds]
+    return segments.read_range(spark, log, ranges).select("topic", "partition", "offset", "key")
+
+
+ROUND_BYTES = 2_000
+
+
+@query
+def byte_bounded_round(spark, sf):
+    """The first round of every log partition when a round is bounded by bytes: here those of the payload member."""
+    size = F.octet_length(F.get_json_object("value", "$.after.payload"))
+    cut = segments.within_bytes(E.events_log(spark, sf), ROUND_BYTES, size)
+    return cut.groupBy("partition").agg(
+        F.count(F.lit(1)).alias("records"), F.sum(size).alias("bytes"), (F.max("offset") + 1).alias("next_offset")
+    )
+
+
 # --- contract ------------------------------------------------------------------------------------
 
 LINEITEM = Source("lineitem", "Order lines", "lineitem", ("l_orderkey", "l_partkey", "l_quantity"), "l_orderkey", "l_partkey")
@@ -655,6 +712,26 @@ def dedupe_deliveries(spark, sf):
     return outcomes.dedupe_deliveries(received)
 
 
+@query
+def dedupe_stream(spark, sf):
+    """Every attempt that reached the receiver, received twice in two batches of a stream, once per idempotency key."""
+    path, out, checkpoint = (shared_dir(spark, n) for n in ("received", "deduped", "checkpoint"))
+    received = E.event_attempts(spark, sf).select(
+        keys.idempotency_key(F.concat(F.lit("evt_"), F.col("id")), F.col("destination_id"), F.lit(1)).alias("idempotency_key"),
+        "destination_id",
+        "id",
+        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("received_at"),
+    )
+    received.coalesce(1).write.parquet(path)
+    later = (F.col("received_at") + F.expr("interval 1 hour")).alias("received_at")
+    spark.read.parquet(path).select("idempotency_key", "destination_id", "id", later).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(received.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    unique = outcomes.dedupe_deliveries(stream, "received_at", "1 day")
+    writer = unique.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    writer.format("parquet").start(out).awaitTermination()
+    return spark.read.schema(received.schema).parquet(out).drop("received_at")
+
+
 @query
 def deliver_in_order(spark, sf):
     """Pushed through a sender on the executors; each partition stops at its first stuck record."""
@@ -720,6 +797,49 @@ def stream_delivery(spark, sf):
     return counts.join(job.positions().select("partition", "committed"), "partition")
 
 
+def _middle(bounds) -> list[tuple]:
+    """From a quarter to the half of each log partition."""
+    return [(b["topic"], b["partition"], b["end_offset"] // 4, b["end_offset"] // 2) for b in bounds]
+
+
+@query
+def replay_requests(spark, sf):
+    """Requests of a bounded replay, as a batch: the recorded ranges only, and the replay header says so."""
+    # One row per log partition.
+    ranges = _middle(changes.log_bounds(E.events_log(spark, sf)).collect())
+    again = replay_records(E.decoded_events(spark, sf).drop("row"), ranges)
+    subs = routing.subscriptions(routing.destinations_frame(spark, E.DESTINATIONS[:2]))
+    due = routing.apply_filters(routing.route(again, subs)).filter(F.col("outcome").isNull())
+    sent = routing.headers(routing.envelopes(due))
+    names = {"event_id": "X-Relay-Event-ID", "replay": "X-Relay-Replay", "partition": "X-Relay-Partition", "offset": "X-Relay-Offset"}
+    return sent.select("destination_id", *[F.col("headers")[h].alias(c) for c, h in names.items()])
+
+
+@query
+def replay_stream(spark, sf):
+    """A bounded replay after normal delivery: its own ranges and positions, stopped and gone on with, normal positions untouched."""
+    log, state = shared_dir(spark, "log"), shared_dir(spark, "state")
+    segments.write_segment(E.events_log(spark, sf), log)
+    segments.index_log(spark, log)
+    sources = [CapturedSource(E.EVENTS, E.events_identity(spark, sf), E.EVENTS_TOPIC)]
+    parts = (spark, E.SCOPE, sources, E.DESTINATIONS[1], accepting_sender(), log, state)
+    normal = DeliveryJob(*parts, sleep=_no_sleep)
+    start_delivery(normal, available_now=True).awaitTermination()
+    before = normal.positions().select("partition", F.col("committed").alias("normal_committed"))
+    ranges = _middle(segments.log_bounds(spark, log).collect())
+    starts, ends = {tuple(r[:2]): r[2] for r in ranges}, {tuple(r[:2]): r[3] for r in ranges}
+    first = ReplayJob(*parts, sleep=_no_sleep, replay_id="rebuild", round_size=20)
+    first.create(starts, ends, fresh_target=True, revision="r1")
+    first._open()
+    first.round()
+    # Another process takes it up where it is.
+    job = ReplayJob(*parts, sleep=_no_sleep, replay_id="rebuild")
+    state_then = job.run()
+    counts = job.outcomes().groupBy("partition", "outcome").agg(F.count(F.lit(1)).alias("records"))
+    told = F.lit(state_then).alias("state")
+    return counts.join(job.positions().select("partition", "committed"), "partition").join(before, "partition").select("*", told)
+
+
 @query
 def rest_on_blocked_source(spark, sf):
     """A destination of two sources: after one of them is blocked, new records of the other stay where they are."""

@@ -84,11 +84,12 @@ def read_changes(spark: SparkSession, path: str, fmt: str = "parquet", **options
 
 
 def read_changes_stream(
-    spark: SparkSession, path: str, per_trigger: int | None = None, fmt: str = "parquet", **options: str
+    spark: SparkSession, path: str, per_trigger: int | None = None, fmt: str = "parquet", bytes_per_trigger: int | None = None, **options: str
 ) -> DataFrame:
     """Follow a log from its start, at most ``per_trigger`` new files (Kafka: records) per micro-batch.
 
-    Lost history fails the query; positions are never reset.
+    Or at most ``bytes_per_trigger`` bytes of new files, one file at least; not both. Lost history fails the query;
+    positions are never reset.
     """
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
@@ -98,6 +99,8 @@ def read_changes_stream(
         return _records(reader.options(**options).load())
     if per_trigger:
         options["maxFilesPerTrigger"] = str(per_trigger)
+    if bytes_per_trigger:
+        options["maxBytesPerTrigger"] = str(bytes_per_trigger)
     return _records(reader.schema(RAW_RECORD).options(**options).load(path))
 
 

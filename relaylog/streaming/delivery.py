@@ -28,6 +28,7 @@ from relaylog.model import RAW_RECORD, Destination, Identity, Scope, Source
 from relaylog.operators import activity, decode, outcomes, routing, tables
 from relaylog.operators.deliver import Sender, deliver
 from relaylog.operators.scale import small_side
+from relaylog.sources import segments
 from relaylog.sources.changes import log_bounds, read_changes, read_changes_stream
 
 # ``tried``: attempts so far at the record at ``committed``, the one that may still be retrying.
@@ -76,6 +77,8 @@ class DeliveryJob:
     state_path: str
     max_attempts: int = 3
     round_size: int = 10_000
+    # Of a round, at most so many bytes of keys and values per log partition, one record at least.
+    round_bytes: int = 5 << 20
     sleep: Callable[[float], None] | None = None
     paused: bool = False
     # How the log is read: format and options of ``read_changes`` and ``read_changes_stream``.
@@ -84,6 +87,8 @@ class DeliveryJob:
     # One life of the activity log, and the number of its last entry.
     boot: str = field(default_factory=lambda: uuid.uuid4().hex)
     sequence: int = 0
+    # What the requests' replay header says.
+    replay: bool = False
 
     def path(self, name: str) -> str:
         return f"{self.state_path}/{delivery_group(self.scope, self.destination.id)}/{name}"
@@ -105,6 +110,19 @@ class DeliveryJob:
     def skips(self) -> DataFrame:
         return _read_appended(self.spark, self.path("skips"), _SKIPS)
 
+    def _skips_of(self, ranges: list[tuple]) -> DataFrame:
+        """The stored skips that a round can meet: its topics, partitions and offsets, as filters that prune files."""
+        near = F.col("topic").isin(sorted({r[0] for r in ranges})) & F.col("partition").isin(sorted({r[1] for r in ranges}))
+        return self.skips().filter(near & (F.col("offset") >= min(r[2] for r in ranges)) & (F.col("offset") < max(r[3] for r in ranges)))
+
+    def _bounds(self) -> DataFrame:
+        """How far the whole log reaches: by its manifest, where it has one."""
+        if self.log_format == "parquet" and not self.log_options:
+            bounds = segments.log_bounds(self.spark, self.log_path)
+        else:
+            bounds = log_bounds(self.log())
+        return bounds.filter(F.col("topic").isin(self._topics()))
+
     def _take(self, seen: DataFrame, at_start: bool) -> None:
         """Take in how far the log reaches; a partition seen first gets its baseline.
 
@@ -183,6 +201,7 @@ class DeliveryJob:
         window = small_side(spark.createDataFrame(ranges, _RANGES), len(ranges))
         near = log.filter(open_partitions & (F.col("offset") >= min(r[2] for r in ranges)) & (F.col("offset") < max(r[3] for r in ranges)))
         raw = near.join(window, ["topic", "partition"]).filter("offset >= low and offset < high").drop("low", "high", "tried")
+        raw = segments.within_bytes(raw, self.round_bytes)
         # A round's folder is its own: one that fails or moves nothing keeps what it has written.
         round_path = self.path(f"rounds/{tables.last_version(spark, self.path('positions')):020d}-{uuid.uuid4().hex}")
         decoded = reduce(
@@ -193,7 +212,7 @@ class DeliveryJob:
                 ).drop("row")
                 for c in sources
             ],
-        )
+        ).withColumn("replay", F.lit(self.replay))
         partitions = sum(c.identity.partitions for c in self.sources)
         # The log may hold a record twice if its writer repeated a batch; a position counts once.
         decoded.dropDuplicates(routing.POSITION).write.mode("overwrite").parquet(f"{round_path}/records")
@@ -203,7 +222,7 @@ class DeliveryJob:
         accepted = decode.accepted_prefix(decoded, partitions)
         routed = routing.apply_filters(routing.route(accepted, subs))
         horizons = self.positions().select("topic", "partition", "horizon")
-        marked = routing.split_known_skips(routed, self.skips(), horizons, partitions)
+        marked = routing.split_known_skips(routed, self._skips_of(ranges), horizons, partitions)
         marked = marked.withColumn("outcome", F.when(F.col("known_skip"), "skipped").otherwise(F.col("outcome")))
         # Only the first record of a partition's range can have been tried before.
         first = spark.createDataFrame([(*r[:3], r[4]) for r in ranges], "topic string, partition int, offset bigint, tried bigint")
@@ -218,7 +237,7 @@ class DeliveryJob:
         finished = marked.drop("outcome").join(sent, outcomes.RECORD_KEY)
         skipped = finished.filter(~F.col("known_skip"))
         # Skips are stored before the position passes them.
-        outcomes.new_skips(self.skips(), skipped).write.mode("append").parquet(self.path("skips"))
+        outcomes.new_skips(self._skips_of(ranges), skipped).write.mode("append").parquet(self.path("skips"))
         self._log(finished, f"{round_path}/activity")
         self._store_blocks(
             decode.blocked_sources(decoded).select("source_id", F.col("offset").alias("seq"), "reason")
@@ -252,7 +271,9 @@ class DeliveryJob:
         entries = activity.activity_entries(records, tried)
         stamped = activity.stamped(entries, self.boot, activity.record_order(), self.sequence)
         activity.write_activity(stamped.drop("step"), path, "overwrite")
-        self.sequence = self.activity().agg(F.coalesce(F.max("sequence"), F.lit(self.sequence))).first()[0]
+        # From this round's own folder: what it costs does not grow with the rounds before it.
+        own = _read_appended(self.spark, path, _ACTIVITY, "json")
+        self.sequence = own.agg(F.coalesce(F.max("sequence"), F.lit(self.sequence))).first()[0]
 
     def activity(self) -> DataFrame:
         """The entries that this job has written in its present life; read them with ``operators.activity``."""
@@ -305,7 +326,7 @@ class DeliveryJob:
         retry are tried again.
         """
         self.compact()
-        self._take(log_bounds(self.log().filter(F.col("topic").isin(self._topics()))), at_start=True)
+        self._take(self._bounds(), at_start=True)
         # The heartbeat is part of bounded runs too: a checkpoint is tied to its sources.
         stream = read_changes_stream(
             self.spark, self.log_path, per_trigger, self.log_format, **self.log_options

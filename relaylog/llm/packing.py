@@ -22,13 +22,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from relaylog.llm.common import stored, text_column
-from relaylog.llm.pieces import encoder, id_type
+from relaylog.llm.pieces import HALF_PIECES, encoder, id_type
 
 _PIECES = "part int, rank long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, ids: bool = False) -> DataFrame:
-    """Pieces of at most ``capacity`` ids, as a stored table. ``rank`` counts the pieces of a length within a ``part``."""
+def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, ids: bool = False, kept: int = HALF_PIECES) -> DataFrame:
+    """Pieces of at most ``capacity`` ids, as a stored table. ``rank`` counts the pieces of a length within a ``part``.
+
+    ``kept``: what a worker keeps of the ids it has found (see ``pieces``).
+    """
     dtype = id_type(tokenizer)
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -37,7 +40,7 @@ def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, i
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def cut(batches):
-        encode, part = encoder(tokenizer, dtype), TaskContext.get().partitionId()
+        encode, part = encoder(tokenizer, dtype, kept), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             out = {name: [] for name in arrow.names}

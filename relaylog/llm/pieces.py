@@ -9,6 +9,7 @@ by the tokens themselves, as the first token of each piece, and no other, begins
 
 from __future__ import annotations
 
+import os
 import re
 from array import array
 from collections.abc import Callable, Iterable, Iterator, Sequence
@@ -18,9 +19,11 @@ from tokenizers import Tokenizer
 
 #: Distinct pieces and words that ``Pieces`` keeps before it starts anew.
 KEPT_PIECES = 600_000
-#: Distinct pieces, and characters in them, in each of the two halves of what a worker keeps: some 40 MB a half.
-HALF_PIECES = 300_000
-HALF_CHARS = 4_000_000
+#: Distinct pieces in each of the two halves of what a worker keeps, some 40 MB a half, and characters in them per piece.
+HALF_PIECES = 250_000
+CHARS_A_PIECE = 13
+#: The same for jobs that do little else: some 100 MB a half.
+MANY_PIECES = 650_000
 #: A batch of texts is taken in groups of so many characters, and new pieces are encoded in texts of so many.
 GROUP_CHARS = 1 << 20
 JOINED_CHARS = 1 << 16
@@ -72,7 +75,10 @@ class Pieces(dict):
 class LibraryEncoder:
     """Ids by the tokenizers library as little-endian unsigned integers of ``dtype``; special tokens are plain text."""
 
-    def __init__(self, path: str, dtype: str = "<u2"):
+    def __init__(self, path: str, dtype: str = "<u2", kept: int = HALF_PIECES):
+        self.kept = kept
+        # Spark runs a worker on every core already; the library's own threads would only wait for each other.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype(dtype)
@@ -120,7 +126,7 @@ class LibraryEncoder:
             cuts = [cut(text) for text in group]
             firsts = [pieces.pop(0) for pieces in cuts]
             new = set().union(*cuts).difference(self.pieces)
-            if len(self.pieces) + len(new) > HALF_PIECES or self.chars > HALF_CHARS:
+            if len(self.pieces) + len(new) > self.kept or self.chars > self.kept * CHARS_A_PIECE:
                 # Pieces that are still in use come back from the older half.
                 self.older, self.pieces, self.marks, self.chars = self.pieces, {}, {}, 0
                 new = set().union(*cuts)
@@ -139,10 +145,11 @@ class LibraryEncoder:
 _encoders: dict[tuple[str, str], LibraryEncoder] = {}
 
 
-def encoder(path: str, dtype: str = "<u2") -> LibraryEncoder:
-    """One per worker process, so that what it keeps serves all its tasks."""
+def encoder(path: str, dtype: str = "<u2", kept: int = HALF_PIECES) -> LibraryEncoder:
+    """One per worker process, so that what it keeps serves all its tasks. It keeps as much as its last task asked for."""
     if (path, dtype) not in _encoders:
         _encoders[path, dtype] = LibraryEncoder(path, dtype)
+    _encoders[path, dtype].kept = kept
     return _encoders[path, dtype]
 
 

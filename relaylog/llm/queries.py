@@ -13,6 +13,7 @@ from relaylog.llm import (
     chat,
     ngram_join,
     packing,
+    pieces,
     quality_classifier,
     quality_rules,
     secret_scan,
@@ -38,13 +39,13 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, folder)
 
 
-def packed(docs: DataFrame) -> DataFrame:
-    pieces = packing.cut_documents(docs, TOKENIZER, END_ID, SEQUENCE_TOKENS)
-    return packing.pack(pieces, SEQUENCE_TOKENS)
+def packed(docs: DataFrame, kept: int = pieces.HALF_PIECES) -> DataFrame:
+    cut = packing.cut_documents(docs, TOKENIZER, END_ID, SEQUENCE_TOKENS, kept=kept)
+    return packing.pack(cut, SEQUENCE_TOKENS)
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packed(documents(spark, sf_dir))
+    return packed(documents(spark, sf_dir), pieces.MANY_PIECES)
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

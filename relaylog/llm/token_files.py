@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relaylog.llm.common import Target, file_system, text_column
-from relaylog.llm.pieces import encoder, id_type
+from relaylog.llm.pieces import MANY_PIECES, encoder, id_type
 
 _NULL = np.iinfo(np.int64).min
 _SUMMARY = "part int, documents long, ids long"
@@ -47,7 +47,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int)
     target.create_dir(root, recursive=True)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = encoder(tokenizer, dtype), TaskContext.get().partitionId()
+        encode, part = encoder(tokenizer, dtype, MANY_PIECES), TaskContext.get().partitionId()
         end = np.array([end_id], dtype).tobytes()
         ids = lengths = None
         documents = total = 0

@@ -30,20 +30,31 @@ base AS (
 ), real AS (SELECT * FROM lines WHERE n > 0),
 dup AS (SELECT row, count(*) - count(DISTINCT line) AS n_dup_lines FROM real GROUP BY row),
 own AS (SELECT row, host, own, sum(n) AS words, min(n) AS n FROM real GROUP BY row, host, own),
-body AS (SELECT row, max(own) AS body FROM (SELECT * FROM own QUALIFY n = max(n) OVER (PARTITION BY row)) GROUP BY row),
-carried AS (
-  SELECT host, own, count(DISTINCT body) AS bodies, count(*) AS n, count(*) FILTER (WHERE own = body) AS as_body
-  FROM own JOIN body USING (row) GROUP BY host, own
-), hosts AS (SELECT host, count(DISTINCT body) AS "of" FROM d JOIN body USING (row) GROUP BY host),
+texts AS (
+  SELECT DISTINCT host, text, own, own.words AS n, string_split(own, ' ') AS words FROM own JOIN d USING (row, host)
+), candidates AS (SELECT host, own FROM texts GROUP BY host, own HAVING count(*) > 20),
+pieces AS (
+  SELECT host, text, own, substr(md5(array_to_string(words[i:i + 4], ' ')), 1, 16) AS h
+  FROM (
+    SELECT *, unnest(range(1, greatest(len(words) - 3, 2))) AS i
+    FROM (SELECT * FROM texts ANTI JOIN candidates USING (host, own) QUALIFY sum(n) OVER (PARTITION BY host, text) >= 5)
+  )
+), rest AS (
+  SELECT host, text, unnest([{{'slot': 0, 'value': min(h)}}, {{'slot': 1, 'value': max(h)}}, {{'slot': 2, 'value': min(reverse(h))}},
+    {{'slot': 3, 'value': max(reverse(h))}}], recursive := true)
+  FROM pieces WHERE (host, text) IN (SELECT (host, text) FROM texts JOIN candidates USING (host, own)) GROUP BY host, text
+), votes AS (SELECT *, count(*) OVER (PARTITION BY host, slot, value) AS n FROM rest),
+class AS (SELECT host, text, slot || ':' || value AS class FROM votes QUALIFY row_number() OVER (PARTITION BY host, text ORDER BY n DESC, slot, value) = 1),
 above AS (
-  SELECT host, own FROM carried JOIN hosts USING (host) WHERE bodies > 20 AND 2 * as_body <= n AND bodies > 0.01 * "of"
+  SELECT host, own FROM texts JOIN candidates USING (host, own) LEFT JOIN class USING (host, text)
+  GROUP BY host, own HAVING count(DISTINCT coalesce(class, '')) > 20
 ), removed AS (SELECT row, sum(words) AS removed_words FROM own JOIN above USING (host, own) GROUP BY row),
 figures AS (
   SELECT doc_id, n_words, word_chars, n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
     coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(removed_words, 0)::BIGINT AS removed_words
   FROM base LEFT JOIN repeated USING (row) LEFT JOIN dup USING (row) LEFT JOIN removed USING (row)
 ), judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM figures)
-SELECT *, NOT base_failed AND n_words - removed_words >= 5 AND n_words - removed_words >= 0.05 * n_words AS kept FROM judged
+SELECT *, NOT base_failed AND n_words - removed_words >= 20 AND 5 * (n_words - removed_words) >= n_words AS kept FROM judged
 """
 
 _JOIN = f"""

@@ -1,11 +1,13 @@
 """Quality rules and the n-gram join against plain versions, and both against SQL."""
 
+import hashlib
 import random
 import re
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import oracle_check
 from relaylog.llm import ngram_join, quality_rules, queries, sql
@@ -21,19 +23,28 @@ def plain_rules(rows, limits):
         return [x for x in (" ".join(WORD.findall(y.lower())) for y in text.split("\n")) if x]
 
     docs = [(i, t or "", s or "", lines(t or "")) for i, t, s in rows]
-    body = [max(own, key=lambda x: (x.count(" "), x.encode())) if own else None for *_, own in docs]
-    carried = {}
-    for (_, _, host, own), b in zip(docs, body, strict=True):
-        for line in set(own):
-            carried.setdefault((host, line), []).append(b)
-    hosts = {}
-    for (_, _, host, _), b in zip(docs, body, strict=True):
-        if b:
-            hosts.setdefault(host, set()).add(b)
-    gone = {
-        key for key, found in carried.items()
-        if len(set(found)) > max(limits.min_documents, limits.host_share * len(hosts[key[0]])) and 2 * found.count(key[1]) <= len(found)
-    }
+    texts = {(host, text): set(own) for _, text, host, own in docs}
+    carriers = {}
+    for (host, text), own in texts.items():
+        for line in own:
+            carriers.setdefault((host, line), []).append(text)
+    candidates = {key for key, found in carriers.items() if len(found) > limits.min_documents}
+    anchors, votes = {}, Counter()
+    for (host, text), own in texts.items():
+        rest = [x.split(" ") for x in own if (host, x) not in candidates]
+        n_rest = sum(len(x.split(" ")) for x in lines(text) if (host, x) not in candidates)
+        if n_rest < 5 or len(rest) == len(own):
+            continue
+        windows = [" ".join(x[k : k + 5]) for x in rest for k in range(max(1, len(x) - 4))]
+        hashes = [hashlib.md5(w.encode()).hexdigest()[:16] for w in windows]
+        back = [h[::-1] for h in hashes]
+        anchors[host, text] = list(enumerate([min(hashes), max(hashes), min(back), max(back)]))
+        votes.update((host, a) for a in anchors[host, text])
+
+    def document(host, text):
+        return min(anchors.get((host, text), [None]), key=lambda a: (-votes[host, a], a))
+
+    gone = {(host, line) for host, line in candidates if len({document(host, t) for t in carriers[host, line]}) > limits.min_documents}
     out = []
     for i, text, host, own in docs:
         words = WORD.findall(text)
@@ -68,7 +79,7 @@ def rule_rows(hard_rows):
 
 
 def test_rules_against_a_plain_version(frame, hard_rows):
-    limits = quality_rules.Limits(min_documents=4, host_share=0.05)
+    limits = quality_rules.Limits(min_documents=4)
     rows = rule_rows(hard_rows)
     want, gone = plain_rules(rows, limits)
     assert gone and any(not w[6] and not w[-1] for w in want) and any(w[7] and w[-1] for w in want)
@@ -80,7 +91,7 @@ def test_rules_against_a_plain_version(frame, hard_rows):
 
 
 def test_clean_takes_lines_and_documents_away(frame, hard_rows):
-    limits = quality_rules.Limits(min_documents=4, host_share=0.05)
+    limits = quality_rules.Limits(min_documents=4)
     rows = rule_rows(hard_rows)
     want, gone = plain_rules(rows, limits)
     docs = frame(rows)
@@ -96,6 +107,36 @@ def test_clean_takes_lines_and_documents_away(frame, hard_rows):
     assert quality_rules.quality_rules(frame([])).count() == 0
 
 
+@pytest.mark.parametrize(("host_size", "own_words"), [(300, 9), (2000, 20), (6000, 30)])
+def test_a_long_notice_goes_from_every_document_however_large_the_host(frame, host_size, own_words):
+    """A notice longer than what else its documents hold goes beside another common line; a group of edited copies keeps its text."""
+    rng = random.Random(host_size)
+
+    def words(n, mark):
+        return " ".join(f"{mark}{rng.randrange(10**6)}" for _ in range(n))
+
+    notice, footer, page = words(60, "n"), words(8, "f"), [words(n, "p") for n in (40, 40, 40)]
+    rows = [(i, f"{words(own_words, 'o')}\n{notice}\n{footer}\n{words(own_words, 'o')}", "a") for i in range(60)]
+    rows += [(100 + i, words(25, "x"), "a") for i in range(host_size)]
+    for i in range(300):
+        copy = list(page)
+        edited = copy[i % 3].split(" ")
+        edited[rng.randrange(40)] = words(1, "e")
+        copy[i % 3] = " ".join(edited)
+        rows.append((10_000 + i, "\n".join(copy), "a"))
+    got = {r.doc_id: r for r in quality_rules.quality_rules(frame(rows)).collect()}
+    assert all(got[i].removed_words == 68 and got[i].kept == (own_words >= 20) for i in range(60))
+    assert all(r.kept and r.removed_words == 0 for i, r in got.items() if i >= 100)
+
+
+def test_clean_keeps_columns_of_any_name(frame):
+    docs = frame([(i, f"{'same line here again ' * 3}\n{' '.join(f'w{i}x{j}' for j in range(30))}", "a") for i in range(25)])
+    docs = docs.withColumn("Text key", F.lit("x")).withColumn("kept", F.lit(5)).withColumn("gone", F.lit("y")).withColumn("doc", F.lit(None).cast("int"))
+    got = quality_rules.clean(docs)
+    assert got.schema.names == docs.schema.names
+    assert all(r.kept == 5 and r.gone == "y" and r.doc is None and "same line" not in r.text for r in got.collect()) and got.count() == 25
+
+
 def test_word_hashes_of_blocks(monkeypatch):
     data = b" ".join(b"word%d" % (i * 7919 % 1000) for i in range(5000)) + b" " + b"z" * 9000 + b" end\n"
     whole = word_hashes(data)

@@ -8,9 +8,11 @@ Units of fingerprints are the same for every length of text: up to five other si
 ASCII or white space, whose runs count as one space. They are about two characters long, so short texts have
 enough of them, and an edit shifts no units but its own. K-mers are of 10 units with inner runs of 7; ends are filled up,
 so every text but the empty one has anchors. The empty one has the hash of the whole text as its only one.
-The fingerprint has the distinct anchor hashes in the lowest 16th of their range, or the 64 smallest if those are fewer, so it grows with the
-text. Likeness is computed on all distinct anchors of both texts: twice the shared ones over the sum. It is not estimated,
-and a passage shared by two long texts counts however small its part of them is. Equal texts have equal fingerprints.
+The fingerprint has the distinct anchor hashes in the lowest quarter of their range, or the 128 smallest if those are fewer, so it grows with the
+text. ``near_edited`` and ``near_next`` are likenesses of fingerprints: twice the hashes they share over the sum of their numbers, both cut
+at the range that the narrower one covers, so they can be computed again from the columns. ``all_near_edited`` and ``all_near_next`` are the
+same on all distinct anchors: not estimated, so a passage shared by two long texts counts however small its part of
+them is. Equal texts have equal fingerprints.
 
 The document after a document is found without a global sort: doc ids are cut into ranges at quantiles, and the first
 rows of a range are also dealt to the range before it (those of the first to the last). Texts are shuffled once, and anchors are made after that, in the range's own task.
@@ -32,7 +34,7 @@ from relaylog.llm.common import text_column
 WORD_UNITS = (r"\S{1,12}", 5, 2)
 _ENDS = r"aeiouAEIOU\x{80}-\x{10FFFF}"
 UNITS = (rf"[^\s{_ENDS}]{{0,5}}[\s{_ENDS}]|[^\s{_ENDS}]{{1,6}}", 10, 7)
-SKETCH, SHARE = 64, 16
+SKETCH, SHARE = 128, 4
 
 _LEAST = -(1 << 63)
 
@@ -105,6 +107,17 @@ def likeness(a: str, b: str) -> Column:
     return 2 * F.size(F.array_intersect(a, b)) / (F.size(a) + F.size(b))
 
 
+def sketch_likeness(a: str, b: str) -> Column:
+    """Of two fingerprints, from 0 to 1. One of fewer than ``SKETCH`` hashes is whole; others cover the range up to their last."""
+
+    def reach(x: str) -> Column:
+        return F.when(F.size(x) >= SKETCH, F.element_at(x, -1)).otherwise(F.lit((1 << 63) - 1))
+
+    cut = F.least(reach(a), reach(b))
+    both, of_a, of_b = [F.size(F.filter(x, lambda h: h <= cut)) for x in (F.array_intersect(a, b), F.col(a), F.col(b))]
+    return F.coalesce(2 * both / F.nullif(of_a + of_b, F.lit(0)), F.lit(0.0))
+
+
 def as_text(hashes: Column) -> Column:
     return F.array_join(F.transform(hashes, lambda x: F.lpad(F.hex(x), 16, "0")), "")
 
@@ -160,12 +173,16 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.left(F.col("text"), F.col("n_chars").cast("int") - half), F.left(F.col("next_text"), half))
     rows = with_anchors(_once(rows, "edited", edited), "edited", "edited_anchors")
+    for name in ("anchors", "edited_anchors", "next_anchors"):
+        rows = _once(rows, f"{name}_low", sketch(name))
     return rows.select(
         "doc_id",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
-        as_text(sketch("anchors")).alias("fingerprint"),
-        as_text(sketch("edited_anchors")).alias("edited_fingerprint"),
-        likeness("anchors", "edited_anchors").alias("near_edited"),
-        likeness("anchors", "next_anchors").alias("near_next"),
+        as_text(F.col("anchors_low")).alias("fingerprint"),
+        as_text(F.col("edited_anchors_low")).alias("edited_fingerprint"),
+        sketch_likeness("anchors_low", "edited_anchors_low").alias("near_edited"),
+        sketch_likeness("anchors_low", "next_anchors_low").alias("near_next"),
+        likeness("anchors", "edited_anchors").alias("all_near_edited"),
+        likeness("anchors", "next_anchors").alias("all_near_next"),
     )

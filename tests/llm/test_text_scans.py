@@ -4,9 +4,11 @@ import hashlib
 import json
 import random
 import re
+import struct
 from collections import Counter
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -132,7 +134,8 @@ def test_fingerprints(frame, hard_rows):
             edited = text[: len(text) - half] + following[:half]
             assert r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
             assert by_text.setdefault(edited, r.edited_fingerprint) == r.edited_fingerprint
-            assert (r.near_edited == 1) == (edited == text) or len(text) < 12
+            assert (r.all_near_edited == 1) == (edited == text) or len(text) < 12
+            assert r.near_edited == 1 or edited != text
     assert len(set(by_text.values())) == len(by_text)
     # Null ids come first, so the last document's next is the one without an id.
     last, first = single[-1], next(r for r in rows if r[0] is None)
@@ -140,6 +143,49 @@ def test_fingerprints(frame, hard_rows):
     assert found[last[0]].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
 
 
+def plain_fingerprint(text):
+    """Closed syncmers one by one: the k-mers whose least inner run is their first or last one."""
+    def h(seed, *values):
+        for v in values:
+            seed = xxhash.xxh64_intdigest(v.encode() if isinstance(v, str) else struct.pack("<q", v), seed % (1 << 64))
+            seed -= (seed >> 63) << 64
+        return seed
+
+    units = re.findall("[^ aeiouAEIOU\x80-\U0010ffff]{0,5}[ aeiouAEIOU\x80-\U0010ffff]|[^ aeiouAEIOU\x80-\U0010ffff]{1,6}", re.sub(r"\s+", " ", text, flags=re.A))
+    units = [h(42, u) for u in units]
+    if units:
+        units = [h(42, "")] * 9 + units + [h(42, "")] * 9
+    found = set()
+    for i in range(len(units) - 9):
+        runs = [h(42, *units[i + j : i + j + 7]) for j in range(4)]
+        if min(runs) in (runs[0], runs[-1]):
+            found.add(h(42, runs[0], runs[-1]))
+    hashes = sorted(found) or [h(42, text, 0)] if text else [None]
+    low = sum(x is not None and x < -(1 << 63) + (1 << 62) for x in hashes)
+    return hashes[: max(low, 128)]
+
+
+def plain_likeness(a, b):
+    a, b = ([x[i : i + 16] for i in range(0, len(x), 16)] for x in (a, b))
+    a, b = ([int(x, 16) - ((int(x, 16) >> 63) << 64) for x in side] for side in (a, b))
+    cut = min([x[-1] for x in (a, b) if len(x) >= 128], default=1 << 63)
+    a, b = ({x for x in side if x <= cut} for side in (a, b))
+    return 2 * len(a & b) / (len(a) + len(b)) if a or b else 0
+
+
+def test_fingerprints_against_a_plain_version(frame):
+    """Every anchor is recomputed, and both likenesses follow from the fingerprints alone."""
+    rng = random.Random(12)
+    letters = "abcdefgh stuv  xyzé漢,.\n"
+    rows = [(i, "".join(rng.choice(letters) for _ in range(rng.choice([1, 7, 60, 500, 2500])))) for i in range(40)]
+    rows += [(50 + i, rows[i][1] + " some more at the end") for i in range(40)]
+    got = sorted(syncmers.fingerprints(frame(rows)).collect(), key=lambda r: r.doc_id)
+    for r, (_, text), following in zip(got, rows, [*got[1:], got[0]], strict=True):
+        assert r.fingerprint == "".join(f"{x % (1 << 64):016X}" for x in plain_fingerprint(text))
+        assert abs(r.near_edited - plain_likeness(r.fingerprint, r.edited_fingerprint)) < 1e-12
+        assert abs(r.near_next - plain_likeness(r.fingerprint, following.fingerprint)) < 1e-12
+
+
 def test_next_document_over_many_ranges(llm):
     rng = random.Random(4)
     ids = sorted(rng.sample(range(-(10**12), 10**12), 500) + [5, 5, 5])
@@ -172,7 +218,7 @@ def test_long_texts_keep_what_they_share(frame):
     shared = " ".join(f"m{rng.randrange(10**6)}" for _ in range(80))
     rows = [(i, f"{text} {shared} {text[::-1]}") for i, text in enumerate(own)]
     for r in syncmers.fingerprints(frame(rows)).collect():
-        assert 0.002 < r.near_next < 0.02
+        assert 0.002 < r.all_near_next < 0.02 and abs(r.near_next - r.all_near_next) < 0.01
         assert len(r.fingerprint) > 16 * 500
 
 
@@ -238,7 +284,7 @@ def test_ownership_separates_examples(frame):
     got = {r.doc_id: r for r in secret_scan.secret_spans(frame(rows)).collect()}
     assert (got[0].n_live, got[0].n_examples, got[0].spans) == (0, 2, "assign:0:38,hex:6:38")
     assert (got[100].n_live, got[100].n_issued, got[100].spans) == (1, 1, "issued:4:40")
-    assert (got[200].n_issued, got[200].spans) == (0, "")
+    assert (got[200].n_issued, got[200].n_issued_examples, got[200].spans) == (1, 1, "issued:4:48")
 
 
 def test_redacted(frame, hard_rows):
@@ -274,12 +320,33 @@ def test_issued_examples_are_listed_and_marked(llm, frame):
     token = "ghp_" + "z2" * 20
     docs = frame([(i, f"try {token} now", f"owner{i}") for i in range(3)] + [(9, f"use {LONG}", "one")])
     got = {r.doc_id: r for r in secret_scan.secret_spans(docs).collect()}
-    assert (got[0].n_issued_examples, got[0].all_spans) == (1, "issued:4:48:example:3:3")
+    assert (got[0].n_issued_examples, got[0].spans, got[0].all_spans) == (1, "issued:4:48", "issued:4:48:example:3:3")
     assert (got[9].n_issued_examples, got[9].all_spans) == (0, "issued:4:40:live:1:1")
     texts = {r.doc_id: r.text for r in corpus_pipeline.secret_scan_stage(llm, docs, "").collect()}
     assert texts == {i: "try [example secret] now" for i in range(3)} | {9: "use [live secret]"}
 
 
+def test_owners_against_a_plain_count(frame):
+    """Classes by sets of owners and repositories, and columns of any name stay."""
+    rng = random.Random(21)
+    values = [f"{rng.getrandbits(128):032x}" for _ in range(12)]
+    rows = [(i, f"x {rng.choice(values[: 1 + i % 12])} y", rng.choice("abcdef"), rng.choice(["r1", "r2", "r3"])) for i in range(150)]
+    docs = frame([r[:3] for r in rows]).drop("lang")
+    langs = docs.sparkSession.createDataFrame([(r[0], r[3]) for r in rows], "doc_id long, lang string")
+    docs = docs.join(langs, "doc_id").withColumn("key", F.lit(1)).withColumn("runs", F.lit(2)).withColumn("Id", F.lit(3)).withColumn("from", F.lit(4))
+    held = {}
+    for _, text, owner, lang in rows:
+        held.setdefault(text, set()).add((owner, lang))
+    got = {r.doc_id: r for r in secret_scan.secret_spans(docs).collect()}
+    for i, text, _, _ in rows:
+        owners, pairs = len({o for o, _ in held[text]}), len(held[text])
+        name = "live" if owners <= 2 and pairs <= 4 else "example"
+        assert got[i].all_spans == f"hex:2:34:{name}:{owners}:{pairs}"
+    marked = secret_scan.redacted(docs)
+    assert marked.schema.names == docs.schema.names
+    assert all((r.key, r.runs, r.Id, r["from"]) == (1, 2, 3, 4) and "secret]" in r.text for r in marked.collect())
+
+
 def test_repositories_enter_the_verdict(frame):
     """Many repositories of one owner make an example too, many documents of one repository do not."""
     rows = [(i, f"token={HEX32}", "one") for i in range(10)] + [(100 + i, f"token={KEY}", "one") for i in range(10)]

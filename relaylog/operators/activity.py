@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from relaylog.functions.keys import cursor_for, parse_cursor
 from relaylog.operators.outcomes import RECORD_KEY
@@ -30,7 +31,6 @@ _ENTRY = "array<struct<step:bigint,level:string,message:string,attempt:int,outco
 
 # Places of a record's entries among each other: started, attempts from 1 on, then the outcome and the commit.
 _LAST_ATTEMPT = (1 << 22) - 1
-_PLACES = 1 << 24
 
 
 def _entry(step, message, level="info", attempt=None, outcome=None, error=None) -> Column:
@@ -83,19 +83,25 @@ def state_entries(changes: DataFrame, who: str = "source_id") -> DataFrame:
 
 
 def stamped(entries: DataFrame, boot: str, order: Column, after: int = 0, at: Column | None = None) -> DataFrame:
-    """``entries`` with ``sequence`` (gapless from ``after`` + 1, by the whole number ``order``), ``id`` and ``time``.
+    """``entries`` with ``sequence`` (gapless from ``after`` + 1, by ``order``), ``id`` and ``time``.
 
-    ``boot`` names one life of the log, as in its cursors. Entries with equal ``order`` get any order.
+    ``order`` is a whole number, or a struct that begins with one; its other fields decide between equal numbers. ``boot``
+    names one life of the log, as in its cursors. Entries that are equal in all of ``order`` get any order.
     """
-    placed = entries.withColumn("__order", order.cast("long"))
-    numbers = numbered(placed, [], "__order", "sequence").drop("__order").withColumn("sequence", F.col("sequence") + after + 1)
+    placed = entries.withColumn("__order", order)
+    kind = placed.schema["__order"].dataType
+    # The number alone cuts the chunks; the rest of a struct only sorts within one.
+    first = F.col("__order")[kind.names[0]] if isinstance(kind, StructType) else F.col("__order")
+    placed = placed.withColumn("__number", first.cast("long"))
+    numbers = numbered(placed, [], "__number", "sequence", ties=["__order"]).drop("__order", "__number")
+    numbers = numbers.withColumn("sequence", F.col("sequence") + after + 1)
     time = F.current_timestamp() if at is None else at
     return numbers.withColumn("id", cursor_for(F.lit(boot), F.col("sequence"))).withColumn("time", time)
 
 
 def record_order() -> Column:
     """The order of ``activity_entries`` for ``stamped``: by offset, and a record's entries as they happened."""
-    return F.col("offset") * _PLACES + F.col("step")
+    return F.struct("offset", "destination_id", "topic", "partition", "step")
 
 
 def write_activity(entries: DataFrame, path: str, mode: str = "append") -> None:
@@ -108,13 +114,17 @@ def retain_last(log: DataFrame, n: int = RETAINED) -> DataFrame:
     return log.orderBy(F.desc("sequence")).limit(n).orderBy("sequence")
 
 
-def read_after(log: DataFrame, boot: str, cursor: str = "", n: int = RETAINED) -> tuple[DataFrame, str, bool]:
+def read_after(
+    log: DataFrame, boot: str, cursor: str = "", n: int = RETAINED, last: int | None = None
+) -> tuple[DataFrame, str, bool]:
     """(entries after the cursor, next cursor, reset).
 
     Reset, and a read from the oldest retained entry, when the cursor belongs to another boot, lies in
-    the future, or is more than ``n`` entries behind. Only the last sequence number reaches the driver.
+    the future, or is more than ``n`` entries behind. Only the last sequence number reaches the driver; a caller
+    who knows it (``last``) saves the scan for it.
     """
-    last = log.agg(F.coalesce(F.max("sequence"), F.lit(0))).first()[0]
+    if last is None:
+        last = log.agg(F.coalesce(F.max("sequence"), F.lit(0))).first()[0]
     after, reset = 0, False
     if cursor:
         parsed = log.sparkSession.range(1).select(parse_cursor(F.lit(cursor)).alias("c")).first()["c"]

@@ -95,21 +95,25 @@ def _without_carry(df: DataFrame) -> DataFrame:
     return df.filter(F.col(_CARRY) == 1).drop(_CHUNK, _CARRY, _VALUE)
 
 
-def running_sum(df: DataFrame, keys: Sequence[str], order_col: str, value: Column, out: str, chunks: int | None = None) -> DataFrame:
-    """Sum of ``value`` per key up to and including each row, in ``order_col`` order."""
+def running_sum(
+    df: DataFrame, keys: Sequence[str], order_col: str, value: Column, out: str, chunks: int | None = None, ties: Sequence[str] = ()
+) -> DataFrame:
+    """Sum of ``value`` per key up to and including each row, in ``order_col`` order; rows that tie go by ``ties``."""
     chunked = with_chunk(df.withColumn(_VALUE, value), order_col, chunks)
     before = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     totals = chunked.groupBy(*keys, _CHUNK).agg(F.sum(_VALUE).alias("__total"))
     # A window over a key's chunks: their number does not grow with the key.
     carry = totals.select(*keys, _CHUNK, F.sum("__total").over(before).alias(_VALUE))
-    window = Window.partitionBy(*keys, _CHUNK).orderBy(_CARRY, order_col).rowsBetween(Window.unboundedPreceding, 0)
+    window = Window.partitionBy(*keys, _CHUNK).orderBy(_CARRY, order_col, *ties).rowsBetween(Window.unboundedPreceding, 0)
     return _without_carry(_with_carry(chunked, carry).withColumn(out, F.sum(_VALUE).over(window)))
 
 
-def numbered(df: DataFrame, keys: Sequence[str], order_col: str, out: str, chunks: int | None = None) -> DataFrame:
-    """Gapless numbers from 0 per key, in ``order_col`` order."""
+def numbered(
+    df: DataFrame, keys: Sequence[str], order_col: str, out: str, chunks: int | None = None, ties: Sequence[str] = ()
+) -> DataFrame:
+    """Gapless numbers from 0 per key, in ``order_col`` order; rows that tie go by ``ties``."""
     one = F.lit(1).cast("long")
-    return running_sum(df, keys, order_col, one, out, chunks).withColumn(out, F.col(out) - 1)
+    return running_sum(df, keys, order_col, one, out, chunks, ties).withColumn(out, F.col(out) - 1)
 
 
 def with_previous(

@@ -288,10 +288,10 @@ _SQL = {
         count(*) FILTER (event_name NOT IN ('purchase', 'signup')) AS filtered, count(*) AS committed, 0 AS tried FROM ev GROUP BY partition""",
     "lost_history": f"""WITH {EV} SELECT partition, count(*) AS records, 'app_events' AS source_id,
         'committed offset is outside retained history' AS reason, 'stopped' AS state FROM ev GROUP BY partition""",
-    "stamped_activity": f"""WITH {SPAN_ACTIVITY}, s AS (SELECT *, row_number() OVER (ORDER BY "offset", CASE message
+    "stamped_activity": f"""WITH {SPAN_ACTIVITY}, s AS (SELECT *, row_number() OVER (ORDER BY "offset", destination_id, partition, CASE message
           WHEN 'delivery started' THEN 0 WHEN 'terminal outcome' THEN 1000 WHEN 'committed' THEN 1001 ELSE attempt END) AS sequence
-          FROM entries WHERE destination_id = 'sales' AND partition = 3)
-        SELECT 'boot:' || sequence AS id, sequence, '2024-01-01' AS day, message, attempt, "offset" FROM s""",
+          FROM entries)
+        SELECT 'boot:' || sequence AS id, sequence, '2024-01-01' AS day, message, destination_id, partition, attempt, "offset" FROM s""",
     "stream_names": f"""WITH {CUSTOMER_SOURCES} SELECT namespace, environment, source_id, generation, "table", topic_prefix,
         topic_prefix || '.public.' || "table" AS topic, topic_prefix || '_connector' AS connector,
         topic_prefix || '_slot' AS slot, topic_prefix || '_pub' AS publication FROM named""",
@@ -460,6 +460,16 @@ _SQL = {
         FROM log JOIN pages ON sequence > after CROSS JOIN head""",
     "find_activity": f"""WITH {SEQ} SELECT * FROM log WHERE event_name = 'purchase'
         UNION ALL SELECT * FROM log WHERE event_id = 'evt_7' AND event_name = 'click'""",
+    "retained_activity": f"""WITH {SEQ}, head AS (SELECT max(sequence) AS last FROM log), pages(cursor, after, reset) AS (
+          SELECT 'kept', greatest(last - 1000, 0), false FROM head
+          UNION ALL SELECT 'boot:' || (last - 300), last - 300, false FROM head
+          UNION ALL SELECT 'boot:' || greatest(last - 1001, 0), greatest(last - 1000, 0), last > 1000 FROM head
+          UNION ALL SELECT 'other:' || last, greatest(last - 1000, 0), true FROM head)
+        SELECT sequence, event_id, cursor, reset FROM log JOIN pages ON sequence > after""",
+    "activity_lookup": f"""WITH {SEQ}, found AS (SELECT * FROM log WHERE event_name = 'purchase'
+          UNION ALL SELECT * FROM log WHERE event_id = 'evt_7'
+          UNION ALL SELECT * FROM log WHERE aggregate_id = '11' AND event_name = 'click')
+        SELECT 'boot:' || sequence AS id, sequence, event_id, aggregate_id, event_name FROM found""",
 }
 
 

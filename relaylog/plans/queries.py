@@ -17,6 +17,7 @@ from relaylog.operators.scale import small_side
 from relaylog.plans import event_table as E
 from relaylog.session import shared_dir
 from relaylog.sources import changes, segments
+from relaylog.sources.activity_log import ActivityLog
 from relaylog.sources.tables import snapshot_scan
 from relaylog.streaming.delivery import CapturedSource, DeliveryJob, HistoryLost, start_delivery
 from relaylog.streaming.replay import ReplayJob, replay_records
@@ -1068,13 +1069,14 @@ def _sequenced_log(spark, sf) -> DataFrame:
 
 @query
 def stamped_activity(spark, sf):
-    """What was written for one destination, stamped, and read back by its cursor."""
-    entries = activity.activity_entries(*_worked_on(spark, sf)).filter((F.col("destination_id") == "sales") & (F.col("partition") == 3))
+    """What was written for all destinations, stamped, and read back by its cursor."""
+    entries = activity.activity_entries(*_worked_on(spark, sf))
     log = activity.stamped(entries, "boot", activity.record_order(), at=F.lit("2024-01-01").cast("timestamp"))
     path = shared_dir(spark, "activity")
     activity.write_activity(log, path)
-    lines = spark.read.schema("id string, sequence bigint, time timestamp, message string, attempt int, offset bigint").json(path)
-    return lines.select("id", "sequence", F.date_format("time", "yyyy-MM-dd").alias("day"), "message", "attempt", "offset")
+    kept = "id string, sequence bigint, time timestamp, message string, destination_id string, partition int, attempt int, offset bigint"
+    lines = spark.read.schema(kept).json(path)
+    return lines.select("id", "sequence", F.date_format("time", "yyyy-MM-dd").alias("day"), "message", "destination_id", "partition", "attempt", "offset")
 
 
 @query
@@ -1111,3 +1113,42 @@ def find_activity(spark, sf):
     return activity.find_activity(_sequenced_log(spark, sf), event_name="purchase").unionByName(
         activity.find_activity(_sequenced_log(spark, sf), event_id="evt_7", event_name="click")
     )
+
+
+#: Appends of a stored log: shares of all its entries, uneven, the last one small.
+_APPENDED = (0.02, 0.4, 0.41, 0.99, 1.0)
+
+
+def _stored_log(spark, sf) -> ActivityLog:
+    """Every event as one entry, appended in several steps."""
+    log = ActivityLog(spark, shared_dir(spark, "activity"))
+    entries = _sequenced_log(spark, sf).withColumn("id", keys.cursor_for(F.lit("boot"), F.col("sequence")))
+    path = shared_dir(spark, "entries")
+    entries.write.parquet(path)
+    entries = spark.read.parquet(path)
+    n, low = entries.count(), 0
+    for share in _APPENDED:
+        high = int(n * share)
+        log.append(entries.filter((F.col("sequence") > low) & (F.col("sequence") <= high)), "boot")
+        low = high
+    return log
+
+
+@query
+def retained_activity(spark, sf):
+    """What a stored log has left as lines after its appends, read by a recent cursor, one that is too old, and one of another boot."""
+    log = _stored_log(spark, sf)
+    last = log.last("boot")
+    pages = [log.recent().select("sequence", "event_id", F.lit("kept").alias("cursor"), F.lit(False).alias("reset"))]
+    for cursor in (f"boot:{last - 300}", f"boot:{max(last - activity.RETAINED - 1, 0)}", f"other:{last}"):
+        entries, _, reset = log.read_after("boot", cursor)
+        pages.append(entries.select("sequence", "event_id", F.lit(cursor).alias("cursor"), F.lit(reset).alias("reset")))
+    return _union(pages)
+
+
+@query
+def activity_lookup(spark, sf):
+    """Entries of a stored log by identifier, trimmed ones too."""
+    log = _stored_log(spark, sf)
+    found = log.find(event_name="purchase").unionByName(log.find(event_id="evt_7")).unionByName(log.find(aggregate_id="11", event_name="click"))
+    return found.select("id", "sequence", "event_id", "aggregate_id", "event_name")

@@ -29,6 +29,7 @@ from relaylog.operators import activity, decode, outcomes, routing, tables
 from relaylog.operators.deliver import Sender, deliver
 from relaylog.operators.scale import small_side
 from relaylog.sources import segments
+from relaylog.sources.activity_log import ActivityLog
 from relaylog.sources.changes import log_bounds, read_changes, read_changes_stream
 
 # ``tried``: attempts so far at the record at ``committed``, the one that may still be retrying.
@@ -39,11 +40,6 @@ _SKIPS = "destination_id string, source_id string, event_id string, topic string
 _BOUNDS = "topic string, partition int, first_offset bigint, end_offset bigint"
 _BLOCKED = "source_id string, seq bigint, reason string"
 _SENT = "destination_id string, topic string, partition int, offset bigint, outcome string"
-_ACTIVITY = (
-    "id string, sequence bigint, time timestamp, level string, message string, source_id string, destination_id string, "
-    "generation int, topic string, partition int, offset bigint, event_id string, aggregate_id string, event_name string, "
-    "attempt int, outcome string, error string"
-)
 _RANGES = "topic string, partition int, low bigint, high bigint, tried bigint"
 #: Folders of outcomes, or files of skips, above which they are written together.
 _COMPACT = 64
@@ -89,6 +85,8 @@ class DeliveryJob:
     sequence: int = 0
     # What the requests' replay header says.
     replay: bool = False
+    # Files whose rows were written together elsewhere.
+    _replaced: set[str] = field(default_factory=set, repr=False)
 
     def path(self, name: str) -> str:
         return f"{self.state_path}/{delivery_group(self.scope, self.destination.id)}/{name}"
@@ -108,7 +106,8 @@ class DeliveryJob:
         return tables.read_state(self.spark, self.path("positions"), _POSITIONS)
 
     def skips(self) -> DataFrame:
-        return _read_appended(self.spark, self.path("skips"), _SKIPS)
+        files = [path for path in _files(self.spark, self.path("skips")) if path not in self._replaced]
+        return self.spark.read.schema(_SKIPS).parquet(*files) if files else self.spark.createDataFrame([], _SKIPS)
 
     def _skips_of(self, ranges: list[tuple]) -> DataFrame:
         """The stored skips that a round can meet: its topics, partitions and offsets, as filters that prune files."""
@@ -270,14 +269,16 @@ class DeliveryJob:
         records = finished.withColumn("committed", F.col("outcome").isNotNull())
         entries = activity.activity_entries(records, tried)
         stamped = activity.stamped(entries, self.boot, activity.record_order(), self.sequence)
-        activity.write_activity(stamped.drop("step"), path, "overwrite")
-        # From this round's own folder: what it costs does not grow with the rounds before it.
-        own = _read_appended(self.spark, path, _ACTIVITY, "json")
-        self.sequence = own.agg(F.coalesce(F.max("sequence"), F.lit(self.sequence))).first()[0]
+        # Only this round's own folder is read: what it costs does not grow with the rounds before it.
+        self.sequence = max(self.sequence, self.activity_log().append(stamped.drop("step"), self.boot, path))
+
+    def activity_log(self) -> ActivityLog:
+        """The newest entries by cursor, and all of them by identifier. Lines lie in the folders of their rounds."""
+        return ActivityLog(self.spark, self.path("").rstrip("/"), "rounds/*/activity")
 
     def activity(self) -> DataFrame:
         """The entries that this job has written in its present life; read them with ``operators.activity``."""
-        return _read_appended(self.spark, self.path("rounds/*/activity"), _ACTIVITY, "json").filter(F.col("id").startswith(f"{self.boot}:"))
+        return self.activity_log().history().filter(F.col("id").startswith(f"{self.boot}:"))
 
     def drain(self) -> None:
         """Rounds until nothing moves: the end is reached, or what is left keeps asking for a retry.
@@ -294,6 +295,7 @@ class DeliveryJob:
         if seen:
             self._take(self._whole(seen), at_start=False)
         self.drain()
+        self.compact(running=True)
 
     def _whole(self, seen: list) -> DataFrame:
         """Bounds of a micro-batch, with those of new partitions from the log: a batch need not begin at their start."""
@@ -307,16 +309,28 @@ class DeliveryJob:
             rows += [tuple(r) for r in log_bounds(log).collect() if (r["topic"], r["partition"]) in places]
         return self.spark.createDataFrame(rows, _BOUNDS)
 
-    def compact(self) -> None:
-        """Write the outcomes of many rounds, and many small files of skips, together. Runs while no query does."""
+    def compact(self, running: bool = False) -> None:
+        """Write the outcomes of many rounds, and many small files of skips, together.
+
+        ``running``: after a micro-batch. What was replaced then stays until the next time, for readers that have listed it; it is
+        there twice meanwhile, which changes nothing, as after a crash in between.
+        """
         for name, schema in (("rounds/*/sent", _SENT), ("skips", _SKIPS)):
-            old = _folders(self.spark, self.path(name)) if "*" in name else _files(self.spark, self.path(name))
+            found = _folders(self.spark, self.path(name)) if "*" in name else _files(self.spark, self.path(name))
+            old = [path for path in found if not running or path not in self._replaced]
             if len(old) > _COMPACT:
+                gone = [path for path in found if path in self._replaced]
                 table = _read_appended(self.spark, self.path(name), schema)
-                table = tables.best_outcomes(table) if "*" in name else table.distinct()
-                # A crash in between leaves rows twice, which changes nothing.
-                table.write.mode("append").parquet(self.path(f"rounds/compact-{uuid.uuid4().hex}/sent" if "*" in name else name))
-                for path in old:
+                if "*" in name:
+                    table, target = tables.best_outcomes(table), self.path(f"rounds/compact-{uuid.uuid4().hex}/sent")
+                else:
+                    # In order, so that a round's filters prune.
+                    table, target = table.distinct().repartitionByRange("topic", "partition", "offset"), self.path(name)
+                    table = table.sortWithinPartitions("topic", "partition", "offset")
+                table.write.mode("append").parquet(target)
+                self._replaced -= set(gone)
+                self._replaced |= set(old)
+                for path in gone if running else old:
                     _delete(self.spark, path)
 
     def start(self, per_trigger: int | None = None, available_now: bool = False, every: str = "5 seconds") -> StreamingQuery:
@@ -356,8 +370,12 @@ def _files(spark: SparkSession, path: str) -> list[str]:
 
 
 def _delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file, and the folder above if nothing else is in it."""
     fs, target = tables.hadoop_path(spark, path)
     fs.delete(target, True)
+    above = target.getParent()
+    if fs.exists(above) and not len(fs.listStatus(above)):
+        fs.delete(above, False)
 
 
 def _read_appended(spark: SparkSession, path: str, schema: str, fmt: str = "parquet") -> DataFrame:

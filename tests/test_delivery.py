@@ -256,6 +256,17 @@ def test_compaction_changes_nothing(setup, monkeypatch):
     assert len(folders) == 1
 
 
+def test_compaction_while_running_keeps_what_readers_have_listed(setup, monkeypatch):
+    monkeypatch.setattr("relaylog.streaming.delivery._COMPACT", 2)
+    job = setup.job(skipped={1, 10, 22})
+    job.round_size = 4
+    setup.append(60)
+    got = setup.run(job)
+    assert set(got) == set(setup.expected(job)) and job.skips().count() == 3
+    listed = job._replaced
+    assert listed and all(os.path.exists(path.removeprefix("file:")) for path in listed)
+
+
 def test_bad_record_blocks_the_source_for_every_destination(setup):
     setup.append(60)
     placed = setup.expected(None)

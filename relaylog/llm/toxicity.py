@@ -1,10 +1,11 @@
 """Toxicity of texts, scored after a noisy channel has been undone.
 
-Writers hide words by leetspeak, by spaces or marks between letters, and by repeating letters. A suspicious token is
+Writers hide words by leetspeak, by spaces or marks between letters, and by repeating letters. A suspicious run is
 turned into a lattice: each sign may stand for itself, for a letter that it looks like, or for nothing; a
-repeated letter may be a single one. The Viterbi path under a character trigram model is the restored word. The
-model is counted over the plain words of all texts given, in a fixed table of symbol triples. A token
-whose best reading is what is written, or nothing, stays as it is.
+repeated letter may be a single one; a separator may end a word or be nothing. The Viterbi path under a character trigram model
+is what was meant. The model is counted over the plain words of all texts given, in a fixed table of symbol triples. A run
+whose best reading is what is written, or nothing, stays as it is. Suspicious are words with signs or separators inside, with a
+letter twice in a row, and three or more single letters or signs with separators between.
 
 The scorer is a logistic regression on parts of words of the restored text: whole words and their runs of four and five
 letters. It is fitted on a bounded sample of labelled rows (``sample`` of each class, those with the least hash), with
@@ -35,6 +36,8 @@ LOOKS_LIKE = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "*": "aeiou",
 }
+#: What may stand between the letters of a word.
+SEPARATORS = " ._-/"
 _SYMBOLS = len(LETTERS) + 1
 _NUMBER = {c: i + 1 for i, c in enumerate(LETTERS)}
 _CODES = np.zeros(0x250, np.uint8)
@@ -85,7 +88,11 @@ def log_probabilities(counts: np.ndarray) -> np.ndarray:
 
 # -- the channel ----------------------------------------------------------------------------------------------------
 
-_REPLACED, _DROPPED, _SINGLE = -1.0, -1.5, -0.5
+# What is left out saves a symbol's own cost, about 2.5, so leaving out must cost more than that where it is rare: a sign, or the
+# second of just two equal letters. Of three and more, all but one are noise.
+_REPLACED, _DROPPED, _DOUBLE, _SINGLE = -1.0, -8.0, -5.0, -0.5
+# A slash is more often meant.
+_JOINED = {" ": -0.3, ".": -0.3, "_": -0.3, "-": -0.3, "/": -3.0}
 
 
 class Restorer:
@@ -96,7 +103,7 @@ class Restorer:
         self.known: dict[str, str] = {}
 
     def word(self, token: str) -> str:
-        """The most likely word behind a token in lower case."""
+        """The most likely word, or words, behind a token in lower case."""
         if (found := self.known.get(token)) is None:
             if len(self.known) > 100_000:
                 self.known.clear()
@@ -104,70 +111,74 @@ class Restorer:
         return found
 
     def _decode(self, token: str) -> str:
-        # A state is the last two symbols; it has its score, and the state and symbol before it for the way back.
+        # A state is the last two symbols; it has its score, and what was written on the way to it, last sign first.
         states = {(0, 0): (0.0, None)}
-        previous = ""
-        for sign in token:
+        for i, sign in enumerate(token):
             ways = []  # (symbol or None for nothing, cost)
-            if sign in _NUMBER:
+            if sign in SEPARATORS:
+                ways += [(0, 0.0), (None, _JOINED[sign])]
+            elif sign in _NUMBER:
                 ways.append((_NUMBER[sign], 0.0))
-                if sign == previous:
-                    ways.append((None, _SINGLE))
+                if sign == token[i - 1 : i]:
+                    longer = sign in (token[i + 1 : i + 2], token[i - 2 : i - 1] if i > 1 else "")
+                    ways.append((None, _SINGLE if longer else _DOUBLE))
             else:
                 ways += [(_NUMBER[x], _REPLACED) for x in LOOKS_LIKE.get(sign, "")]
                 ways.append((None, _DROPPED))
-            previous = sign
             after: dict[tuple[int, int], tuple] = {}
             for state, (score, path) in states.items():
                 row = self.log_p[state[0]][state[1]]
                 for symbol, cost in ways:
                     if symbol is None:
                         to, value, way = state, score + cost, path
-                    else:
-                        to, value, way = (state[1], symbol), score + cost + row[symbol], (symbol, path)
+                    elif symbol:
+                        to, value, way = (state[1], symbol), score + cost + row[symbol], (LETTERS[symbol - 1], path)
+                    elif state[1]:
+                        to, value, way = (state[1], 0), score + cost + row[0], (sign, path)
+                    else:  # as in the counts, ends in a row are one
+                        to, value, way = state, score + cost, (sign, path)
                     if to not in after or value > after[to][0]:
                         after[to] = (value, way)
             states = after
-        ends = ((score + self.log_p[a][b][0], path) for (a, b), (score, path) in states.items())
+        ends = ((score + (self.log_p[a][b][0] if b else 0.0), path) for (a, b), (score, path) in states.items())
         _, path = max(ends, key=lambda x: x[0])
         letters = []
         while path:
-            letters.append(LETTERS[path[0] - 1])
+            letters.append(path[0])
             path = path[1]
         return "".join(reversed(letters)) or token
 
 
 _SIGNS = re.escape("".join(LOOKS_LIKE))
 _LETTER = f"[{LETTERS}]"
-# Letters with signs among them, letters with marks between, or a letter three times in a row.
+_SEPARATOR = r"[._\-/]"
+_ANY = f"[{LETTERS}{_SIGNS}]"
+# Single letters or signs with separators between; a word with signs or separators in it; a word with a letter twice in a row.
 _SUSPICIOUS = re.compile(
-    rf"(?<!\S)[^\w\s{_SIGNS}]*(?P<leet>(?=[^\s]*{_LETTER})(?:{_LETTER}|[{_SIGNS}])*(?:{_LETTER}[{_SIGNS}]|[{_SIGNS}]{_LETTER})(?:{_LETTER}|[{_SIGNS}])*)"
-    rf"|(?<!\w)(?P<spaced>{_LETTER}(?:[\x20._\-*]{{1,2}}{_LETTER}){{2,}})(?!\w)"
-    rf"|(?P<long>{_LETTER}*({_LETTER})\4\4{_LETTER}*)"
+    rf"(?<![\w{_SIGNS}])(?P<spaced>{_ANY}(?:[\x20._\-*/]{{1,2}}{_ANY}){{2,}})(?![\w{_SIGNS}])"
+    rf"|(?<!\S)[^\w\s{_SIGNS}]*+(?P<leet>{_LETTER}*+(?:[{_SIGNS}]|{_SEPARATOR}(?={_ANY}))(?:{_ANY}|{_SEPARATOR}(?={_ANY}))*+)"
+    rf"|(?<!{_LETTER})(?P<double>{_LETTER}*?({_LETTER})\4{_LETTER}*)"
 )
 _TRAILING = "!*$+|("
-# What a text must have for any of the three: most texts need no further look.
-_HINT = re.compile(rf"[{_SIGNS}]|({_LETTER})\1\1|(?<!\w){_LETTER}[\x20._\-*]{{1,2}}{_LETTER}[\x20._\-*]{{1,2}}{_LETTER}(?!\w)")
+_TWICE = re.compile(rf"({_LETTER})\1")
+_LETTERS_IN = re.compile(_LETTER)
 
 
 def restored(text: str, restorer: Restorer) -> str:
     """The text in lower case with its suspicious tokens restored."""
 
-    text = text.lower()
-    if not _HINT.search(text):
-        return text
-
     def replace(m: re.Match) -> str:
-        token = m["leet"] or m["spaced"] or m["long"]
+        token = m["leet"] or m["spaced"] or m["double"]
         lead = m[0][: len(m[0]) - len(token)]
         if m["spaced"]:
-            return lead + restorer.word(re.sub(r"[\x20._\-*]", "", token))
-        core = token.rstrip(_TRAILING) if not m["long"] else token
-        if not core or core.isalpha() and not m["long"]:
+            # Numbers in a row are no word.
+            return m[0] if len(_LETTERS_IN.findall(token)) < 2 else lead + restorer.word(token)
+        core = token.rstrip(_TRAILING)
+        if not _LETTERS_IN.search(core) or core.isalpha() and not _TWICE.search(core):
             return m[0]
         return lead + restorer.word(core) + token[len(core) :]
 
-    return _SUSPICIOUS.sub(replace, text)
+    return _SUSPICIOUS.sub(replace, text.lower())
 
 
 # -- features and the scorer ----------------------------------------------------------------------------------------

@@ -1,6 +1,7 @@
 """Toxicity and quality: the parts against plain versions, the whole on held-out labels."""
 
 import itertools
+import re
 import zlib
 
 import numpy as np
@@ -26,6 +27,9 @@ def restorer():
         ("what a $tup1d thing", "what a stupid thing"), ("you m0r0n!", "you moron!"), ("s t u p i d text", "stupid text"),
         ("an i.d.i.o.t here", "an idiot here"), ("such a looooser", "such a loser"), ("tr@sh", "trash"), ("cl*wn", "clown"),
         ("the good book", "the good book"), ("hello letter tree", "hello letter tree"), ("THE!! GOOD!! BOOK!!", "the!! good!! book!!"),
+        ("i d 1 0 t", "idiot"), ("such i.d.1.o.t talk", "such idiot talk"), ("st.u.p.1.d", "stupid"), ("a/1d10t", "a/idiot"),
+        ("stuupiid", "stupid"), ("sttupid", "stupid"), ("st-upid", "stupid"), ("s-t-u-p-1-d", "stupid"), ("i_d_i_o_t", "idiot"),
+        ("the/good/book", "the/good/book"), ("the good-book.", "the good-book."), ("1 2 3 4", "1 2 3 4"), ("in 2 3 rows", "in 2 3 rows"),
         ("", ""),
     ],
 )
@@ -33,18 +37,25 @@ def test_restored(restorer, written, meant):
     assert toxicity.restored(written, restorer) == meant
 
 
-@pytest.mark.parametrize("token", ["1d1o7", "l0ser", "m00ron", "tr33", "$$op", "aab", "4*1d", "b00k5", "ll|ll"])
+@pytest.mark.parametrize("token", ["1d1o7", "l0ser", "m00ron", "tr33", "$$op", "aab", "4*1d", "b00k5", "ll|ll", "i d 1", "a/1d", "s-t.u", "t. r", "oo_n", "aaab", "looo"])
 def test_the_path_is_the_best_of_all_readings(restorer, token):
     """Every reading of the lattice, one by one."""
     ways = []
     for i, sign in enumerate(token):
-        if sign in toxicity._NUMBER:
-            ways.append([(sign, 0.0)] + ([("", toxicity._SINGLE)] if i and token[i - 1] == sign else []))
+        if sign in toxicity.SEPARATORS:
+            ways.append([(sign, 0.0), ("", toxicity._JOINED[sign])])
+        elif sign in toxicity._NUMBER:
+            run = re.search(rf"{sign}*\Z", token[:i])[0] + re.match(rf"{sign}+", token[i:])[0]
+            noise = toxicity._SINGLE if len(run) > 2 else toxicity._DOUBLE
+            ways.append([(sign, 0.0)] + ([("", noise)] if i and token[i - 1] == sign else []))
         else:
             ways.append([(x, toxicity._REPLACED) for x in toxicity.LOOKS_LIKE.get(sign, "")] + [("", toxicity._DROPPED)])
 
     def value(letters):
-        codes = [0, 0, *(toxicity._NUMBER[c] for c in letters), 0]
+        codes = [0, 0]
+        for code in [*(toxicity._NUMBER.get(c, 0) for c in letters), 0]:
+            if code or codes[-1] or len(codes) == 2 and not letters:
+                codes.append(code)  # ends in a row are one
         return sum(restorer.log_p[a][b][c] for a, b, c in zip(codes, codes[1:], codes[2:], strict=False))
 
     readings = [("".join(x for x, _ in way), sum(c for _, c in way)) for way in itertools.product(*ways)]

@@ -101,6 +101,8 @@ class Restorer:
     def __init__(self, log_p: np.ndarray):
         self.log_p = log_p.tolist()
         self.known: dict[str, str] = {}
+        # By the letter before, the doubled one and the letter after.
+        self.stays: dict[tuple[str, str, str], bool] = {}
 
     def word(self, token: str) -> str:
         """The most likely word, or words, behind a token in lower case."""
@@ -110,6 +112,23 @@ class Restorer:
             found = self.known[token] = self._decode(token)
         return found
 
+    def doubles(self, text: str) -> str:
+        """``text`` with the doubled letters of its plain words restored, as ``word`` restores them.
+
+        Whether a second letter goes depends on the letters beside the two alone, as a reading is scored by triples.
+        """
+
+        def one(m: re.Match) -> str:
+            before, after = text[m.start() - 1 : m.start()], text[m.end() : m.end() + 1]
+            place = (before if before in _NUMBER else "", m[1], after if after in _NUMBER else "")
+            if (stays := self.stays.get(place)) is None:
+                y, c, z = (_NUMBER.get(x, 0) for x in place)
+                p = self.log_p
+                stays = self.stays[place] = p[y][c][c] + p[c][c][z] >= p[y][c][z] + _DOUBLE
+            return m[0] if stays else m[1]
+
+        return _TWICE.sub(one, text)
+
     def _decode(self, token: str) -> str:
         # A state is the last two symbols; it has its score, and what was written on the way to it, last sign first.
         states = {(0, 0): (0.0, None)}
@@ -153,22 +172,25 @@ _SIGNS = re.escape("".join(LOOKS_LIKE))
 _LETTER = f"[{LETTERS}]"
 _SEPARATOR = r"[._\-/]"
 _ANY = f"[{LETTERS}{_SIGNS}]"
-# Single letters or signs with separators between; a word with signs or separators in it; a word with a letter twice in a row.
-_SUSPICIOUS = re.compile(
+# Single letters or signs with separators between; a word with signs or separators in it.
+_RUNS = (
     rf"(?<![\w{_SIGNS}])(?P<spaced>{_ANY}(?:[\x20._\-*/]{{1,2}}{_ANY}){{2,}})(?![\w{_SIGNS}])"
     rf"|(?<!\S)[^\w\s{_SIGNS}]*+(?P<leet>{_LETTER}*+(?:[{_SIGNS}]|{_SEPARATOR}(?={_ANY}))(?:{_ANY}|{_SEPARATOR}(?={_ANY}))*+)"
-    rf"|(?<!{_LETTER})(?P<double>{_LETTER}*?({_LETTER})\4{_LETTER}*)"
 )
+_SUSPICIOUS = re.compile(_RUNS)
+# And a word with a letter three times in a row, for the texts that have one.
+_THRICE = re.compile(rf"({_LETTER})\1\1")
+_SUSPICIOUS_LONG = re.compile(rf"{_RUNS}|(?<!{_LETTER})(?P<long>{_LETTER}*?({_LETTER})\4\4{_LETTER}*)")
 _TRAILING = "!*$+|("
 _TWICE = re.compile(rf"({_LETTER})\1")
 _LETTERS_IN = re.compile(_LETTER)
 
 
 def restored(text: str, restorer: Restorer) -> str:
-    """The text in lower case with its suspicious tokens restored."""
+    """The text in lower case with its suspicious runs restored."""
 
     def replace(m: re.Match) -> str:
-        token = m["leet"] or m["spaced"] or m["double"]
+        token = m["leet"] or m["spaced"] or m[0]
         lead = m[0][: len(m[0]) - len(token)]
         if m["spaced"]:
             # Numbers in a row are no word.
@@ -178,7 +200,12 @@ def restored(text: str, restorer: Restorer) -> str:
             return m[0]
         return lead + restorer.word(core) + token[len(core) :]
 
-    return _SUSPICIOUS.sub(replace, text.lower())
+    text = text.lower()
+    parts, at = [], 0
+    for m in (_SUSPICIOUS_LONG if _THRICE.search(text) else _SUSPICIOUS).finditer(text):
+        parts += [restorer.doubles(text[at : m.start()]), replace(m)]
+        at = m.end()
+    return "".join([*parts, restorer.doubles(text[at:])])
 
 
 # -- features and the scorer ----------------------------------------------------------------------------------------

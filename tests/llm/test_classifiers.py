@@ -64,6 +64,16 @@ def test_the_path_is_the_best_of_all_readings(restorer, token):
     assert max(value(found) + cost for letters, cost in readings if letters == found) == pytest.approx(best)
 
 
+def test_doubles_are_decided_as_on_the_whole_lattice(restorer):
+    """Every word of up to five letters of three, without three equal ones in a row."""
+    for size in range(1, 6):
+        for letters in itertools.product("ots", repeat=size):
+            word = "".join(letters)
+            if not re.search(r"(.)\1\1", word):
+                assert restorer.doubles(word) == restorer.word(word)
+                assert toxicity.restored(f'"{word}", so', restorer) == f'"{restorer.word(word)}", so'
+
+
 def test_what_reads_as_nothing_stays(restorer):
     assert restorer.word("9") == "9" or restorer.word("9") in toxicity.LOOKS_LIKE["9"]
     assert restorer.word("") == ""

@@ -7,8 +7,8 @@ length in logarithmic time; sequences that are filled alike are kept as a run. T
 a length with ranks r0 to r1 go to these sequences at that place. Its size depends on the capacity alone. Every item
 gets its rank among the items of its length: its place within its task, plus a prefix sum over the tasks before it.
 
-Documents longer than the capacity are cut into pieces of full capacity and a last one with the rest. Null texts are
-empty, so a document has at least the end id. Repeated rows are packed each. An empty table gives no rows.
+Documents longer than the capacity are cut into pieces of full capacity, after a first one with what is over. Null texts
+are empty, so a document has at least the end id. Repeated rows are packed each. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -46,8 +46,9 @@ def cut_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, i
             out = {name: [] for name in arrow.names}
             for doc_id, own in zip(batch.column(0).to_pylist(), encode.texts(batch.column(1).to_pylist()), strict=True):
                 own = np.append(own.astype("<u4"), np.uint32(end_id))
-                for piece, start in enumerate(range(0, len(own), capacity)):
-                    tokens = own[start : start + capacity]
+                for piece, end in enumerate(range((len(own) - 1) % capacity + 1, len(own) + 1, capacity)):
+                    start = max(0, end - capacity)
+                    tokens = own[start:end]
                     row = (part, int(seen[len(tokens)]), doc_id, piece, start, len(tokens), zlib.crc32(tokens.tobytes()), tokens)
                     seen[len(tokens)] += 1
                     for name, value in zip(arrow.names, row, strict=False):

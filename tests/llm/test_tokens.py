@@ -167,6 +167,20 @@ def test_packed_documents(llm, frame, hard_rows):
     assert packing.pack(packing.cut_documents(frame([]), TOKENIZER, END_ID, capacity), capacity).count() == 0
 
 
+def test_only_the_first_piece_is_shorter(llm, frame):
+    capacity, word = 8, ids(" the")
+    assert len(word) == 1
+    rows = [(n, " the" * (n - 1)) for n in (1, 7, 8, 9, 15, 16, 17, 24, 30)]
+    got = packing.cut_documents(frame(rows), TOKENIZER, END_ID, capacity, ids=True).collect()
+    for n, _ in rows:
+        own, whole = sorted((r for r in got if r.doc_id == n), key=lambda r: r.piece), [*word * (n - 1), END_ID]
+        full = (n - 1) // capacity
+        assert [r.length for r in own] == [n - full * capacity] + [capacity] * full
+        assert [r.start for r in own] == [0, *(n - k * capacity for k in range(full, 0, -1))]
+        assert [r.ids for r in own] == [whole[r.start : r.start + r.length] for r in own]
+        assert [r.ids_crc32 for r in own] == [zlib.crc32(np.array(r.ids, "<u4").tobytes()) for r in own]
+
+
 def test_byte_pairs_of_documents(frame, hard_rows):
     got = bpe.digests(frame(hard_rows), RANKS, P.PATTERN).collect()
     want = []

@@ -130,7 +130,7 @@ class LibraryEncoder:
                 # Pieces that are still in use come back from the older half.
                 self.older, self.pieces, self.marks, self.chars = self.pieces, {}, {}, 0
                 new = set().union(*cuts)
-            again = new.intersection(self.older)
+            again = self.older.keys() & new  # goes over the new pieces; a set's intersection would go over all older ones
             self.pieces.update(zip(again, map(self.older.__getitem__, again), strict=True))
             new -= again
             self.chars += sum(map(len, again)) + sum(map(len, new))

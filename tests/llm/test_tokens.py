@@ -41,6 +41,19 @@ def test_pieces_give_the_ids_of_the_whole_text(text):
     assert pieces.encoder(TOKENIZER)(text).tolist() == ids(text)
 
 
+def test_older_pieces_are_looked_up_and_not_gone_over():
+    class Older(dict):
+        def __iter__(self):
+            raise AssertionError("every older piece is read for each group of texts")
+
+    encode = pieces.LibraryEncoder(TOKENIZER)
+    known = [f"known{i}" for i in range(100)]
+    encode.older = Older((w, np.array(ids(" " + w), "<u2").tobytes()) for w in known)
+    text = "first known7 and new known99"
+    assert encode(text).tolist() == ids(text)
+    assert {"known7", "known99", "and", "new"} == set(encode.pieces)
+
+
 @settings(max_examples=300, deadline=None)
 @given(texts)
 def test_rank_queue_gives_the_ids_of_the_library(text):

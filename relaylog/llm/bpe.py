@@ -1,11 +1,11 @@
 """Byte-level BPE by merge ranks, with a rank queue instead of a scan for the lowest pair.
 
-The pairs of a word wait in buckets, one for each merge rank. A bucket is a linked list of entries; an entry is the
-position of a pair's left part. A hierarchy of bitmaps tells which buckets are not empty: a bit stands for a bucket,
-a bit of the level above for a word of bits below. Find-first-set, from the top, gives the lowest rank in two steps.
-A merge changes its two neighbours' pairs; their old entries stay and are skipped once they come up, because
-the pair's rank is then another one. So a word of n bytes takes O(n) steps and a scan of each bucket, also if it is a
-hundred thousand bytes long.
+The pairs of a word wait in buckets, one for each merge rank. A bucket is a list of positions of the pairs' left parts.
+A hierarchy of bitmaps tells which buckets are not empty: a bit stands for a bucket, a bit of the level above for a
+word of bits below. Find-first-set, from the top, gives the lowest rank in two steps. A merge changes its two
+neighbours' pairs; their old entries stay and are skipped once they come up, because the pair's rank is then another
+one. Pairs that still have a rank are counted, so the entries left when there are none need not come up. A word of n bytes
+takes O(n) steps and a sort of each bucket, also if it is a hundred thousand bytes long.
 
 Ids are the ranks. Each match of the splitting pattern is encoded on its own. Null texts are empty and have no ids.
 """
@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -22,51 +24,52 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from relaylog.llm.common import map_batches, text_column
-from relaylog.llm.pieces import KEPT_PIECES, Pieces
+from relaylog.llm.pieces import Pieces
 
 _BITS = 256
 _BIT = [1 << i for i in range(_BITS)]
 _NONE = -1
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+# Letters of every Unicode version; letters with marks after them.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_WORD = re.compile(f" [{_LETTERS}]+")
+_MARKED = re.compile(f" ([{_LETTERS}]+)([{re.escape(_MARKS)}]+)")
 
 
 class RankQueue:
-    """Entries by rank. ``top`` has a bit for each word of ``words`` that is not zero, a word a bit for each rank.
+    """Entries by rank. ``top`` has a bit for each word of ``words`` that is there, a word a bit for each rank.
 
-    Entries stand in ``positions`` and ``next``; ``head`` has the last entry of each rank. A caller that merges inlines
-    what ``push`` and ``pop`` do.
+    Entries stand in ``buckets``. A caller that merges inlines what ``push`` and ``pop`` do.
     """
 
     def __init__(self, ranks: int):
-        self.head = [_NONE] * ranks
-        self.words = [0] * -(-ranks // _BITS)
+        self.ranks = ranks
+        self.buckets: dict[int, list[int]] = {}
+        self.words: dict[int, int] = {}
         self.top = 0
-        self.positions: list[int] = []
-        self.next: list[int] = []
 
     def push(self, rank: int, position: int) -> None:
-        if (old := self.head[rank]) == _NONE:
+        if not 0 <= rank < self.ranks:
+            raise ValueError(f"rank {rank} is not below {self.ranks}")
+        if (bucket := self.buckets.get(rank)) is None:
             word = rank // _BITS
-            if not self.words[word]:
-                self.top |= 1 << word
-            self.words[word] |= _BIT[rank % _BITS]
-        self.head[rank] = len(self.positions)
-        self.positions.append(position)
-        self.next.append(old)
+            self.top |= 1 << word
+            self.words[word] = self.words.get(word, 0) | _BIT[rank % _BITS]
+            self.buckets[rank] = [position]
+        else:
+            bucket.append(position)
 
     def pop(self) -> tuple[int, list[int]]:
         """The lowest rank that has entries, and their positions from left to right. There must be one."""
         word = (self.top & -self.top).bit_length() - 1
         bits = self.words[word]
         rank = word * _BITS + (bits & -bits).bit_length() - 1
-        self.words[word] = bits = bits & (bits - 1)
-        if not bits:
+        if bits := bits & (bits - 1):
+            self.words[word] = bits
+        else:
+            del self.words[word]
             self.top &= self.top - 1
-        entry, self.head[rank], found = self.head[rank], _NONE, []
-        while entry != _NONE:
-            found.append(self.positions[entry])
-            entry = self.next[entry]
-        found.sort()
-        return rank, found
+        return rank, sorted(self.buckets.pop(rank))
 
 
 class BytePairs:
@@ -78,9 +81,10 @@ class BytePairs:
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         # The pattern's white space is Unicode's, without the four separators that Python adds.
         self.split = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
-        self.queue = RankQueue(max(self.ranks.values()) + 1)
-        self.words: dict[str, bytes] = {}
+        # Whether a space and letters are one match of the pattern, and marks after them another.
+        self.parts_marks = all(self.split.findall(f" aZé{m}{n}") == [" aZé", m + n] for m in _MARKS for n in _MARKS)
         self.pieces = Pieces(self._piece)
+        self.words = Pieces(self._word)  # other matches of the pattern
 
     def word(self, data: bytes) -> list[int]:
         """Ids of one match of the pattern: the lowest-ranked pair is merged first, the leftmost among equals."""
@@ -91,74 +95,91 @@ class BytePairs:
         ends = list(range(1, n + 1))  # a part is data[i:ends[i]]
         before = list(range(-1, n))
         pair = [_NONE] * n  # the rank of the pair that begins at a part; none for the last and for merged parts
-        head, words, top, positions, following = self.queue.head, self.queue.words, 0, [], []
-        for i in range(n - 2, -1, -1):
+        buckets, words, top, live = {}, {}, 0, 0  # live: how many of ``pair`` have a rank
+        for i in range(n - 1):
             if (new := get(data[i : i + 2], _NONE)) != _NONE:
                 pair[i] = new
-                if (old := head[new]) == _NONE:
+                live += 1
+                if new in buckets:
+                    buckets[new].append(i)
+                else:
+                    buckets[new] = [i]
                     at = new >> 8
-                    if not words[at]:
+                    if at in words:
+                        words[at] |= _BIT[new & 255]
+                    else:
+                        words[at] = _BIT[new & 255]
                         top |= 1 << at
-                    words[at] |= _BIT[new & 255]
-                head[new] = len(positions)
-                positions.append(i)
-                following.append(old)
-        while top:
+        while live:
             at = (top & -top).bit_length() - 1
             bits = words[at]
             rank = (at << 8) + (bits & -bits).bit_length() - 1
-            words[at] = bits = bits & (bits - 1)
-            if not bits:
+            if bits := bits & (bits - 1):
+                words[at] = bits
+            else:
+                del words[at]
                 top &= top - 1
-            entry, head[rank] = head[rank], _NONE
-            waiting = [positions[entry]]
-            while (entry := following[entry]) != _NONE:
-                waiting.append(positions[entry])
+            waiting = buckets.pop(rank)
             if len(waiting) > 1:
                 waiting.sort()
-            for k, i in enumerate(waiting):
+            for i in waiting:
                 if pair[i] != rank:  # stale
                     continue
                 right = ends[i]
                 end = ends[i] = ends[right]
+                if pair[right] != _NONE:
+                    live -= 1
                 pair[right] = pair[i] = _NONE
+                live -= 1
                 lowest = rank + 1
                 if end < n:
                     before[end] = i
                     if (new := get(data[i : ends[end]], _NONE)) != _NONE:
                         pair[i] = new
-                        if (old := head[new]) == _NONE:
+                        live += 1
+                        if new in buckets:
+                            buckets[new].append(i)
+                        else:
+                            buckets[new] = [i]
                             at = new >> 8
-                            if not words[at]:
+                            if at in words:
+                                words[at] |= _BIT[new & 255]
+                            else:
+                                words[at] = _BIT[new & 255]
                                 top |= 1 << at
-                            words[at] |= _BIT[new & 255]
-                        head[new] = len(positions)
-                        positions.append(i)
-                        following.append(old)
-                        lowest = min(lowest, new)
+                        if new < lowest:
+                            lowest = new
                 if (left := before[i]) >= 0:
+                    if pair[left] != _NONE:
+                        live -= 1
                     pair[left] = new = get(data[left:end], _NONE)
                     if new != _NONE:
-                        if (old := head[new]) == _NONE:
+                        live += 1
+                        if new in buckets:
+                            buckets[new].append(left)
+                        else:
+                            buckets[new] = [left]
                             at = new >> 8
-                            if not words[at]:
+                            if at in words:
+                                words[at] |= _BIT[new & 255]
+                            else:
+                                words[at] = _BIT[new & 255]
                                 top |= 1 << at
-                            words[at] |= _BIT[new & 255]
-                        head[new] = len(positions)
-                        positions.append(left)
-                        following.append(old)
-                        lowest = min(lowest, new)
-                if lowest <= rank and k + 1 < len(waiting):  # that goes first; the rest of this bucket goes back
-                    for later in waiting[k + 1 :]:
-                        if pair[later] == rank:
-                            if (old := head[rank]) == _NONE:
+                        if new < lowest:
+                            lowest = new
+                if lowest <= rank:  # that goes first; the rest of this bucket goes back
+                    for later in waiting:
+                        if later > i and pair[later] == rank:
+                            if rank in buckets:
+                                buckets[rank].append(later)
+                            else:
+                                buckets[rank] = [later]
                                 at = rank >> 8
-                                if not words[at]:
+                                if at in words:
+                                    words[at] |= _BIT[rank & 255]
+                                else:
+                                    words[at] = _BIT[rank & 255]
                                     top |= 1 << at
-                                words[at] |= _BIT[rank & 255]
-                            head[rank] = len(positions)
-                            positions.append(later)
-                            following.append(old)
                     break
         ids, i = [], 0
         while i < n:
@@ -166,15 +187,17 @@ class BytePairs:
             i = ends[i]
         return ids
 
+    def _word(self, word: str) -> bytes:
+        # A match stands in ``words`` for itself, so the space that ``Pieces`` puts before it goes again.
+        return array("I", self.word(word[1:].encode())).tobytes()
+
     def _piece(self, piece: str) -> bytes:
-        out = []
-        for word in self.split.findall(piece):
-            if (ids := self.words.get(word)) is None:
-                if len(self.words) >= KEPT_PIECES:
-                    self.words.clear()
-                ids = self.words[word] = np.array(self.word(word.encode()), "<u4").tobytes()
-            out.append(ids)
-        return b"".join(out)
+        if self.parts_marks:
+            if _WORD.fullmatch(piece):
+                return array("I", self.word(piece.encode())).tobytes()
+            if m := _MARKED.fullmatch(piece):
+                return self.pieces[m[1]] + self.words[m[2]]
+        return b"".join(map(self.words.__getitem__, self.split.findall(piece)))
 
     def encode(self, text: str) -> bytes:
         """Packed little-endian unsigned 32-bit ids of a whole text."""

@@ -17,8 +17,8 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Distinct pieces and words that ``Pieces`` keeps before it starts anew.
-KEPT_PIECES = 600_000
+#: Distinct pieces in each of the two halves of what ``Pieces`` keeps.
+KEPT_PIECES = 500_000
 #: Distinct pieces in each of the two halves of what a worker keeps, some 40 MB a half, and characters in them per piece.
 HALF_PIECES = 250_000
 CHARS_A_PIECE = 13
@@ -53,16 +53,25 @@ def _grouped(texts: Iterable[str], chars: int) -> Iterator[list[str]]:
 
 
 class Pieces(dict):
-    """Packed ids by piece, one at a time. A piece stands for itself with a space before it."""
+    """Packed ids by piece, one at a time. A piece stands for itself with a space before it.
+
+    They are kept in two halves: what is still in use comes back from the older one.
+    """
 
     def __init__(self, encode: Callable[[str], bytes]):
         super().__init__()
         self.encode = encode
+        self.older: dict[str, bytes] = {}
+        self.chars = 0
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= KEPT_PIECES:
+        if (ids := self.older.get(piece)) is None:
+            ids = self.encode(" " + piece)
+        if len(self) >= KEPT_PIECES or self.chars > KEPT_PIECES * CHARS_A_PIECE:
+            self.older, self.chars = dict(self), 0
             self.clear()
-        ids = self[piece] = self.encode(" " + piece)
+        self[piece] = ids
+        self.chars += len(piece)
         return ids
 
     def text(self, text: str) -> bytes:

@@ -46,22 +46,25 @@ def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(value.alias(name)))))
 
 
-def with_marks(df: DataFrame, text: str, out: str, units: tuple[str, int, int], filled: bool = False) -> DataFrame:
-    """``df`` with an array ``out``: for each k-mer of units its hash if it is a closed syncmer, else null.
+def with_units(df: DataFrame, text: str, out: str, units: tuple[str, int, int], filled: bool = False) -> DataFrame:
+    """``df`` with an array ``out`` of the hashes of the text's units.
 
     ``filled``: k - 1 empty units stand before and after those of the text, if it has any.
     """
-    pattern, k, s = units
-    runs = k - s + 1
+    pattern, k, _ = units
     hashes = F.transform(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0)), lambda x: F.xxhash64(x))
-    if filled:
-        df = _once(df, "__u", hashes)
-        ends = F.array_repeat(F.xxhash64(F.lit("")), k - 1)
-        hashes = F.when(F.size("__u") > 0, F.concat(ends, "__u", ends)).otherwise(F.col("__u"))
-        df = _once(df, "__f", hashes).drop("__u").withColumnRenamed("__f", "__u")
-    else:
-        df = _once(df, "__u", hashes)
-    df = _once(df, "__m", F.transform("__u", lambda x, i: F.xxhash64(x, *[F.get("__u", i + j) for j in range(1, s)])))
+    if not filled:
+        return _once(df, out, hashes)
+    df = _once(df, "__u", hashes)
+    ends = F.array_repeat(F.xxhash64(F.lit("")), k - 1)
+    return _once(df, out, F.when(F.size("__u") > 0, F.concat(ends, "__u", ends)).otherwise(F.col("__u"))).drop("__u")
+
+
+def with_window_marks(df: DataFrame, hashes: str, out: str, units: tuple[str, int, int]) -> DataFrame:
+    """``df`` with an array ``out``: for each k-mer of the array ``hashes`` its hash if it is a closed syncmer, else null."""
+    _, k, s = units
+    runs = k - s + 1
+    df = _once(df, "__m", F.transform(hashes, lambda x, i: F.xxhash64(x, *[F.get(hashes, i + j) for j in range(1, s)])))
     # The runs at 0, s, 2s, ... and the last one cover the k-mer.
     cover = sorted({*range(0, runs, s), runs - 1} - {0})
 
@@ -76,18 +79,64 @@ def with_marks(df: DataFrame, text: str, out: str, units: tuple[str, int, int],
             at_last = at_last & (last <= inner)
         return F.when(at_first | at_last, F.xxhash64(first, *[F.get("__m", i + j) for j in cover]))
 
-    count = F.greatest(F.size("__u") - k + 1, F.lit(0))
-    marked = _once(df, out, F.transform(F.slice("__m", F.lit(1), count), mark))
-    return marked.drop("__u", "__m")
+    count = F.greatest(F.size(hashes) - k + 1, F.lit(0))
+    return _once(df, out, F.transform(F.slice("__m", F.lit(1), count), mark)).drop("__m")
+
+
+def with_marks(df: DataFrame, text: str, out: str, units: tuple[str, int, int], filled: bool = False) -> DataFrame:
+    """The marks of the k-mers of a text's units (see ``with_units`` and ``with_window_marks``)."""
+    return with_window_marks(with_units(df, text, "__units", units, filled), "__units", out, units).drop("__units")
+
 
+def _spaced(text: Column) -> Column:
+    """Every run of white space as one space."""
+    return F.regexp_replace(text, r"\s{2,}|[^\S ]", " ")
 
-def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
-    """``df`` with the distinct anchor hashes of ``text`` in ascending order."""
-    df = df.withColumn("__spaced", F.regexp_replace(text, r"\s+", " "))
-    df = with_marks(df, "__spaced", "__marks", UNITS, filled=True)
-    df = _once(df, "__anchors", F.sort_array(F.array_distinct(F.array_compact("__marks"))))
+
+def _with_distinct(df: DataFrame, marks: Column, text: str, out: str) -> DataFrame:
+    """``df`` with the distinct anchor hashes among ``marks`` in ascending order; a text without any has a hash of its own."""
+    df = _once(df, "__anchors", F.sort_array(F.array_distinct(F.array_compact(marks))))
     whole = F.when(F.size("__anchors") > 0, F.col("__anchors")).otherwise(F.array(F.xxhash64(F.col(text), F.lit(0))))
-    return _once(df, out, whole).drop("__spaced", "__marks", "__anchors")
+    return _once(df, out, whole).drop("__anchors")
+
+
+def with_anchors(df: DataFrame, text: str, out: str, marks: str) -> DataFrame:
+    """``df`` with the distinct anchor hashes of ``text`` in ascending order, and the marks of its filled units."""
+    df = with_marks(df.withColumn("__spaced", _spaced(F.col(text))), "__spaced", marks, UNITS, filled=True)
+    return _with_distinct(df, F.col(marks), text, out).drop("__spaced")
+
+
+def with_joined_anchors(df: DataFrame, left: str, right: str, out: str, left_marks: str, right_marks: str) -> DataFrame:
+    """``df`` with the anchors ``out`` of ``left`` and ``right`` put together, two texts that longer ones begin with.
+
+    ``left_marks`` and ``right_marks`` are the marks of the longer texts. K-mers that lie in ``left`` are marked alike there. So
+    are those in ``right`` once a unit has ended with one of the signs that always end a unit. Only the k-mers over the
+    joint, and those at the end, are marked anew.
+    """
+    pattern, k, _ = UNITS
+    df = df.withColumn("__text", F.concat(left, right)).withColumn("__spaced", _spaced(F.col("__text")))
+    df = with_units(df, "__spaced", "__f", UNITS, filled=True)
+
+    def count(text: Column) -> Column:
+        return F.size(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+
+    n = F.size("__f") - 2 * (k - 1)
+    spaced = _spaced(F.col(right))
+    head = F.regexp_extract(spaced, rf"\A[^\s{_ENDS}]*[\s{_ENDS}]", 0)
+    # The last unit of a text that goes on may be another one there.
+    df = _once(df, "__l", F.greatest(count(_spaced(F.col(left))) - 1, F.lit(0)))
+    df = _once(df, "__r", F.struct(count(spaced).alias("all"), count(head).alias("head")))
+    alike = F.when(F.col("__r.head") > 0, F.greatest(F.col("__r.all") - F.col("__r.head") - k, F.lit(0))).otherwise(F.lit(0))
+    df = _once(df, "__w", alike)
+    to_joint = F.when(F.col("__w") > 0, 2 * (k - 1) + n - F.col("__r.all") + F.col("__r.head")).otherwise(F.size("__f"))
+    df = _once(df, "__joint", F.slice("__f", F.col("__l") + 1, to_joint - F.col("__l")))
+    df = _once(df, "__end", F.when(F.col("__w") > 0, F.slice("__f", n, F.lit(2 * k - 1))).otherwise(F.array().cast("array<bigint>")))
+    df = with_window_marks(df, "__joint", "__joint_marks", UNITS)
+    df = with_window_marks(df, "__end", "__end_marks", UNITS)
+    from_left = F.slice(left_marks, F.lit(1), F.col("__l"))
+    from_right = F.slice(right_marks, F.when(F.col("__w") > 0, F.col("__r.head") + k).otherwise(F.lit(1)), F.col("__w"))
+    df = _with_distinct(df, F.concat(from_left, "__joint_marks", from_right, "__end_marks"), "__text", out)
+    return df.drop("__text", "__spaced", "__f", "__l", "__r", "__w", "__joint", "__end", "__joint_marks", "__end_marks")
 
 
 def sketch(hashes: str) -> Column:
@@ -113,9 +162,14 @@ def sketch_likeness(a: str, b: str) -> Column:
     def reach(x: str) -> Column:
         return F.when(F.size(x) >= SKETCH, F.element_at(x, -1)).otherwise(F.lit((1 << 63) - 1))
 
-    cut = F.least(reach(a), reach(b))
-    both, of_a, of_b = [F.size(F.filter(x, lambda h: h <= cut)) for x in (F.array_intersect(a, b), F.col(a), F.col(b))]
-    return F.coalesce(2 * both / F.nullif(of_a + of_b, F.lit(0)), F.lit(0.0))
+    # Bound once for all elements that the filters compare with it.
+    cut = F.array(F.least(reach(a), reach(b)))
+
+    def likeness_below(cut: Column) -> Column:
+        both, of_a, of_b = [F.size(F.filter(x, lambda h: h <= cut)) for x in (F.array_intersect(a, b), F.col(a), F.col(b))]
+        return F.coalesce(2 * both / F.nullif(of_a + of_b, F.lit(0)), F.lit(0.0))
+
+    return F.get(F.transform(cut, likeness_below), F.lit(0))
 
 
 def as_text(hashes: Column) -> Column:
@@ -168,17 +222,19 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         F.xxhash64(text).alias("tie"),
     )
     bounds = range_bounds(rows.select("key"), "key")
-    rows = with_next(rows, "key", "tie", ["text", "anchors"], bounds, lambda df: with_anchors(df, "text", "anchors"))
+    made = ["text", "anchors", "marks"]
+    rows = with_next(rows, "key", "tie", made, bounds, lambda df: with_anchors(df, "text", "anchors", "marks"))
     rows = _once(rows, "n_chars", F.char_length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
-    edited = F.concat(F.left(F.col("text"), F.col("n_chars").cast("int") - half), F.left(F.col("next_text"), half))
-    rows = with_anchors(_once(rows, "edited", edited), "edited", "edited_anchors")
+    kept, following = F.left(F.col("text"), F.col("n_chars").cast("int") - half), F.left(F.col("next_text"), half)
+    rows = _once(_once(rows, "kept", kept), "following", following)
+    rows = with_joined_anchors(rows, "kept", "following", "edited_anchors", "marks", "next_marks").drop("marks", "next_marks")
     for name in ("anchors", "edited_anchors", "next_anchors"):
         rows = _once(rows, f"{name}_low", sketch(name))
     return rows.select(
         "doc_id",
         "n_chars",
-        F.sha2("edited", 256).alias("edited_sha256"),
+        F.sha2(F.concat("kept", "following"), 256).alias("edited_sha256"),
         as_text(F.col("anchors_low")).alias("fingerprint"),
         as_text(F.col("edited_anchors_low")).alias("edited_fingerprint"),
         sketch_likeness("anchors_low", "edited_anchors_low").alias("near_edited"),

@@ -186,6 +186,23 @@ def test_fingerprints_against_a_plain_version(frame):
         assert abs(r.near_next - plain_likeness(r.fingerprint, following.fingerprint)) < 1e-12
 
 
+def test_anchors_of_joined_texts_are_those_of_the_whole(llm):
+    """With white space, long runs without an end of a unit, and nothing on either side of the joint."""
+    rng = random.Random(9)
+    signs = ["bcdfgh stuv aeio xyzé漢,.\n\t ", "bcdfg12345", " \n\t", "bcdfghjklm a"]
+    text = lambda: "".join(rng.choice(rng.choice(signs[:1] + signs)) for _ in range(rng.choice([0, 1, 2, 9, 40, 300])))
+    plain = lambda n: "".join(rng.choice(signs[1]) for _ in range(n))
+    rows = [(text(), text(), rng.random(), rng.random()) for _ in range(300)]
+    rows += [(plain(70), plain(n) + text(), 0.5, 1.0) for n in (0, 5, 6, 7, 12, 70)] + [(text() + "  ", "\n " + plain(80) + "a" + text(), 1.0, 1.0)]
+    rows = [(a, b, a[: int(len(a) * x)], b[: int(len(b) * y)]) for a, b, x, y in rows]
+    df = llm.createDataFrame(rows, "a string, b string, l string, r string").withColumn("whole", F.concat("l", "r"))
+    for c in ("a", "b", "whole"):
+        df = syncmers.with_anchors(df, c, f"{c}_anchors", f"{c}_marks")
+    df = syncmers.with_joined_anchors(df, "l", "r", "joined", "a_marks", "b_marks")
+    assert df.filter("joined != whole_anchors").collect() == []
+    assert df.count() == len(rows)
+
+
 def test_next_document_over_many_ranges(llm):
     rng = random.Random(4)
     ids = sorted(rng.sample(range(-(10**12), 10**12), 500) + [5, 5, 5])

@@ -54,6 +54,54 @@ def test_older_pieces_are_looked_up_and_not_gone_over():
     assert {"known7", "known99", "and", "new"} == set(encode.pieces)
 
 
+class Recorded:
+    """The library, and what goes through it."""
+
+    def __init__(self, library):
+        self.library, self.model, self.seen = library, self, []
+
+    def tokenize(self, word):
+        self.seen.append(word)
+        return self.library.model.tokenize(word)
+
+    def encode(self, text, **options):
+        self.seen.append(text)
+        return self.library.encode(text, **options)
+
+    def encode_batch_fast(self, batch, **options):
+        self.seen += batch
+        return self.library.encode_batch_fast(batch, **options)
+
+
+def test_a_word_goes_through_the_library_once():
+    encode = pieces.LibraryEncoder(TOKENIZER)
+    encode.tokenizer = recorded = Recorded(encode.tokenizer)
+    text = "At wordone,\nWordtwo wordone.\nWordtwo, wordone wordone;\nWordthree\u00e9 wordone!!\nWordtwo! wordone,"
+    assert encode(text).tolist() == ids(text)
+    assert encode(text + " " + text).tolist() == ids(text + " " + text)
+    seen = " ".join(recorded.seen)
+    assert [seen.count(w) for w in ("wordone", "Wordtwo", "Wordthree")] == [1, 1, 1]
+
+
+lines = st.lists(st.sampled_from(["the", "Haus", "é", "\u00df", "一", "12", "!!", ".", ",", "'", "'s", "_", "\n", " ", "\r", "\x1c", "\u00a0", "\u0301"]), max_size=40)
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(lines.map("".join), min_size=1, max_size=8), st.sampled_from([1, 4, 1000]), st.sampled_from([1, 30, 1 << 20]))
+def test_words_marks_and_lines_give_the_ids_of_the_whole_texts(many, kept, chars):
+    """Also when what is kept is moved to the older half, and when a consumer stops early."""
+    encode, before = _small, pieces.GROUP_CHARS
+    encode.kept, pieces.GROUP_CHARS = kept, chars
+    try:
+        next(encode.texts(many))
+        assert [own.tolist() for own in encode.texts(many * 2)] == [ids(t) for t in many * 2]
+    finally:
+        pieces.GROUP_CHARS = before
+
+
+_small = pieces.LibraryEncoder(TOKENIZER)
+
+
 @settings(max_examples=300, deadline=None)
 @given(texts)
 def test_rank_queue_gives_the_ids_of_the_library(text):

@@ -131,8 +131,9 @@ def _segmented_log(spark, sf) -> str:
 def manifest_bounds(spark, sf):
     """Bounds, records and files of each log partition by the manifest; what it lacks is scanned."""
     log = _segmented_log(spark, sf)
-    records = segments.manifest(spark, log).groupBy("topic", "partition").agg(F.sum("records").alias("records"))
-    return segments.log_bounds(spark, log).join(records, ["topic", "partition"])
+    entries = segments.manifest(spark, log)
+    records = entries.groupBy("topic", "partition").agg(F.sum("records").alias("records"))
+    return segments.log_bounds(spark, log, entries).join(records, ["topic", "partition"])
 
 
 @query

@@ -18,9 +18,12 @@ commits late adds a row with a smaller serial, which is appended at the end like
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
+from collections import Counter
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +38,10 @@ _CAPTURED = "topic string, partition int, offset bigint, serial bigint"
 _BOUNDS = "topic string, partition int, first_offset bigint, end_offset bigint"
 #: Records of a file: the unit that is written by one task and moved at once.
 SEGMENT_RECORDS = 1 << 20
+#: Records, in whole files, that one task writes; files smaller than that share a folder while staged.
+_DEALT_RECORDS = 1 << 14
+#: Files above which a range read names whole folders where it can.
+_LISTED = 1000
 #: Files of the manifest above which they are written together.
 _COMPACT = 64
 _IN_LOG = re.compile(r"(topic=[^/]+/partition=[^/]+/[^/]+)$")
@@ -45,8 +52,15 @@ def _side(path: str, name: str) -> str:
 
 
 def _glob(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths as one text: a call to the JVM for each of them would cost more than listing them."""
     fs, target = hadoop_path(spark, pattern)
-    return sorted(str(f.getPath()) for f in fs.globStatus(target) or [])
+    found = fs.globStatus(target)
+    if found is None or not len(found):
+        return []
+    jvm = spark.sparkContext._jvm
+    paths = spark.sparkContext._gateway.new_array(jvm.java.lang.Object, len(found))
+    jvm.java.lang.System.arraycopy(jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(found), 0, paths, 0, len(found))
+    return sorted(jvm.org.apache.hadoop.util.StringUtils.join("\n", jvm.java.util.Arrays.asList(paths)).split("\n"))
 
 
 def _log_files(spark: SparkSession, path: str) -> list[str]:
@@ -60,9 +74,24 @@ def _stored(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(folder)
 
 
-def _records_of(spark: SparkSession, path: str, files: Sequence[str]) -> DataFrame:
+def _records_of(spark: SparkSession, path: str, places: Sequence[str]) -> DataFrame:
+    """The records of files or whole folders, by their names below the log's folder."""
     root = path.rstrip("/")
-    return spark.read.schema(RAW_RECORD).option("basePath", root).parquet(*[f"{root}/{f}" for f in files])
+    return spark.read.schema(RAW_RECORD).option("basePath", root).parquet(*[f"{root}/{p}" for p in places])
+
+
+def _folder(file: str) -> str:
+    return file.rpartition("/")[0]
+
+
+def _by_folder(files: Sequence[str], listed: Sequence[str], share: float = 1.0) -> list[str]:
+    """``files`` as few places: a folder instead of its files if they are at least ``share`` of all that are ``listed`` in it.
+
+    Spark looks for each place on its own, so thousands of files would take longer to find than to read.
+    """
+    chosen, all_of = Counter(map(_folder, files)), Counter(map(_folder, listed))
+    whole = {f for f, n in chosen.items() if n >= share * all_of[f]}
+    return sorted(whole | {f for f in files if _folder(f) not in whole})
 
 
 def record_bytes() -> Column:
@@ -82,26 +111,30 @@ def _entries(records: DataFrame) -> DataFrame:
     ).select("topic", "partition", "first_offset", "end_offset", "records", "bytes", "file")
 
 
-def _split(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
-    """(manifest rows of files that exist, files without a row)."""
+def _split(spark: SparkSession, path: str) -> tuple[DataFrame, list[str], list[str]]:
+    """(manifest rows of files that exist, files without a row, all files)."""
     files = _log_files(spark, path)
     stored = _stored(spark, _side(path, "manifest"), _MANIFEST).dropDuplicates(["file"])
     known = {r["file"] for r in stored.select("file").collect()}
     gone = sorted(known.difference(files))
     if gone:
         stored = stored.join(F.broadcast(spark.createDataFrame([(f,) for f in gone], "file string")), "file", "left_anti")
-    return stored.select(*[c.split()[0] for c in _MANIFEST.split(", ")]), [f for f in files if f not in known]
+    return stored.select(*[c.split()[0] for c in _MANIFEST.split(", ")]), [f for f in files if f not in known], files
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
     """A row per file of the log. Files with an entry are not opened, the others are scanned."""
-    known, unknown = _split(spark, path)
-    return known.unionByName(_entries(_records_of(spark, path, unknown))) if unknown else known
+    known, unknown, files = _split(spark, path)
+    return known.unionByName(_entries(_records_of(spark, path, _by_folder(unknown, files)))) if unknown else known
 
 
-def log_bounds(spark: SparkSession, path: str) -> DataFrame:
-    """First and end offset per log partition, as ``changes.log_bounds`` of the whole log gives them."""
-    return manifest(spark, path).groupBy("topic", "partition").agg(
+def log_bounds(spark: SparkSession, path: str, entries: DataFrame | None = None) -> DataFrame:
+    """First and end offset per log partition, as ``changes.log_bounds`` of the whole log gives them.
+
+    ``entries``: the log's ``manifest``, if the caller has it; else the files are listed for it.
+    """
+    entries = manifest(spark, path) if entries is None else entries
+    return entries.groupBy("topic", "partition").agg(
         F.min("first_offset").alias("first_offset"), F.max("end_offset").alias("end_offset")
     )
 
@@ -113,14 +146,15 @@ def read_range(spark: SparkSession, path: str, ranges: Sequence[tuple[str, int,
     """
     wanted = spark.createDataFrame(list(ranges), "topic string, partition int, low bigint, high bigint")
     wanted = small_side(wanted, len(ranges))
-    known, unknown = _split(spark, path)
+    known, unknown, listed = _split(spark, path)
     near = known.join(wanted, ["topic", "partition"]).filter("first_offset < high and end_offset > low")
     files = [r["file"] for r in near.select("file").collect()]
     parts = {f"topic={t}/partition={p}/" for t, p, *_ in ranges}
-    files += [f for f in unknown if f.rpartition("/")[0] + "/" in parts]
+    files += [f for f in unknown if _folder(f) + "/" in parts]
     if not files:
         return spark.createDataFrame([], RAW_RECORD)
-    records = _records_of(spark, path, sorted(files))
+    # From half of a folder's files on, Spark finds the folder sooner than its files; the filters below hold for all of them.
+    records = _records_of(spark, path, _by_folder(files, listed, 0.5) if len(files) > _LISTED else sorted(files))
     lowest, highest = min(r[2] for r in ranges), max(r[3] for r in ranges)
     records = records.filter((F.col("offset") >= lowest) & (F.col("offset") < highest))
     found = records.join(wanted, ["topic", "partition"]).filter("offset >= low and offset < high")
@@ -133,10 +167,10 @@ def index_log(spark: SparkSession, path: str, serials: dict[str, str] | None = N
     ``serials``: the serial column by topic. A file's manifest row comes last, so a crash repeats it; serials
     that are there twice change nothing.
     """
-    _, unknown = _split(spark, path)
+    _, unknown, files = _split(spark, path)
     if not unknown:
         return 0
-    records = _records_of(spark, path, unknown)
+    records = _records_of(spark, path, _by_folder(unknown, files))
     for topic, column in (serials or {}).items():
         serial = F.get_json_object("value", f"$.after.{column}").cast("long")
         own = records.filter(F.col("topic") == topic).select("topic", "partition", "offset", serial.alias("serial"))
@@ -159,28 +193,44 @@ def _compact(spark: SparkSession, path: str) -> None:
 def write_segment(records: DataFrame, path: str, segment_records: int = SEGMENT_RECORDS) -> None:
     """Write raw change records with positions as one segment: all of it becomes visible, in offset order, or none."""
     spark = records.sparkSession
-    chunk = F.floor(F.col("offset") / segment_records).cast("long")
+    # A task gets whole runs of records and cuts them into files itself, so a run has one folder and not each of its files.
+    run = segment_records * max(1, _DEALT_RECORDS // segment_records)
+    chunk = F.floor(F.col("offset") / run).cast("long")
     staged = f"{_side(path, 'staging')}/{uuid.uuid4().hex}"
     keys = ["topic", "partition", "chunk"]
     dealt = records.withColumn("chunk", chunk).repartition(*keys).sortWithinPartitions(*keys, "offset")
-    dealt.write.partitionBy(*keys).parquet(staged)
+    dealt.write.option("maxRecordsPerFile", segment_records).partitionBy(*keys).parquet(staged)
     publish(spark, path)
 
 
+#: A staged file: log partition, chunk, name, and its number among the files that its task wrote of the chunk.
+_STAGED = re.compile(r"(topic=[^/]+/partition=[^/]+)/chunk=(\d+)/([^/]*?(?:\.c(\d+))?\.[^/]*)$")
+
+
 def publish(spark: SparkSession, path: str) -> None:
     """Move the files of complete segments into the log, in offset order; drop segments that were never complete."""
-    jvm, root = spark.sparkContext._jvm, path.rstrip("/")
+    root = path.rstrip("/")
     fs, staging = hadoop_path(spark, _side(path, "staging"))
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path  # each mention would be looked up anew
     for folder in _glob(spark, f"{staging}/*"):
         segment = folder.rpartition("/")[2]
-        target = jvm.org.apache.hadoop.fs.Path(folder)
-        if fs.exists(jvm.org.apache.hadoop.fs.Path(target, "_SUCCESS")):
-            found = [re.search(r"(topic=[^/]+/partition=[^/]+)/chunk=(\d+)/([^/]+)$", f) for f in _glob(spark, f"{folder}/*/*/*/*.parquet")]
-            for m in sorted(found, key=lambda m: (m[1], int(m[2]))):
-                new = jvm.org.apache.hadoop.fs.Path(f"{root}/{m[1]}/{int(m[2]):012d}-{segment}-{m[3]}")
-                fs.mkdirs(new.getParent())
-                if not fs.rename(jvm.org.apache.hadoop.fs.Path(m.string), new):
-                    raise OSError(f"could not move {m.string} into the log")
+        target = at(folder)
+        if fs.exists(at(target, "_SUCCESS")):
+            of: dict[str, list[re.Match]] = {}
+            for file in _glob(spark, f"{folder}/*/*/*/*.parquet"):
+                m = _STAGED.search(file)
+                of.setdefault(m[1], []).append(m)
+
+            def move(place: str) -> None:
+                fs.mkdirs(at(f"{root}/{place}"))
+                for m in sorted(of[place], key=lambda m: (int(m[2]), int(m[4] or 0))):  # noqa: B023
+                    new = at(f"{root}/{place}/{int(m[2]):012d}-{int(m[4] or 0):06d}-{segment}-{m[3]}")  # noqa: B023
+                    if not fs.rename(at(m.string), new):
+                        raise OSError(f"could not move {m.string} into the log")
+
+            # Log partitions have no order among each other.
+            with ThreadPoolExecutor(min(len(of), os.cpu_count() or 1) or 1) as movers:
+                list(movers.map(move, of))
         fs.delete(target, True)
 
 

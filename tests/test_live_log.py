@@ -159,6 +159,41 @@ def test_range_reads_open_only_files_that_can_hold_the_range(spark, identity):
     assert sorted(r["offset"] for r in found.collect()) == list(range(25, 42))
 
 
+def test_a_segment_of_many_files_is_staged_in_few_folders(spark, identity, monkeypatch):
+    """A folder, a look-up of a class or a search for each file took longer than the records."""
+    log = shared_dir(spark, "log")
+    with monkeypatch.context() as m:
+        m.setattr(segments, "publish", lambda *a: None)
+        append(spark, identity, log, list(range(0, 300, 3)), segment_records=10)
+    [segment] = os.listdir(f"{log}/_staging")
+    assert os.listdir(f"{log}/_staging/{segment}/topic={TOPIC}/partition=0") == ["chunk=0"]
+    segments.publish(spark, log)
+    read = []
+    real = segments._records_of
+    monkeypatch.setattr(segments, "_records_of", lambda spark, path, places: read.append(places) or real(spark, path, places))
+    assert segments.index_log(spark, log) == 10 and read == [[f"topic={TOPIC}/partition=0"]]
+    entries = segments.manifest(spark, log).orderBy("file").collect()
+    assert [(e["first_offset"], e["end_offset"], e["records"]) for e in entries] == [(i, i + 10, 10) for i in range(0, 100, 10)]
+
+
+def test_a_log_with_files_of_other_writers_is_read_by_folder_only_where_all_are_new(spark, identity):
+    listed = ["t=1/p=0/a", "t=1/p=0/b", "t=1/p=1/a", "t=1/p=1/b", "t=1/p=1/c"]
+    assert segments._by_folder(["t=1/p=0/a", "t=1/p=0/b", "t=1/p=1/c"], listed) == ["t=1/p=0", "t=1/p=1/c"]
+    assert segments._by_folder(["t=1/p=1/a", "t=1/p=1/b"], listed, 0.5) == ["t=1/p=1"]
+
+
+def test_a_range_over_many_files_is_read_by_folder_and_holds_its_records_only(spark, identity, monkeypatch):
+    log = shared_dir(spark, "log")
+    append(spark, identity, log, list(range(0, 300, 3)) + list(range(1, 61, 3)), segment_records=10)
+    monkeypatch.setattr(segments, "_LISTED", 2)
+    read = []
+    real = segments._records_of
+    monkeypatch.setattr(segments, "_records_of", lambda spark, path, places: read.append(places) or real(spark, path, places))
+    found = segments.read_range(spark, log, [(TOPIC, 0, 25, 75), (TOPIC, 1, 3, 5)])
+    assert sorted((r["partition"], r["offset"]) for r in found.collect()) == [(0, i) for i in range(25, 75)] + [(1, 3), (1, 4)]
+    assert read == [[f"topic={TOPIC}/partition=0", f"topic={TOPIC}/partition=1"]]
+
+
 # -- byte bounds ----------------------------------------------------------------------------------------------------
 
 

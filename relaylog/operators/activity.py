@@ -38,15 +38,19 @@ def _entry(step, message, level="info", attempt=None, outcome=None, error=None)
     return F.struct(*[(v if isinstance(v, Column) else F.lit(v)).alias(k) for k, v in values.items()])
 
 
-def activity_entries(records: DataFrame, attempts: DataFrame) -> DataFrame:
+def activity_entries(records: DataFrame, attempts: DataFrame | None = None) -> DataFrame:
     """All entries for records that were worked on.
 
     ``records``: the record columns plus ``outcome`` (null while retrying), ``known_skip``, ``committed`` and, if it was
     tried before, ``tried``. ``attempts``: position key, 0-based ``attempt`` and its own ``outcome`` (null = retry).
+    Without that frame, ``records`` holds its attempts in order, in a column ``attempts`` as ``deliver`` returns it.
     A record's attempts are joined to it once, and one generator makes its entries. ``step`` orders them.
     """
-    tries = F.sort_array(F.collect_list(F.struct("attempt", F.col("outcome").alias("result")))).alias("tries")
-    joined = records.join(attempts.groupBy(*RECORD_KEY).agg(tries), RECORD_KEY, "left")
+    if attempts is None:
+        joined = records.withColumn("tries", F.transform("attempts", lambda a: F.struct(a["attempt"], a["outcome"].alias("result"))))
+    else:
+        tries = F.sort_array(F.collect_list(F.struct("attempt", F.col("outcome").alias("result")))).alias("tries")
+        joined = records.join(attempts.groupBy(*RECORD_KEY).agg(tries), RECORD_KEY, "left")
     sent = ~F.col("known_skip")
 
     def tried(t: Column) -> Column:

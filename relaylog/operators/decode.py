@@ -7,6 +7,7 @@ values. All of it is built-in functions, a few steps per row: no shuffle, no Pyt
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -64,9 +65,10 @@ _RAW = ["topic", "partition", "offset", "no_value", "no_key"]
 _POSITION = ["source_id", *_RAW]
 
 
-def _parse(raw: DataFrame, source: Source, identity: Identity) -> DataFrame:
+def _parse(raw: DataFrame, source: Source, identity: Identity, keep: Sequence[str] = ()) -> DataFrame:
     """Each JSON text is marked and read once; members stay marked text."""
     texts = raw.select(
+        *keep,
         "topic",
         "partition",
         "offset",
@@ -77,7 +79,7 @@ def _parse(raw: DataFrame, source: Source, identity: Identity) -> DataFrame:
     )
     read = _step(
         texts,
-        _RAW,
+        [*_RAW, *keep],
         # Through the generator it is a column: as a constant it would turn the join with the
         # subscriptions into a nested loop.
         source_id=F.lit(source.id),
@@ -86,6 +88,7 @@ def _parse(raw: DataFrame, source: Source, identity: Identity) -> DataFrame:
     )
     outer = read.select(
         *_POSITION,
+        *keep,
         J.single_object(F.col("value")).alias("envelope"),
         J.object_members(F.col("key")).alias("key"),
     )
@@ -93,7 +96,7 @@ def _parse(raw: DataFrame, source: Source, identity: Identity) -> DataFrame:
     meta, after = J.member(envelope, "source"), J.member(envelope, "after")
     return _step(
         outer,
-        _POSITION,
+        [*_POSITION, *keep],
         is_envelope=envelope.isNotNull(),
         op=J.member(envelope, "op"),
         source_text=meta,
@@ -191,13 +194,13 @@ def _string_members(identity: Identity) -> Column:
     return F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull())
 
 
-def decode_changes(raw: DataFrame, source: Source, identity: Identity, generation: int) -> DataFrame:
+def decode_changes(raw: DataFrame, source: Source, identity: Identity, generation: int, keep: Sequence[str] = ()) -> DataFrame:
     """Raw records of one source -> position, identifiers, ``row`` (typed), ``payload``, ``reject_reason``.
 
-    Exactly one row out per row in; ``reject_reason`` is null for accepted records.
+    Exactly one row out per row in; ``reject_reason`` is null for accepted records. ``keep``: further columns of ``raw``.
     """
     identity.check(source, generation)
-    checked = _convert(_parse(raw, source, identity), identity).withColumn(
+    checked = _convert(_parse(raw, source, identity, keep), identity).withColumn(
         "reject_reason", _reasons(_gate_rules(source, identity) + _column_rules(identity))
     )
     wire = F.col("wire")
@@ -225,6 +228,7 @@ def decode_changes(raw: DataFrame, source: Source, identity: Identity, generatio
         F.when(accepted, _payload(identity)).alias("payload"),
         F.when(accepted, _string_members(identity)).alias("strings"),
         "reject_reason",
+        *keep,
     )
 
 

@@ -10,9 +10,9 @@ import re
 import time
 import urllib.error
 import urllib.request
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -111,13 +111,15 @@ def deliver(
     max_attempts: int,
     parallelism: int,
     sleep: Callable[[float], None] = time.sleep,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Send records in offset order per (destination, topic, partition), log partitions in parallel.
 
     ``routed`` carries ``body``, ``headers`` and ``outcome`` (a filtered record is finished and not
     sent). A partition stops at the first record still retrying after ``max_attempts``; that record
     comes back without an outcome, those behind it do not come back at all, and both stay pending. A column
-    ``tried`` (attempts in earlier calls, else null) lets attempt numbers and waits go on from there.
+    ``tried`` (attempts in earlier calls, else null) lets attempt numbers and waits go on from there. Columns to ``keep``
+    come back beside the outcome, so that it need not be joined to the record again.
 
     Sending is a side effect: write the result once and read it from there. Order allows one task per
     log partition, so a task streams its rows and holds one Arrow batch; bound a round by offsets
@@ -126,34 +128,49 @@ def deliver(
     """
     key = ["destination_id", "topic", "partition"]
 
-    def send_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = [*RECORD_KEY, "outcome", "tried", "body", "headers"]
+
+    def send_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stopped = set()
         for batch in batches:
-            rows = []
-            for r in batch.itertuples(index=False):
-                place = (r.destination_id, r.topic, r.partition)
+            places, outcomes, tries = [], [], []
+            columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
+            for i, (destination, topic, partition, _, outcome, number, body, headers) in enumerate(zip(*[c.to_pylist() for c in columns], strict=True)):
+                place = (destination, topic, partition)
                 if place in stopped:
                     continue
-                outcome, attempts, number = r.outcome, [], int(r.tried)
+                attempts = []
                 while outcome is None and len(attempts) < max_attempts:
                     if number:
                         sleep(_backoff(number - 1))
-                    status, body = sender(r.body, dict(r.headers))
-                    outcome, reason = classify(status, body)
+                    status, answer = sender(body, dict(headers))
+                    outcome, reason = classify(status, answer)
                     attempts.append({"attempt": number, "status": status, "outcome": outcome, "retry_reason": reason})
                     number += 1
                 if outcome is None:
                     stopped.add(place)
-                rows.append((*place, r.offset, outcome, attempts))
-            yield pd.DataFrame(rows, columns=[*RECORD_KEY, "outcome", "attempts"])
+                places.append(i)
+                outcomes.append(outcome)
+                tries.append(attempts)
+            at, text = pa.array(places, pa.int64()), columns[len(RECORD_KEY)].type
+            attempt = pa.struct([("attempt", pa.int32()), ("status", pa.int32()), ("outcome", text), ("retry_reason", text)])
+            kept = {f"kept_{i}": batch.column(batch.schema.get_field_index(f"kept_{i}")).take(at) for i in range(len(keep))}
+            key = {n: c.take(at) for n, c in zip(RECORD_KEY, columns, strict=False)}
+            found = {**key, "outcome": pa.array(outcomes, text), "attempts": pa.array(tries, pa.list_(attempt)), **kept}
+            yield pa.RecordBatch.from_arrays([*found.values()], names=[*found])
 
     tried = F.coalesce("tried", F.lit(0)) if "tried" in routed.columns else F.lit(0)
+    due = F.col("outcome").isNull()  # what is finished needs no request
     ordered = (
-        routed.select(*RECORD_KEY, "outcome", "body", "headers", tried.cast("long").alias("tried"))
+        routed.select(
+            *RECORD_KEY, "outcome", F.when(due, F.col("body")).alias("body"), F.when(due, F.col("headers")).alias("headers"), tried.cast("long").alias("tried"),
+            *[F.col(f"`{c}`").alias(f"kept_{i}") for i, c in enumerate(keep)],
+        )
         .repartition(parallelism, *[F.col(k) for k in key])
         .sortWithinPartitions(*RECORD_KEY)
     )
-    return ordered.mapInPandas(send_all, DELIVERY_SCHEMA)
+    beside = "".join(f", kept_{i} {routed.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
+    return ordered.mapInArrow(send_all, DELIVERY_SCHEMA + beside).withColumnsRenamed({f"kept_{i}": c for i, c in enumerate(keep)})
 
 
 class _NoRedirect(urllib.request.HTTPRedirectHandler):

@@ -13,9 +13,10 @@ exact for ids of any size. Ties stay in one chunk. A null order value is an erro
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,6 +79,14 @@ def small_side(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows * width <= MAX_BROADCAST_BYTES else df
 
 
+def few_rows(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:
+    """A frame of a few rows of numbers, booleans and text, as one literal: a frame made from Python rows starts Python tasks wherever it is read."""
+    names = T.StructType.fromDDL(schema).names
+    text = json.dumps([dict(zip(names, row, strict=True)) for row in rows])
+    kind = f"array<struct<{', '.join(f'`{f.name}`: {f.dataType.simpleString()}' for f in T.StructType.fromDDL(schema).fields)}>>"
+    return spark.range(0, 1, 1, 1).select(F.inline(F.from_json(F.lit(text), kind)))
+
+
 def _width(kind: T.DataType) -> int:
     """A generous size of a value in bytes."""
     if isinstance(kind, T.StructType):

@@ -1,6 +1,6 @@
 """The activity log on disk: JSON lines of the newest entries, and a columnar copy of all of them for lookups.
 
-Every append is a *segment*: a folder of JSON lines, with a marker beside them whose name says which numbers it holds. Readers
+Every append is a *segment*: a folder of JSON lines, the newest ones at once where it is large, with a marker beside them whose name says which numbers it holds. Readers
 skip the marker; bounds, cursors and trimming go by the names, so they open no data. Trimming drops whole segments that are
 older than the newest ``keep`` entries, and writes the end of one anew if it holds more than ``keep`` old ones. So
 at most twice ``keep`` entries are stored as lines, however long the log lives and however large an append is.
@@ -23,6 +23,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from relaylog.operators import activity
 from relaylog.operators.tables import hadoop_path
@@ -60,6 +61,16 @@ class _Copy:
     folder: str = field(compare=False)
 
 
+def _typed(entries: DataFrame) -> DataFrame:
+    """Entries as they are read back from their lines: all columns, and times to the millisecond."""
+    columns = []
+    for field in StructType.fromDDL(ENTRY):
+        value = F.col(field.name) if field.name in entries.columns else F.lit(None)
+        value = F.date_trunc("millisecond", value) if field.name == "time" else value
+        columns.append(value.cast(field.dataType).alias(field.name))
+    return entries.select(*columns)
+
+
 @dataclass
 class ActivityLog:
     """``path`` must be on storage every executor can reach. ``lines`` is the pattern of the segments' folders below it."""
@@ -95,19 +106,22 @@ class ActivityLog:
             if left not in marked:
                 self._delete(left)
         folder = folder or f"{self.path}/{self.lines.replace('*', uuid.uuid4().hex, 1)}"
-        activity.write_activity(entries, folder, "overwrite")
-        own = self._read([folder], "json")
-        ends = own.agg(F.min("sequence").alias("first"), F.max("sequence").alias("last")).first()
-        if ends["last"] is None:
-            self._delete(folder)
-            return self.last(boot)
         copies = self._copies()
         number = 1 + max([s.number for s in known] + [c.high for c in copies], default=0)
-        self._write_copy(own.sortWithinPartitions("event_id", "sequence"), 0, number, number)
-        self._mark(folder, number, ends["first"], ends["last"], boot)
+        copy = self._write_copy(_typed(entries).sortWithinPartitions("event_id", "sequence"), 0, number, number)
+        if copy is None:
+            return self.last(boot)
+        own = self._read([copy], "parquet")
+        ends = own.agg(F.min("sequence").alias("first"), F.max("sequence").alias("last")).first()
+        # Only the lines that trimming would leave.
+        first, last = ends["first"], ends["last"]
+        first = first if last - first < 2 * self.keep else last - self.keep + 1
+        lines = own.filter(F.col("sequence") >= first).select(*[c for c in entries.columns if c in own.columns])
+        activity.write_activity(lines.coalesce(1), folder, "overwrite")
+        self._mark(folder, number, first, last, boot)
         self._trim()
         self._merge()
-        return ends["last"]
+        return last
 
     def recent(self, boot: str | None = None) -> DataFrame:
         """The newest ``keep`` entries, or those of one life among them."""
@@ -189,16 +203,20 @@ class ActivityLog:
         found = self._all_copies()
         return [c for c in found if not any(o.level > c.level and o.low <= c.low and c.high <= o.high for o in found)]
 
-    def _write_copy(self, rows: DataFrame, level: int, low: int, high: int) -> None:
+    def _write_copy(self, rows: DataFrame, level: int, low: int, high: int) -> str | None:
+        """The folder of the copy; none, and no folder, if there are no rows."""
         draft = f"{self.path}/history/_draft-{uuid.uuid4().hex}"
         writer = rows.write.option("parquet.block.size", str(_ROW_GROUP)).option("parquet.bloom.filter.adaptive.enabled", "true")
         for name in IDENTIFIERS:
             writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
         writer.parquet(draft)
+        if self._read([draft], "parquet").isEmpty():
+            return self._delete(draft)
         fs, source = hadoop_path(self.spark, draft)
-        _, target = hadoop_path(self.spark, f"{self.path}/history/L{level}-{low}-{high}")
+        named, target = hadoop_path(self.spark, f"{self.path}/history/L{level}-{low}-{high}")
         if not fs.rename(source, target):
             raise OSError(f"cannot name {target}")
+        return str(named.makeQualified(target))
 
     def _merge(self) -> None:
         live = self._copies()

@@ -66,9 +66,18 @@ def encode_changes(df: DataFrame, source: Source, identity: Identity, topic: str
     )
 
 
+#: Records of a log partition that are written in one task.
+_RUN = 1 << 15
+
+
 def write_changes(df: DataFrame, path: str) -> None:
-    """Append to the log. One folder per log partition, so readers prune by topic and partition."""
-    df.write.mode("append").partitionBy("topic", "partition").parquet(path)
+    """Append to the log. One folder per log partition, so readers prune by topic and partition.
+
+    A file holds runs of offsets in order, so a reader of a range opens the files and pages of its run and not all of the partition's.
+    """
+    run = F.floor(F.col("offset") / _RUN)
+    dealt = df.repartition("topic", "partition", run).sortWithinPartitions("topic", "partition", "offset")
+    dealt.write.mode("append").partitionBy("topic", "partition").parquet(path)
 
 
 def _records(df: DataFrame) -> DataFrame:

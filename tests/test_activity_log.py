@@ -41,6 +41,22 @@ def test_the_newest_stay_and_little_else(spark, cuts):
     assert sorted(r.sequence for r in log.history().collect()) == list(range(1, last + 1))
 
 
+def test_lines_that_would_be_trimmed_are_not_written(spark, monkeypatch):
+    written = []
+    write = activity.write_activity
+    monkeypatch.setattr(activity, "write_activity", lambda entries, *a: written.append(entries.count()) or write(entries, *a))
+    log = fill(spark, [0, 100, 115])
+    assert written == [10, 15] and log.history().count() == 115
+
+
+def test_the_copy_holds_what_its_lines_say(spark):
+    log = ActivityLog(spark, shared_dir(spark, "activity"))
+    rows = entries(spark, 1, 3).withColumn("time", F.timestamp_micros(F.lit(1_700_000_000_123_456))).withColumn("attempt", F.when(F.col("sequence") == 2, 1))
+    log.append(rows, "boot")
+    lines = spark.read.schema(activity_log.ENTRY).json(log.segments()[0].folder)
+    assert sorted(map(tuple, log.history().collect()), key=str) == sorted(map(tuple, lines.collect()), key=str)
+
+
 def test_cursors_as_on_the_whole_log(spark):
     log, last = fill(spark, [0, 6, 13, 31, 33]), 33
     whole = entries(spark, 1, last)

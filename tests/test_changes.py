@@ -102,3 +102,23 @@ def test_log_written_by_partition(spark, table, identity):
     bounds = {r.partition: (r.first_offset, r.end_offset) for r in changes.log_bounds(back).collect()}
     counts = {r.partition: r["count"] for r in back.groupBy("partition").count().collect()}
     assert bounds == {p: (0, n) for p, n in counts.items()}
+
+
+def test_files_of_the_log_hold_runs_of_offsets_in_order(spark, monkeypatch):
+    """A reader of a range opened every file of a partition: each held offsets from all over it."""
+    monkeypatch.setattr(changes, "_RUN", 50)
+    path = shared_dir(spark, "log")
+    shuffled = spark.range(0, 400, numPartitions=8).select(
+        F.lit("t").alias("topic"), F.lit(0).alias("partition"), ((F.col("id") * 7) % 400).alias("offset"), F.lit("k").alias("key"), F.lit("v").alias("value")
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        changes.write_changes(shuffled, path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    found = changes.read_changes(spark, path).select("offset", F.input_file_name().alias("file")).collect()
+    of = {}
+    for r in found:
+        of.setdefault(r["file"], []).append(r["offset"])
+    assert all(o == sorted(o) for o in of.values()) and sorted(o for v in of.values() for o in v) == list(range(400))
+    assert all(len(v) == 50 * len({o // 50 for o in v}) for v in of.values())

@@ -294,6 +294,46 @@ def test_stored_skip_suppresses_only_history(setup):
     assert job.skips().count() == 1
 
 
+def test_rounds_are_decoded_together_and_committed_one_by_one(spark, identity, tmp_path, monkeypatch):
+    """Decoding, planned anew for every round, took longer than the rest of the round."""
+    setup = Setup(spark, identity, tmp_path, round_size=4)
+    setup.append(60)
+    setup.append(60)
+    changes.write_changes(log_rows(spark, identity, 60).filter("offset = 2"), setup.log)  # a position counts once
+    job, decoded, steps = setup.job(), [], []
+    ahead, advance = DeliveryJob._decode_ahead, DeliveryJob._advance
+    monkeypatch.setattr(DeliveryJob, "_decode_ahead", lambda self, *a: decoded.append(1) or ahead(self, *a))
+    monkeypatch.setattr(DeliveryJob, "_advance", lambda self, sent, state: steps.append(sent.groupBy("partition").count().collect()) or advance(self, sent, state))
+    got = setup.run(job)
+    assert set(got) == set(setup.expected(job)) and all(got.values())
+    assert len(steps) > 3 * len(decoded) and max(r["count"] for step in steps for r in step) == 4
+    assert sorted(o for lines in calls(setup.folder).values() for o in lines) == sorted(set(o for lines in calls(setup.folder).values() for o in lines))
+    assert not os.path.exists(job.path("ahead"))
+
+
+def test_a_block_stops_the_rounds_that_are_decoded_with_it(spark, identity, tmp_path):
+    setup = Setup(spark, identity, tmp_path, round_size=4)
+    placed = log_rows(spark, identity, 60)
+    changes.write_changes(placed.withColumn("value", F.when((F.col("partition") == 0) & (F.col("offset") == 6), "{}").otherwise(F.col("value"))), setup.log)
+    job = setup.job()
+    got = setup.run(job)
+    ends = {r.partition: r["count"] for r in placed.groupBy("partition").count().collect()}
+    assert set(got) == {(p, o) for p, n in ends.items() for o in range(min(n, 8)) if p or o < 6}
+    assert [r.source_id for r in job.blocked().collect()] == ["events"] and not os.path.exists(job.path("ahead"))
+
+
+def test_bytes_bound_the_rounds_that_are_decoded_together(spark, identity, tmp_path):
+    setup = Setup(spark, identity, tmp_path)
+    placed = log_rows(spark, identity, 60)
+    changes.write_changes(placed, setup.log)
+    size = placed.select(F.max(F.octet_length("key") + F.octet_length("value"))).first()[0]
+    job = setup.job()
+    job.round_bytes = 5 * size
+    assert len(setup.run(job)) == 60
+    per_round = spark.read.option("basePath", job.path("rounds")).parquet(job.path("rounds/*/sent")).groupBy(F.input_file_name(), "partition").count()
+    assert 5 <= max(r["count"] for r in per_round.collect()) <= 6
+
+
 def test_lost_history_stops_delivery(setup):
     setup.append(30)
     job = setup.job()

@@ -147,7 +147,7 @@ def deliver(
                     outcome, reason = classify(status, answer)
                     attempts.append({"attempt": number, "status": status, "outcome": outcome, "retry_reason": reason})
                     number += 1
-                if outcome is None:
+                if outcome is None and partition is not None:  # without a log partition there is no order to keep
                     stopped.add(place)
                 places.append(i)
                 outcomes.append(outcome)

@@ -145,6 +145,13 @@ def test_deliver_in_order_and_stop(spark, identity, tmp_path):
     assert "REPARTITION_BY_NUM" in plan
 
 
+def test_records_without_a_log_partition_hold_up_nothing(spark, tmp_path):
+    requests = spark.createDataFrame([("d", TOPIC, p, o, None, '{"payload": {"id": 7}}', {"X-Relay-Partition": "0", "X-Relay-Offset": str(o)}, f"e{o}") for p in (None, 1) for o in range(3)],
+        "destination_id string, topic string, partition int, offset long, outcome string, body string, headers map<string,string>, event_id string")
+    sent = deliver(requests, recording_sender(str(tmp_path), stuck={7}), 1, 2, without_sleep(), keep=["event_id"]).collect()
+    assert sorted(((r.partition, r.offset, r.event_id, r.outcome) for r in sent), key=str) == [(1, 0, "e0", None), (None, 0, "e0", None), (None, 1, "e1", None), (None, 2, "e2", None)]
+
+
 def test_stream_delivers_everything_once_in_order(setup):
     setup.append(50)
     job = setup.job(skipped={10}, flaky={11})
